@@ -26,9 +26,7 @@ _STRICT_JSON = {"mode": "FAILFAST"}
 def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple[DataFrame, DataFrame]:
     """Pages (``page, body``) and answers (``page, status``) of one collection."""
     pages = (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "page=*.json")
-        .text(f"{landing}/{collection}")
+        spark.read.text(f"{landing}/{collection}", wholetext=True, pathGlobFilter="page=*.json")
         .select(
             F.regexp_extract("_metadata.file_name", r"page=(\d+)\.json", 1).cast("int").alias("page"),
             F.col("value").alias("body"),
