@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from jatoba.sources.tables import Lake
 
@@ -21,11 +21,15 @@ def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: st
     df.write.insertInto(table, overwrite=True)
 
 
+_CSV = {"header": True, "escape": '"', "nullValue": "", "emptyValue": '""'}
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per task. Quotes are doubled; NULL and '' stay apart."""
-    df.write.mode("overwrite").options(header=True, escape='"', emptyValue='""', nullValue="").csv(path)
+    """CSV with a header, one file per task. Quotes are doubled, blanks kept, NULL is empty."""
+    df.write.mode("overwrite").options(**_CSV, **_KEEP_BLANKS).csv(path)
 
 
-def read_csv(spark, path: str, schema: str) -> DataFrame:
-    options = {"header": True, "escape": '"', "multiLine": True, "emptyValue": "", "nullValue": ""}
-    return spark.read.schema(schema).options(**options).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read an export back; values may hold line breaks."""
+    return spark.read.schema(schema).options(**_CSV, **_KEEP_BLANKS, multiLine=True, lineSep="\n").csv(path)
