@@ -25,8 +25,10 @@ from jatoba.session import stage
 
 MAX_HOT_KEYS = 2000
 """A key is hot from 1/MAX_HOT_KEYS of the rows on, so there are at most this many."""
-TRACKED_KEYS = 50_000
-"""Counters of the frequent-items sketch; its error is far below 1/MAX_HOT_KEYS."""
+TRACKED_KEYS = 20_000
+"""Counters of the frequent-items sketch; its error is a fifth of 1/MAX_HOT_KEYS."""
+MERGE_TASKS = 128
+"""Tasks that merge sketches before the last step."""
 MIN_HOT_ROWS = 100_000
 """Below this many rows a key is not worth cutting."""
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -61,12 +63,18 @@ class HotKeys:
 def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
     """Frequent values of each column, from one pass and one small sketch per task.
 
-    Only the sketches move: no shuffle on the key, one row to the driver with at most
-    MAX_HOT_KEYS values per column. The sketch only decides how rows are spread, never
-    which rows are kept.
+    No shuffle on the key: only sketches move, and they merge in two steps so that no task
+    takes in those of all tasks. One row with at most MAX_HOT_KEYS values per column comes
+    to the driver. The sketch decides how rows are spread, never which rows are kept.
     """
-    sketches = [F.expr(f"approx_top_k(`{c}`, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias(c) for c in columns]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
+    partial = df.groupBy((F.spark_partition_id() % MERGE_TASKS).alias("_merge")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns],
+    )
+    merged = [f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED_KEYS}), {MAX_HOT_KEYS})" for c in columns]
+    row = partial.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"), *[F.expr(m).alias(c) for m, c in zip(merged, columns)]
+    ).first()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     threshold = max(min_rows, row["_rows"] / MAX_HOT_KEYS)
     hot = {}
@@ -147,4 +155,5 @@ def lookup_left_join(
     if not scan:
         many = stage(many, "lookup")
     hot = find_hot_keys(many, many_key, min_rows=min_hot_rows)[many_key]
-    return sliced_join(with_spread(many) if hot else many, few, many_key, few_key, hot).drop(SPREAD)
+    many = with_spread(many) if hot else many
+    return sliced_join(many, few.hint("merge"), many_key, few_key, hot).drop(SPREAD)

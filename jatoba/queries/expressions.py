@@ -53,7 +53,7 @@ def floored_division(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, CAST(pow(p_size, 2) AS BIGINT) AS pot, pow(p_retailprice, 2) AS pot_double, sqrt(p_size) AS raiz,
-       CAST(trunc(sqrt(p_size)) AS BIGINT) AS raiz_int, round(p_size * 3.57, 2) AS multi,
+       CAST(trunc(sqrt(p_size)) AS BIGINT) AS raiz_int, round(p_size * CAST(3.57 AS DOUBLE), 2) AS multi,
        printf('%.2f', p_retailprice / 7) AS texto
 FROM part
 """)
