@@ -1,4 +1,9 @@
-"""Sinks: replaced tables, truncate-and-insert tables, CSV for checking."""
+"""Sinks: replaced tables, truncate-and-insert tables, CSV for checking.
+
+A load writes into the slot its table does not use and the table then moves over. A load
+that fails, on a bad number for instance, leaves the table as it was, readers of the old
+rows are not cut off, and no row is written twice.
+"""
 
 from __future__ import annotations
 
@@ -9,19 +14,27 @@ from jatoba.sources.tables import Lake
 
 def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> None:
     """Drop and recreate the table with the frame's own schema."""
-    df.write.mode("overwrite").option("path", lake.path(layer, name)).saveAsTable(lake.table(layer, name))
+    table, slot = lake.table(layer, name), lake.free_slot(layer, name)
+    df.write.mode("overwrite").parquet(slot)
+    lake.spark.sql(f"DROP TABLE IF EXISTS {table}")
+    lake.spark.catalog.createTable(table, path=slot, source="parquet", schema=df.schema)
 
 
 def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: str) -> None:
     """Replace all rows and keep the declared schema. Columns go in by position."""
-    table = lake.table(layer, name)
-    df.sparkSession.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet LOCATION '{lake.path(layer, name)}'"
-    )
-    df.write.insertInto(table, overwrite=True)
-
-
-_CSV = {"header": True, "escape": '"', "nullValue": "", "emptyValue": '""'}
+    table, slot = lake.table(layer, name), lake.free_slot(layer, name)
+    lake.spark.sql(f"DROP TABLE IF EXISTS {table}_next")
+    lake.spark.sql(f"CREATE TABLE {table}_next ({schema}) USING parquet LOCATION '{slot}'")
+    df.write.insertInto(f"{table}_next", overwrite=True)
+    lake.spark.sql(f"DROP TABLE {table}_next")
+    if lake.spark.catalog.tableExists(table):
+        lake.spark.sql(f"ALTER TABLE {table} SET LOCATION '{slot}'")
+        lake.spark.catalog.refreshTable(table)
+    else:
+        lake.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet LOCATION '{slot}'")
+
+
+_CSV = {"header": True, "escape": '"', "nullValue": ""}
 _KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 

@@ -115,3 +115,10 @@ def gold_table(
         F.col("funnel_name").alias("nome_funil"),
         "geom",
     )
+
+
+def bad_coordinates(base: DataFrame, funnel: str) -> DataFrame:
+    """The rows of a funnel whose coordinate a strict load would stop at, with the reason."""
+    status = geo.coordinate_status(F.col("coordenada_completa"))
+    rows = base.where(F.col("funnel_name") == funnel).withColumn("coord_status", status)
+    return rows.where(F.col("coord_status").isin("bad_latitude", "bad_longitude"))

@@ -22,8 +22,13 @@ class Lake:
     def table(self, layer: str, name: str) -> str:
         return f"{self.database}.{layer}_{name}"
 
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{name}"
+    def free_slot(self, layer: str, name: str) -> str:
+        """The one of a table's two folders that holds no current rows."""
+        table, slots = self.table(layer, name), [f"{self.root.rstrip('/')}/{layer}/{name}/{s}" for s in "ab"]
+        if not self.spark.catalog.tableExists(table):
+            return slots[0]
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+        return slots[1] if described.first()["data_type"].endswith("/a") else slots[0]
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.table(layer, name))

@@ -135,6 +135,8 @@ def test_bad_coordinate_fails_only_its_own_load(lake, forest_map):
         gold.gold_table(base, forest_map, "Outro").collect()
     row = gold.gold_table(base, forest_map, "Outro", strict=False).collect()[0]
     assert row["latitude"] is None and row["longitude"] == Decimal("-1.5") and row["ponto"] is None
+    assert [r["coord_status"] for r in gold.bad_coordinates(base, "Outro").collect()] == ["bad_latitude"]
+    assert gold.bad_coordinates(gold.gold_base(*parts, [NEGOTIATION]), NEGOTIATION).count() == 0
 
 
 def test_sliced_gold_equals_plain_gold(spark, tmp_path):

@@ -1,0 +1,59 @@
+"""Sinks: replaced schema, positional insert, a failed load, CSV with awkward text."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from jatoba.operators.sinks import export_csv, read_csv, replace_table, truncate_insert
+from jatoba.session import shared_dir, stage
+from jatoba.sources.tables import Lake
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"), f"sinks_{tmp_path.name.replace('-', '_')}").create()
+
+
+def test_replace_changes_the_schema(spark, lake):
+    replace_table(spark.range(3), lake, "bronze", "t")
+    replace_table(spark.range(2).select(F.lit("x").alias("a.b"), "id"), lake, "bronze", "t")
+    assert lake.read("bronze", "t").columns == ["a.b", "id"] and lake.read("bronze", "t").count() == 2
+    replace_table(lake.read("bronze", "t").where("id = 1"), lake, "bronze", "t")
+    assert [tuple(r) for r in lake.read("bronze", "t").collect()] == [("x", 1)]
+
+
+def test_insert_by_position_keeps_the_schema(spark, lake):
+    schema = "a bigint, b string"
+    for n in (4, 2, 3):
+        truncate_insert(spark.range(n).selectExpr("id b", "concat('r', id) a"), lake, "silver", "t", schema)
+        rows = lake.read("silver", "t")
+        assert rows.columns == ["a", "b"]
+        assert sorted(tuple(r) for r in rows.collect()) == [(i, f"r{i}") for i in range(n)]
+    with pytest.raises(Exception):
+        truncate_insert(spark.range(1), lake, "silver", "t", schema)
+    assert lake.read("silver", "t").count() == 3
+
+
+def test_failed_load_leaves_the_table(spark, lake):
+    schema = "a bigint"
+    truncate_insert(spark.range(5), lake, "gold", "t", schema)
+    bad = spark.range(100).select(F.when(F.col("id") == 99, "x").otherwise(F.lit("1")).cast("bigint").alias("a"))
+    for _ in range(2):
+        with pytest.raises(Exception):
+            truncate_insert(bad, lake, "gold", "t", schema)
+        assert lake.read("gold", "t").count() == 5
+    truncate_insert(spark.range(6), lake, "gold", "t", schema)
+    assert lake.read("gold", "t").count() == 6
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = [(1, 'say "hi", then\nleave'), (2, None), (3, ""), (4, "  blanks  "), (5, "ÁREA ÚTIL\\"), (6, "a\r\nb")]
+    export_csv(spark.createDataFrame(rows, "id int, t string"), str(tmp_path / "csv"))
+    back = {r["id"]: r["t"] for r in read_csv(spark, str(tmp_path / "csv"), "id int, t string").collect()}
+    assert back == dict(rows)
+
+
+def test_stage_uses_the_shared_folder(spark, monkeypatch):
+    staged = stage(spark.range(5), "test")
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert staged.count() == 5 and all(root.removeprefix("file:") in f for f in staged.inputFiles())
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
