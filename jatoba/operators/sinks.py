@@ -34,15 +34,16 @@ def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: st
         lake.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet LOCATION '{slot}'")
 
 
-_CSV = {"header": True, "escape": '"', "nullValue": ""}
-_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per task. Quotes are doubled, blanks kept, NULL is empty."""
-    df.write.mode("overwrite").options(**_CSV, **_KEEP_BLANKS).csv(path)
+    """CSV with a header, one file per task. Quotes are doubled, blanks kept; NULL is empty and '' is quoted."""
+    df.write.mode("overwrite").options(**_CSV, nullValue="").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Read an export back; values may hold line breaks."""
-    return spark.read.schema(schema).options(**_CSV, **_KEEP_BLANKS, multiLine=True, lineSep="\n").csv(path)
+    # The reader puts nullValue where nothing stands; a text no value has keeps '' apart from NULL.
+    options = {**_CSV, "nullValue": "\0NULL", "multiLine": True, "lineSep": "\n"}
+    return spark.read.schema(schema).options(**options).csv(path)
