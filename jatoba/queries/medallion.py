@@ -6,13 +6,18 @@ tasks are line items, funnels follow the order priority, the forest map is the n
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jatoba.plans import gold, silver
+from jatoba.plans.jobs import run_bronze, run_gold, run_silver
 from jatoba.queries.registry import query, table
 from jatoba.queries.relational import AS_OF
-from jatoba.schemas import CAPTURE_FUNNEL, NEGOTIATION_FUNNEL
+from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, NEGOTIATION_FUNNEL
+from jatoba.session import shared_dir
+from jatoba.sources.tables import Lake
 
 
 @query("""
@@ -172,13 +177,15 @@ WHERE funnel_name = '{funnel}'
 """
 
 
-def _gold(spark: SparkSession, sf_dir: str, funnel: str) -> DataFrame:
+def _organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, supplier = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    organizations = spark.sql(f"{CUSTOMER.replace('FROM customer', 'FROM {customer}')}", customer=customer).unionByName(
-        spark.sql(f"{SUPPLIER.replace('FROM supplier', 'FROM {supplier}')}", supplier=supplier)
+    return spark.sql(CUSTOMER.replace("FROM customer", "FROM {t}"), t=customer).unionByName(
+        spark.sql(SUPPLIER.replace("FROM supplier", "FROM {t}"), t=supplier)
     )
-    organizations = organizations.withColumn("dt_log", F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
-    deals = table(spark, sf_dir, "orders").select(
+
+
+def _deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.expr("concat('D', o_orderkey)").alias("id"),
         F.expr("concat('Deal ', o_orderstatus)").alias("name"),
         F.expr("if(o_orderstatus = 'P' AND o_orderkey % 10 = 0, null, concat('C', o_custkey))").alias("organization_id"),
@@ -187,14 +194,27 @@ def _gold(spark: SparkSession, sf_dir: str, funnel: str) -> DataFrame:
         F.expr("if(o_orderstatus = 'O', 'price', null)").alias("lost_reason"),
         F.expr("cast(concat(year(o_orderdate), '-01-01') as timestamp_ntz)").alias("created_at"),
         F.expr("cast(concat(year(o_orderdate), '-12-31') as timestamp_ntz)").alias("updated_at"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), NEGOTIATION_FUNNEL)
-        .when(F.col("o_orderpriority") != "5-LOW", CAPTURE_FUNNEL)
-        .alias("funnel_name"),
+        _funnel(F.col("o_orderpriority")).alias("funnel_name"),
+        "o_orderkey",
     )
-    tasks = table(spark, sf_dir, "lineitem").selectExpr("if(l_returnflag <> 'A', concat('D', l_orderkey), null) deal_id")
-    forest = table(spark, sf_dir, "nation").selectExpr("n_nationkey % 20 id_organizacao", "cast(n_name as binary) geom")
-    final = gold.gold_table(gold.gold_base(organizations, deals, tasks, [funnel]), forest, funnel)
-    return final.withColumns(
+
+
+def _funnel(stage: Column) -> Column:
+    return F.when(stage.isin("1-URGENT", "2-HIGH"), NEGOTIATION_FUNNEL).when(stage != "5-LOW", CAPTURE_FUNNEL)
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deal = "if(l_returnflag <> 'A', concat('D', l_orderkey), null) deal_id"
+    return table(spark, sf_dir, "lineitem").selectExpr(deal, "l_orderkey", "l_linenumber", "l_linestatus")
+
+
+def _forest_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "nation").selectExpr("n_nationkey % 20 id_organizacao", "cast(n_name as binary) geom")
+
+
+def _comparable(table: DataFrame) -> DataFrame:
+    """Decimals as doubles, the point as three columns, bytes as hex text."""
+    return table.withColumns(
         {
             "latitude": F.col("latitude").cast("double"),
             "longitude": F.col("longitude").cast("double"),
@@ -206,6 +226,12 @@ def _gold(spark: SparkSession, sf_dir: str, funnel: str) -> DataFrame:
     ).drop("ponto")
 
 
+def _gold(spark: SparkSession, sf_dir: str, funnel: str) -> DataFrame:
+    organizations = _organizations(spark, sf_dir).withColumn("dt_log", F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
+    base = gold.gold_base(organizations, _deals(spark, sf_dir), _tasks(spark, sf_dir), [funnel])
+    return _comparable(gold.gold_table(base, _forest_map(spark, sf_dir), funnel))
+
+
 @query(_gold_sql(NEGOTIATION_FUNNEL))
 def gold_negotiations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Organizations with deals under negotiation, where they are and with how many tasks."""
@@ -216,3 +242,44 @@ def gold_negotiations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for the capture funnel."""
     return _gold(spark, sf_dir, CAPTURE_FUNNEL)
+
+
+@query(_gold_sql(CAPTURE_FUNNEL))
+def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages through all nine jobs: five bronze, two silver and two gold tables."""
+    landing = shared_dir(spark, "landing")
+
+    def land(rows: DataFrame, collection: str, page: str, record: str) -> None:
+        body = f"to_json(named_struct('{collection}', array({record}))) body"
+        rows.selectExpr(f"cast({page} as int) page", "200 status", body).write.parquet(f"{landing}/{collection}")
+
+    fields = ", ".join(
+        f"named_struct('value', {column}, 'custom_field', named_struct('label', '{label}'))"
+        for label, column in CUSTOM_FIELD_COLUMNS.items()
+    )
+    land(
+        _organizations(spark, sf_dir), "organizations", "substr(company_id, 2) div 200 + 1",
+        f"""named_struct('id', company_id, '_id', company_id, 'name', name, 'created_at', '2023-10-10T10:00:00.000-03:00',
+            'updated_at', '2023-10-11T10:00:00.000-03:00', 'custom_fields', array({fields}))""",
+    )
+    land(
+        _deals(spark, sf_dir), "deals", "o_orderkey div 200 + 1",
+        """named_struct('id', id, 'name', name, 'organization', named_struct('id', organization_id),
+            'user', named_struct('name', user_name), 'deal_stage', named_struct('id', stage_name, 'name', stage_name),
+            'deal_lost_reason', if(lost_reason is null, null, named_struct('name', lost_reason)),
+            'created_at', cast(created_at as string), 'updated_at', cast(updated_at as string))""",
+    )
+    land(
+        _tasks(spark, sf_dir), "tasks", "l_orderkey div 1000 + 1",
+        """named_struct('id', concat(l_orderkey, '-', l_linenumber), 'deal_id', deal_id, 'done', l_linestatus = 'F')""",
+    )
+    stages = _deals(spark, sf_dir).select(F.col("stage_name").alias("stage"), "funnel_name").distinct()
+    land(stages, "deal_stages", "1", "named_struct('id', stage, 'name', stage)")
+    funnel = "array(named_struct('name', funnel_name, 'deal_stages', array(named_struct('_id', stage, 'name', stage))))"
+    stages.selectExpr("1 page", "200 status", f"to_json({funnel}) body").write.parquet(f"{landing}/deal_pipelines")
+
+    lake = Lake(spark, shared_dir(spark, "lake"), f"lake_{uuid.uuid4().hex}")
+    run_bronze(spark, landing, lake, layout="log")
+    run_silver(lake, AS_OF)
+    run_gold(lake, _forest_map(spark, sf_dir))
+    return _comparable(lake.read("gold", "captures"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from jatoba import schemas
 from jatoba.operators.nested import flatten_structs, project, union_by_name
-from jatoba.plans.bronze import bronze_deals, bronze_funnels, bronze_organizations
+from jatoba.plans.bronze import bronze_deals, bronze_funnels, bronze_organizations, bronze_stages, bronze_tasks
 from jatoba.queries.registry import query, table
 from jatoba.sources import pages as source
 
@@ -95,6 +95,40 @@ def flatten_nested_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_deals(parsed(table(spark, sf_dir, "orders"), record, schemas.DEAL_RECORD))
 
 
+@query("""
+SELECT concat('T', event_id) AS id, event_type AS subject, 'call' AS type, NULL AS markup, event_type <> 'error' AS done,
+       CASE WHEN event_type = 'view' THEN props END AS notes, concat('D', user_id) AS deal_id, NULL AS done_date,
+       CAST(ts AS VARCHAR) AS created_at, CAST(CAST(ts AS DATE) AS VARCHAR) AS date
+FROM events
+""")
+def bronze_tasks_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task pages to the ten bronze columns; fields no record has are NULL. Notes hold quoted text."""
+    record = """named_struct('id', concat('T', event_id), 'subject', event_type, 'type', 'call',
+        'done', event_type <> 'error', 'notes', if(event_type = 'view', props, null),
+        'deal_id', concat('D', user_id), 'created_at', cast(ts as string), 'date', cast(cast(ts as date) as string),
+        'unknown', 1)"""
+    log = table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id div 200 + 1 as int) page", "200 status", f"to_json(named_struct('tasks', array({record}))) body"
+    )
+    return bronze_tasks(source.paged_records(*source.split_page_log(log), "tasks", schemas.TASK_RECORD))
+
+
+@query("""
+SELECT concat('P', p_partkey) AS id, p_name AS name, CASE WHEN p_size > 25 THEN '2023-01-01' END AS created_at,
+       '2023-02-02' AS updated_at
+FROM part
+""")
+def bronze_stages_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages from the single page of their collection, whatever its status."""
+    record = """named_struct('id', concat('P', p_partkey), 'name', p_name, 'order', p_size,
+        'created_at', if(p_size > 25, '2023-01-01', null), 'updated_at', '2023-02-02')"""
+    log = table(spark, sf_dir, "part").selectExpr(
+        "1 page", "500 status", f"to_json(named_struct('deal_stages', array({record}))) body"
+    )
+    pages, _ = source.split_page_log(log)
+    return bronze_stages(source.single_page_records(pages, "deal_stages", schemas.STAGE_RECORD))
+
+
 @query("""
 SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k" FROM events
 """)
