@@ -1,15 +1,13 @@
 """Equi joins that hold up when one key owns a large share of the rows.
 
-Every join here has a *many* side, whose keys may be hot, and a *few* side. Three ways:
-
-1. the few side is measured and broadcast when it is small;
-2. otherwise both sides shuffle on the key, and the hot keys found by
-   :func:`find_hot_keys` are cut into slices: each many-side row goes to one slice, the
-   few-side rows of a hot key are copied to all its slices;
-3. AQE's skew join splits what lies below the salting threshold.
-
-The number of slices of a key follows its share of the rows, so all copies together
-stay within two per shuffle partition plus one per hot key.
+1. A lookup is measured and broadcast when it is small.
+2. Otherwise both sides shuffle on the key, and the hot keys found by
+   :func:`find_hot_keys` are cut into slices: a row of a hot key goes to one slice of its
+   own side and is copied to all slices of the other side.
+3. AQE's skew join splits what lies below the slicing threshold.
+
+The number of slices of a key follows its share of the rows, so the slices of one side
+stay within four per shuffle partition plus two per hot key.
 """
 
 from __future__ import annotations
@@ -60,6 +58,9 @@ class HotKeys:
         return F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
 
 
+NO_HOT_KEYS = HotKeys({})
+
+
 def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
     """Frequent values of each column, from one pass and one small sketch per task.
 
@@ -110,50 +111,100 @@ def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BR
 
 
 def sliced_join(
-    many: DataFrame, few: DataFrame, many_key: str, few_key: str, hot: HotKeys, keep: str = "many"
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "left",
+    *,
+    left_hot: HotKeys = NO_HOT_KEYS,
+    right_hot: HotKeys = NO_HOT_KEYS,
 ) -> DataFrame:
-    """Join with the hot keys of ``many`` cut into slices.
+    """Left or inner join with the hot keys of either side cut into slices.
 
-    ``keep`` names the side whose unmatched rows stay: ``many``, ``few`` or ``neither``.
-    Column names of the two sides must differ. With hot keys, ``many`` must carry the
-    SPREAD column; it stays in the result.
+    Column names of the two sides must differ. A side with hot keys must carry the SPREAD
+    column; it stays in the result for the left side and goes for the right one.
     """
-    how = {"many": "left", "few": "right", "neither": "inner"}[keep]
-    on = F.col(f"`{many_key}`") == F.col(f"`{few_key}`")
-    if not hot:
-        return many.join(few, on, how)
-
-    slices = hot.slice_count(F.col(f"`{many_key}`"), with_null=True)
-    many = many.withColumn("_slice", F.pmod(F.col(SPREAD), slices).cast("int"))
-    copies = hot.slice_count(F.col(f"`{few_key}`"), with_null=False)
-    few = few.select("*", F.explode(F.sequence(F.lit(0), copies - 1)).alias("_copy"))
-    joined = many.join(few, on & (F.col("_slice") == F.col("_copy")), how)
-    if keep == "few":
-        # A hot key has rows on the many side by definition, so an unmatched copy only
-        # says that its slice is empty.
-        joined = joined.where(~(hot.contains(F.col(f"`{few_key}`")) & F.col("_slice").isNull()))
-    return joined.drop("_slice", "_copy")
+    a, b = F.col(f"`{left_key}`"), F.col(f"`{right_key}`")
+    on = a == b
+    if left_hot:
+        left = left.withColumn("_slice", _slice(left_hot.slice_count(a, with_null=True)))
+        right = right.select("*", _copies(left_hot.slice_count(b, with_null=False)).alias("_slice_copy"))
+        on = on & (F.col("_slice") == F.col("_slice_copy"))
+    if right_hot:
+        left = left.select("*", _copies(right_hot.slice_count(a, with_null=False)).alias("_part_copy"))
+        right = right.withColumn("_part", _slice(right_hot.slice_count(b, with_null=True))).drop(SPREAD)
+        on = on & (F.col("_part") == F.col("_part_copy"))
+    joined = left.join(right, on, how)
+    if right_hot and how == "left":
+        # A hot key of the right side has rows there by definition, so an unmatched copy of
+        # a left row only says that this slice is empty.
+        joined = joined.where(~(right_hot.contains(a) & F.col("_part").isNull()))
+    return joined.drop("_slice", "_slice_copy", "_part", "_part_copy")
+
+
+def _slice(count: Column) -> Column:
+    return F.pmod(F.col(SPREAD), count).cast("int")
+
+
+def _copies(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), count - 1))
+
+
+def skew_safe_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "left",
+    *,
+    min_hot_rows: int = MIN_HOT_ROWS,
+) -> DataFrame:
+    """Find the hot keys of two table scans and join them in slices."""
+    left_hot = find_hot_keys(left, left_key, min_rows=min_hot_rows)[left_key]
+    right_hot = find_hot_keys(right, right_key, min_rows=min_hot_rows)[right_key]
+    joined = sliced_join(
+        with_spread(left) if left_hot else left,
+        with_spread(right) if right_hot else right,
+        left_key,
+        right_key,
+        how,
+        left_hot=left_hot,
+        right_hot=right_hot,
+    )
+    return joined.drop(SPREAD)
 
 
 def lookup_left_join(
-    many: DataFrame,
-    few: DataFrame,
-    many_key: str,
-    few_key: str,
+    rows: DataFrame,
+    lookup: DataFrame,
+    rows_key: str,
+    lookup_key: str,
     *,
-    scan: bool = True,
+    rows_scan: bool = True,
+    lookup_scan: bool = True,
     broadcast_bytes: int = BROADCAST_BYTES,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Left join to a lookup: broadcast if the lookup measures small, sliced otherwise.
 
-    The second way looks at ``many`` twice. ``scan`` says that it only reads files; if it
-    has joins behind it, pass False and it is staged first.
+    The second way looks at both sides twice. ``*_scan`` says that a side only reads files;
+    a side with shuffles behind it is staged first.
     """
-    if is_small(few, broadcast_bytes):
-        return many.join(F.broadcast(few), F.col(f"`{many_key}`") == F.col(f"`{few_key}`"), "left")
-    if not scan:
-        many = stage(many, "lookup")
-    hot = find_hot_keys(many, many_key, min_rows=min_hot_rows)[many_key]
-    many = with_spread(many) if hot else many
-    return sliced_join(many, few.hint("merge"), many_key, few_key, hot).drop(SPREAD)
+    if is_small(lookup, broadcast_bytes):
+        return rows.join(F.broadcast(lookup), F.col(f"`{rows_key}`") == F.col(f"`{lookup_key}`"), "left")
+    rows = rows if rows_scan else stage(rows, "rows")
+    lookup = lookup if lookup_scan else stage(lookup, "lookup")
+    return skew_safe_join(rows, lookup.hint("merge"), rows_key, lookup_key, min_hot_rows=min_hot_rows)
+
+
+def merge_left(left: DataFrame, right: DataFrame, on: str, **options) -> DataFrame:
+    """Left join on one column; other columns both sides have get the suffixes _x and _y."""
+    both = (set(left.columns) & set(right.columns)) - {on}
+
+    def renamed(df: DataFrame, suffix: str, key: str) -> DataFrame:
+        return df.select(
+            [F.col(f"`{c}`").alias(key if c == on else f"{c}{suffix}" if c in both else c) for c in df.columns]
+        )
+
+    return skew_safe_join(renamed(left, "_x", on), renamed(right, "_y", "_on"), on, "_on", **options).drop("_on")

@@ -30,8 +30,9 @@ def gold_base(
     """Distinct organization x deal rows of the given funnels.
 
     Only rows with a funnel name survive, so an organization needs a deal and the join to
-    the deals is an inner one; the funnel filter stands at the deal scan. ``deals`` should
-    be a table scan. One look at it finds hot organizations and repeated deals.
+    the deals is an inner one; the funnel filter stands at the deal scan. ``organizations``
+    and ``deals`` should be table scans. One look at each finds hot organizations and
+    repeated deals.
     """
     wanted = deals.where(F.col("funnel_name").isin(*funnels) & F.col("organization_id").isNotNull()).select(
         F.col("id").alias("deal"),
@@ -47,7 +48,7 @@ def gold_base(
     hot = find_hot_keys(wanted, "deal", "organization_id", min_rows=min_hot_rows)
     if any(hot.values()):
         wanted = with_spread(wanted)
-    counted = sliced_join(wanted, task_counts(tasks), "deal", "task_deal_id", hot["deal"])
+    counted = sliced_join(wanted, task_counts(tasks), "deal", "task_deal_id", left_hot=hot["deal"])
 
     places = organizations.select(
         "company_id",
@@ -64,7 +65,16 @@ def gold_base(
         geo.full_coordinate(F.col("registro_rural"), F.col("coordenada")).alias("coordenada_completa"),
         F.col("dt_log").alias("dt_carga"),
     )
-    joined = sliced_join(counted, places, "organization_id", "company_id", hot["organization_id"], "neither")
+    hot_places = find_hot_keys(places, "company_id", min_rows=min_hot_rows)["company_id"]
+    joined = sliced_join(
+        counted,
+        with_spread(places) if hot_places else places,
+        "organization_id",
+        "company_id",
+        "inner",
+        left_hot=hot["organization_id"],
+        right_hot=hot_places,
+    )
     return joined.drop("deal", "organization_id", "company_id", "task_deal_id", SPREAD).distinct()
 
 
@@ -79,7 +89,7 @@ def gold_table(
     """The 24 columns of one gold table.
 
     The funnel filter comes before the casts: a bad coordinate fails only its own load.
-    ``join_options`` go to :func:`lookup_left_join`; give ``scan=True`` for a staged base.
+    ``join_options`` go to :func:`lookup_left_join`; give ``rows_scan=True`` for a staged base.
     """
     located = base.where(F.col("funnel_name") == funnel).withColumns(
         {
@@ -87,7 +97,7 @@ def gold_table(
             "longitude": geo.longitude(F.col("coordenada_completa"), strict),
         }
     )
-    options = {"scan": False, **join_options}
+    options = {"rows_scan": False, **join_options}
     mapped = lookup_left_join(located, map_lookup(forest_map), "id_organizacao", "map_id", **options)
     return mapped.select(
         "id_organizacao",

@@ -61,5 +61,5 @@ def run_gold(lake: Lake, forest_map: DataFrame, strict: bool = True) -> None:
     )
     base = stage(base, "gold-base")
     for name, funnel in GOLD_TABLES.items():
-        table = gold.gold_table(base, forest_map, funnel, strict, scan=True)
+        table = gold.gold_table(base, forest_map, funnel, strict, rows_scan=True)
         truncate_insert(table, lake, "gold", name, schemas.GOLD)

@@ -61,5 +61,5 @@ def silver_deals(bronze: DataFrame, funnels: DataFrame, strict: bool = True, **j
         time("created_at"),
         time("updated_at"),
     )
-    joined = lookup_left_join(deals, lookup, "stage_id", "funnel_stage", **join_options)
+    joined = lookup_left_join(deals, lookup, "stage_id", "funnel_stage", lookup_scan=False, **join_options)
     return joined.select(*deals.columns, "funnel_name")

@@ -112,7 +112,7 @@ ORGANIZATIONS = """
            CASE WHEN {key} % 5 = 0 THEN concat('0', {nation}) WHEN {key} % 11 = 0 THEN NULL
                 ELSE concat('', {nation}) END AS id,
            concat('City ', {nation}) AS cidade, 'car' AS car_incra, concat({key} % 100, ' ha') AS area_util,
-           concat({key} % 10, ' m3') AS volume_calculado, {name} AS proprietario, NULL AS landviewer,
+           concat({key} % 10, ' m3') AS volume_calculado, {name} AS proprietario, CAST(NULL AS STRING) AS landviewer,
            {register} AS registro_rural, 'maps' AS google_maps, {coordinate} AS coordenada
     FROM {source}"""
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from jatoba.functions import convert, geo
 from jatoba.functions.conditions import PASS_MEAN
-from jatoba.operators.joins import SPREAD, find_hot_keys, lookup_left_join, sliced_join, with_spread
+from jatoba.operators.joins import lookup_left_join, merge_left, skew_safe_join
 from jatoba.operators.pivot import eav_pivot
 from jatoba.plans.gold import map_lookup, task_counts
 from jatoba.queries.registry import query, table
@@ -81,12 +81,22 @@ def organization_deals_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     deals = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_orderstatus", "if(o_orderstatus = 'P', null, concat('C', o_custkey)) organization_id"
     )
-    deals = deals.where("organization_id IS NOT NULL")
-    hot = find_hot_keys(deals, "organization_id")["organization_id"]
-    joined = sliced_join(
-        with_spread(deals) if hot else deals, organizations, "organization_id", "company_id", hot, keep="few"
+    joined = skew_safe_join(organizations, deals, "company_id", "organization_id")
+    return joined.drop("organization_id")
+
+
+@query("""
+SELECT c_custkey AS id, c_name AS name_x, c_acctbal AS value_x, o_orderpriority AS name_y, o_totalprice AS value_y,
+       o_orderkey
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderstatus = 'F'
+""")
+def left_merge_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Left merge of frames that share column names."""
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey id", "c_name name", "c_acctbal value")
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "if(o_orderstatus = 'F', o_custkey, null) id", "o_orderpriority name", "o_totalprice value"
     )
-    return joined.drop("organization_id", SPREAD)
+    return merge_left(customer, orders, "id")
 
 
 @query("""
@@ -99,11 +109,8 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     counts = task_counts(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("deal_id")))
-    hot = find_hot_keys(orders, "o_custkey")["o_custkey"]
-    if hot:
-        orders = with_spread(orders)
-    counted = orders.join(counts, F.col("o_orderkey") == F.col("task_deal_id"), "left")
-    joined = sliced_join(counted, customer, "o_custkey", "c_custkey", hot, keep="few")
+    placed = skew_safe_join(customer, orders, "c_custkey", "o_custkey")
+    joined = placed.join(counts, F.col("o_orderkey") == F.col("task_deal_id"), "left")
     return joined.select("c_mktsegment", "c_nationkey", "o_orderstatus", "o_orderpriority", "qtde_tarefas").distinct()
 
 
