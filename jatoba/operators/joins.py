@@ -27,7 +27,7 @@ TRACKED_KEYS = 20_000
 """Counters of the frequent-items sketch; its error is a fifth of 1/MAX_HOT_KEYS."""
 MERGE_TASKS = 128
 """Tasks that merge sketches before the last step."""
-MIN_HOT_ROWS = 100_000
+MIN_HOT_ROWS = 1_000_000
 """Below this many rows a key is not worth cutting."""
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 500_000
@@ -66,24 +66,28 @@ def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) ->
 
     No shuffle on the key: only sketches move, and they merge in two steps so that no task
     takes in those of all tasks. One row with at most MAX_HOT_KEYS values per column comes
-    to the driver. The sketch decides how rows are spread, never which rows are kept.
+    to the driver. The sketch decides how rows are spread, never which rows are kept. A
+    frame too small to hold a hot key is only counted.
     """
-    partial = df.groupBy((F.spark_partition_id() % MERGE_TASKS).alias("_merge")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns],
+    rows = df.count()
+    if rows == 0 or rows < min_rows:
+        return dict.fromkeys(columns, NO_HOT_KEYS)
+    merged = df.groupBy((F.spark_partition_id() % MERGE_TASKS).alias("_merge")).agg(
+        *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns]
     )
-    merged = [f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED_KEYS}), {MAX_HOT_KEYS})" for c in columns]
-    row = partial.agg(
-        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"), *[F.expr(m).alias(c) for m, c in zip(merged, columns)]
+    top = "approx_top_k_estimate(approx_top_k_combine(`{}`, {}), {})"
+    # Grouped by a constant, because a combine without grouping fails on an empty partition.
+    row = merged.groupBy(F.lit("all")).agg(
+        *[F.expr(top.format(c, TRACKED_KEYS, MAX_HOT_KEYS)).alias(c) for c in columns]
     ).first()
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    threshold = max(min_rows, row["_rows"] / MAX_HOT_KEYS)
+    threshold = max(min_rows, rows / MAX_HOT_KEYS)
     hot = {}
     for c in columns:
         slices: dict[int, list] = {}
-        for item, count in row[c] or []:
+        for item, count in row[c]:
             if count >= threshold:
-                share = 2 * partitions * count / row["_rows"]
+                share = 2 * partitions * count / rows
                 slices.setdefault(2 ** max(1, math.ceil(math.log2(share))), []).append(item)
         hot[c] = HotKeys(slices)
     return hot

@@ -41,6 +41,19 @@ def test_hot_keys(spark, many):
     assert not joins.find_hot_keys(many, "k", "v", min_rows=5000)["k"]
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_keys_of_odd_frames(spark, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        nothing = spark.range(0).select(F.lit("x").alias("k"))
+        assert not joins.find_hot_keys(nothing, "k", min_rows=0)["k"]
+        nulls = spark.range(100).select(F.lit(None).cast("string").alias("k"), "id")
+        hot = joins.find_hot_keys(nulls, "k", "id", min_rows=10)
+        assert [k for keys in hot["k"].slices.values() for k in keys] == [None] and not hot["id"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_sketch_error_is_below_the_threshold(spark):
     """A key with twice the threshold is found among very many thin keys."""
     rows = spark.range(2_000_000).select(
