@@ -102,6 +102,11 @@ def with_spread(df: DataFrame) -> DataFrame:
     return df.withColumn(SPREAD, F.monotonically_increasing_id())
 
 
+def with_hash_spread(df: DataFrame) -> DataFrame:
+    """The same for a frame of distinct rows with shuffles behind it: number rows by content."""
+    return df.withColumn(SPREAD, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
     """Measure a frame: first its rows, then, if they are few, the length of its text and bytes."""
     if df.count() > max_rows:
