@@ -17,6 +17,7 @@ from jatoba.operators.joins import (
     with_hash_spread,
     with_spread,
 )
+from jatoba.schemas import GOLD, GOLD_DEAL_COLUMNS, GOLD_ORGANIZATION_COLUMNS, names
 
 
 def task_counts(tasks: DataFrame) -> DataFrame:
@@ -42,17 +43,8 @@ def gold_base(
     and ``deals`` should be table scans. One look at each finds hot organizations and
     repeated deals.
     """
-    wanted = deals.where(F.col("funnel_name").isin(*funnels) & F.col("organization_id").isNotNull()).select(
-        F.col("id").alias("deal"),
-        "organization_id",
-        F.col("name").alias("nome_negociacao"),
-        F.col("user_name").alias("responsavel"),
-        F.col("stage_name").alias("etapa"),
-        F.col("lost_reason").alias("motivo_perda"),
-        F.col("created_at").alias("dt_criacao_negociacao"),
-        F.col("updated_at").alias("dt_atualizacao_negociacao"),
-        "funnel_name",
-    )
+    wanted = deals.where(F.col("funnel_name").isin(*funnels) & F.col("organization_id").isNotNull())
+    wanted = wanted.select([F.col(c).alias(name) for c, name in GOLD_DEAL_COLUMNS.items()])
     hot = find_hot_keys(wanted, "deal", "organization_id", min_rows=min_hot_rows)
     if any(hot.values()):
         wanted = with_spread(wanted)
@@ -60,19 +52,8 @@ def gold_base(
     counted = counted.drop("deal", "task_deal_id")
 
     places = organizations.select(
-        "company_id",
-        F.col("id").alias("id_organizacao"),
-        F.col("name").alias("nome_organizacao"),
-        "cidade",
-        "car_incra",
-        "area_util",
-        "volume_calculado",
-        "proprietario",
-        "landviewer",
-        "registro_rural",
-        "google_maps",
+        *[F.col(c).alias(name) for c, name in GOLD_ORGANIZATION_COLUMNS.items()],
         geo.full_coordinate(F.col("registro_rural"), F.col("coordenada")).alias("coordenada_completa"),
-        F.col("dt_log").alias("dt_carga"),
     )
     repeated = may_repeat(places.drop("company_id"))
     if not repeated:
@@ -121,32 +102,8 @@ def gold_table(
     )
     options = {"rows_scan": False, **join_options}
     mapped = lookup_left_join(located, map_lookup(forest_map), "id_organizacao", "map_id", **options)
-    return mapped.select(
-        "id_organizacao",
-        "nome_organizacao",
-        "cidade",
-        "car_incra",
-        "area_util",
-        "volume_calculado",
-        "proprietario",
-        "landviewer",
-        "registro_rural",
-        "google_maps",
-        "coordenada_completa",
-        "nome_negociacao",
-        "responsavel",
-        "etapa",
-        "motivo_perda",
-        "dt_criacao_negociacao",
-        "dt_atualizacao_negociacao",
-        "qtde_tarefas",
-        "dt_carga",
-        "latitude",
-        "longitude",
-        geo.point(F.col("longitude"), F.col("latitude")).alias("ponto"),
-        F.col("funnel_name").alias("nome_funil"),
-        "geom",
-    )
+    points = geo.point(F.col("longitude"), F.col("latitude"))
+    return mapped.withColumns({"ponto": points, "nome_funil": F.col("funnel_name")}).select(names(GOLD))
 
 
 def bad_coordinates(base: DataFrame, funnel: str) -> DataFrame:

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jatoba.functions.convert import parse_timestamp
 from jatoba.operators.joins import lookup_left_join
 from jatoba.operators.nested import quoted
 from jatoba.operators.pivot import eav_pivot
-from jatoba.schemas import CUSTOM_FIELD_COLUMNS
+from jatoba.schemas import (
+    BRONZE_DEALS,
+    CUSTOM_FIELD_COLUMNS,
+    DEAL_TIMES,
+    SILVER_DEAL_RENAMES,
+    SILVER_DEALS,
+    SILVER_ORGANIZATIONS,
+    names,
+)
 
 
 def silver_organizations(bronze: DataFrame, as_of: datetime | None = None, strict: bool = True) -> DataFrame:
@@ -24,11 +32,7 @@ def silver_organizations(bronze: DataFrame, as_of: datetime | None = None, stric
     ]
     wide = eav_pivot(bronze, keys, F.col("`custom_field.label`"), F.col("value"), CUSTOM_FIELD_COLUMNS)
     loaded = F.current_timestamp() if as_of is None else F.lit(as_of.isoformat())
-    *before, last = CUSTOM_FIELD_COLUMNS.values()
-    return wide.select(
-        "company_id", "name", "created_at", "updated_at", *before,
-        loaded.cast("timestamp_ntz").alias("dt_log"), last,
-    )
+    return wide.withColumn("dt_log", loaded.cast("timestamp_ntz")).select(names(SILVER_ORGANIZATIONS))
 
 
 def silver_deals(bronze: DataFrame, funnels: DataFrame, strict: bool = True, **join_options) -> DataFrame:
@@ -39,27 +43,10 @@ def silver_deals(bronze: DataFrame, funnels: DataFrame, strict: bool = True, **j
     """
     lookup = funnels.select(F.col("Name").alias("funnel_name"), F.col("DealStage_ID").alias("funnel_stage")).distinct()
 
-    def text(source: str, name: str):
-        return F.col(quoted(source)).alias(name)
+    def typed(source: str) -> Column:
+        c = F.col(quoted(source))
+        return (parse_timestamp(c, strict) if source in DEAL_TIMES else c).alias(SILVER_DEAL_RENAMES.get(source, source))
 
-    def time(source: str):
-        return parse_timestamp(F.col(source), strict).alias(source)
-
-    deals = bronze.select(
-        "id",
-        "name",
-        time("last_activity_at"),
-        "interactions",
-        "win",
-        time("closed_at"),
-        text("organization.id", "organization_id"),
-        text("organization.name", "organization_name"),
-        text("user.name", "user_name"),
-        text("deal_stage.id", "stage_id"),
-        text("deal_stage.name", "stage_name"),
-        text("deal_lost_reason.name", "lost_reason"),
-        time("created_at"),
-        time("updated_at"),
-    )
+    deals = bronze.select([typed(c) for c in BRONZE_DEALS])
     joined = lookup_left_join(deals, lookup, "stage_id", "funnel_stage", lookup_scan=False, **join_options)
-    return joined.select(*deals.columns, "funnel_name")
+    return joined.select(names(SILVER_DEALS))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from jatoba.plans import gold, silver
 from jatoba.plans.jobs import run_bronze, run_gold, run_silver
 from jatoba.queries.registry import query, table
-from jatoba.queries.relational import AS_OF
+from jatoba.queries.relational import AS_OF, coordinate_ctes
 from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, NEGOTIATION_FUNNEL
 from jatoba.session import shared_dir
 from jatoba.sources.tables import Lake
@@ -145,35 +145,23 @@ deals AS (
 ), tasks AS (
     SELECT CASE WHEN l_returnflag <> 'A' THEN concat('D', l_orderkey) END AS deal_id FROM lineitem
 ), counts AS (SELECT deal_id, count(*) AS qtde_tarefas FROM tasks GROUP BY deal_id),
-base AS (
-    SELECT DISTINCT o.id AS id_organizacao, o.name AS nome_organizacao, cidade, car_incra, area_util, volume_calculado,
-           proprietario, landviewer, registro_rural, google_maps,
-           CASE WHEN position(',' IN registro_rural) = 0 THEN coordenada
-                ELSE substring(registro_rural, greatest(position('-' IN registro_rural), 1)) END AS coordenada_completa,
+pairs AS (
+    SELECT o.* EXCLUDE (company_id, id, name), o.id AS id_organizacao, o.name AS nome_organizacao,
            d.name AS nome_negociacao, user_name AS responsavel, stage_name AS etapa, lost_reason AS motivo_perda,
-           created_at AS dt_criacao_negociacao, updated_at AS dt_atualizacao_negociacao, funnel_name, qtde_tarefas,
-           TIMESTAMP '2024-01-02 03:04:05' AS dt_carga
+           created_at AS dt_criacao_negociacao, updated_at AS dt_atualizacao_negociacao, funnel_name AS nome_funil,
+           qtde_tarefas, TIMESTAMP '2024-01-02 03:04:05' AS dt_carga
     FROM organizations o LEFT JOIN deals d ON o.company_id = d.organization_id LEFT JOIN counts ON d.id = deal_id
-), located AS (
-    SELECT *, CAST(CASE WHEN position('-' IN coordenada_completa) = 0 THEN NULL
-                   ELSE replace(substring(coordenada_completa, position('-' IN coordenada_completa),
-                                          position(',' IN coordenada_completa)), ',', '') END AS DECIMAL(38,18))
-              AS latitude,
-           CAST(replace(CASE WHEN position('-' IN coordenada_completa) = 0 THEN NULL
-                   ELSE substring(coordenada_completa, position(',' IN coordenada_completa) + 1, 10000) END,
-                   ',', '.') AS DECIMAL(38,18)) AS longitude
+), {coordinate_ctes("pairs")}, base AS (
+    SELECT DISTINCT * EXCLUDE (coordenada) FROM slices
+), numbers AS (
+    SELECT * EXCLUDE (lat_text, lon_text), CAST(lat_text AS DECIMAL(38,18))::DOUBLE AS latitude,
+           CAST(lon_text AS DECIMAL(38,18))::DOUBLE AS longitude, lat_text || lon_text IS NOT NULL AS located
     FROM base
 )
-SELECT id_organizacao, nome_organizacao, cidade, car_incra, area_util, volume_calculado, proprietario, landviewer,
-       registro_rural, google_maps, coordenada_completa, nome_negociacao, responsavel, etapa, motivo_perda,
-       dt_criacao_negociacao, dt_atualizacao_negociacao, qtde_tarefas, dt_carga,
-       CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
-       CASE WHEN latitude IS NOT NULL AND longitude IS NOT NULL THEN 4326 END AS srid,
-       CASE WHEN latitude IS NOT NULL THEN CAST(longitude AS DOUBLE) END AS x,
-       CASE WHEN longitude IS NOT NULL THEN CAST(latitude AS DOUBLE) END AS y,
-       funnel_name AS nome_funil, hex(CAST(n_name AS BLOB)) AS geom
-FROM located LEFT JOIN nation ON id_organizacao = CAST(n_nationkey % 20 AS VARCHAR)
-WHERE funnel_name = '{funnel}'
+SELECT numbers.* EXCLUDE (located), if(located, 4326, NULL) AS srid, if(located, longitude, NULL) AS x,
+       if(located, latitude, NULL) AS y, hex(n_name::BLOB) AS geom
+FROM numbers LEFT JOIN nation ON id_organizacao = CAST(n_nationkey % 20 AS VARCHAR)
+WHERE nome_funil = '{funnel}'
 """
 
 

@@ -124,25 +124,29 @@ COORDINATE = """CASE c_custkey % 14
     WHEN 7 THEN concat('-23.5,-46,', c_custkey % 10) WHEN 8 THEN '-23,5,-46,6' WHEN 9 THEN '23.5,46.6' WHEN 10 THEN 'q'
     WHEN 11 THEN concat('-', c_custkey % 90, '.5, -46.6') WHEN 12 THEN NULL WHEN 13 THEN '-1.5,-2.5' END"""
 
+def coordinate_ctes(source: str) -> str:
+    """The coordinate rules by positions and slices, on top of a CTE with the two texts."""
+    return f"""
+full_texts AS (
+    SELECT *, if(contains(registro_rural, ','), registro_rural[greatest(instr(registro_rural, '-'), 1):],
+                 if(registro_rural IS NULL, NULL, coordenada)) AS coordenada_completa
+    FROM {source}
+), places AS (
+    SELECT *, instr(coordenada_completa, '-') AS dash, instr(coordenada_completa, ',') AS comma FROM full_texts
+), slices AS (
+    SELECT * EXCLUDE (dash, comma),
+           if(dash > 0, replace(coordenada_completa[dash : dash + comma - 1], ',', ''), NULL) AS lat_text,
+           if(dash > 0, replace(coordenada_completa[comma + 1 : comma + 10000], ',', '.'), NULL) AS lon_text
+    FROM places
+)"""
+
+
 COORDINATE_SQL = f"""
 WITH raw AS (SELECT c_custkey, {REGISTER} AS registro_rural, {COORDINATE} AS coordenada FROM customer),
-full_text AS (
-    SELECT *, CASE WHEN position(',' IN registro_rural) = 0 THEN coordenada
-                   ELSE substring(registro_rural, greatest(position('-' IN registro_rural), 1)) END
-              AS coordenada_completa
-    FROM raw
-), parts AS (
-    SELECT *, CASE WHEN position('-' IN coordenada_completa) = 0 THEN NULL
-                   ELSE replace(substring(coordenada_completa, position('-' IN coordenada_completa),
-                                          position(',' IN coordenada_completa)), ',', '') END AS lat_text,
-           replace(CASE WHEN position('-' IN coordenada_completa) = 0 THEN NULL
-                   ELSE substring(coordenada_completa, position(',' IN coordenada_completa) + 1, 10000) END,
-                   ',', '.') AS lon_text
-    FROM full_text
-), numbers AS (
-    SELECT *, CAST(TRY_CAST(lat_text AS DECIMAL(38,18)) AS DOUBLE) AS latitude,
-           CAST(TRY_CAST(lon_text AS DECIMAL(38,18)) AS DOUBLE) AS longitude
-    FROM parts
+{coordinate_ctes("raw")}, numbers AS (
+    SELECT *, TRY_CAST(lat_text AS DECIMAL(38,18))::DOUBLE AS latitude,
+           TRY_CAST(lon_text AS DECIMAL(38,18))::DOUBLE AS longitude
+    FROM slices
 )
 """
 

@@ -3,6 +3,8 @@ and would turn the free-form ``value`` field into whatever the sample held."""
 
 from __future__ import annotations
 
+from pyspark.sql.types import StructType
+
 # Field names and order of the exported collections and of the layer tables.
 
 ORGANIZATION_RECORD = """
@@ -70,9 +72,52 @@ CUSTOM_FIELD_COLUMNS = {
     "COORDENADA": "coordenada",
 }
 
+# Silver column -> gold column.
+GOLD_ORGANIZATION_COLUMNS = {
+    "company_id": "company_id",
+    "id": "id_organizacao",
+    "name": "nome_organizacao",
+    "cidade": "cidade",
+    "car_incra": "car_incra",
+    "area_util": "area_util",
+    "volume_calculado": "volume_calculado",
+    "proprietario": "proprietario",
+    "landviewer": "landviewer",
+    "registro_rural": "registro_rural",
+    "google_maps": "google_maps",
+    "dt_log": "dt_carga",
+}
+GOLD_DEAL_COLUMNS = {
+    "id": "deal",
+    "organization_id": "organization_id",
+    "name": "nome_negociacao",
+    "user_name": "responsavel",
+    "stage_name": "etapa",
+    "lost_reason": "motivo_perda",
+    "created_at": "dt_criacao_negociacao",
+    "updated_at": "dt_atualizacao_negociacao",
+    "funnel_name": "funnel_name",
+}
+
+# Bronze deal column -> silver column, for those that change their name.
+SILVER_DEAL_RENAMES = {
+    "organization.id": "organization_id",
+    "organization.name": "organization_name",
+    "user.name": "user_name",
+    "deal_stage.id": "stage_id",
+    "deal_stage.name": "stage_name",
+    "deal_lost_reason.name": "lost_reason",
+}
+DEAL_TIMES = ["last_activity_at", "closed_at", "created_at", "updated_at"]
+
 # The two funnels that get a gold table.
 NEGOTIATION_FUNNEL = "Em Negociação"
 CAPTURE_FUNNEL = "Captação Florestal"
 
 PAGE_LIMIT = 200
 SRID = 4326
+
+
+def names(ddl: str) -> list[str]:
+    """Column names of a declared schema, in order."""
+    return StructType.fromDDL(ddl).names
