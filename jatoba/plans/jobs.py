@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from jatoba import schemas
 from jatoba.operators.sinks import replace_table, truncate_insert
 from jatoba.plans import bronze, gold, silver
-from jatoba.session import stage
+from jatoba.session import stage, together
 from jatoba.sources import pages as source
 from jatoba.sources.tables import Lake
 
@@ -29,23 +30,42 @@ def run_bronze(
     def paged(collection: str, record: str) -> DataFrame:
         return source.paged_records(*landed(collection), collection, record, limit).drop("page")
 
+    def save(rows: DataFrame, name: str) -> None:
+        replace_table(rows, lake, "bronze", name)
+
+    def organizations() -> None:
+        save(bronze.bronze_organizations(paged("organizations", schemas.ORGANIZATION_RECORD)), "organizations")
+
+    def funnels() -> None:
+        records = source.single_page_array(*landed("deal_pipelines"), schemas.FUNNEL_RECORD)
+        save(bronze.bronze_funnels(records), "funnels")
+
+    def stages() -> None:
+        pages, _ = landed("deal_stages")
+        save(bronze.bronze_stages(source.single_page_records(pages, "deal_stages", schemas.STAGE_RECORD)), "stages")
+
+    def deals() -> None:
+        save(bronze.bronze_deals(paged("deals", schemas.DEAL_RECORD)), "deals")
+
+    def tasks() -> None:
+        save(bronze.bronze_tasks(paged("tasks", schemas.TASK_RECORD)), "tasks")
+
     lake.create()
-    organizations = paged("organizations", schemas.ORGANIZATION_RECORD)
-    replace_table(bronze.bronze_organizations(organizations), lake, "bronze", "organizations")
-    funnels = source.single_page_array(*landed("deal_pipelines"), schemas.FUNNEL_RECORD)
-    replace_table(bronze.bronze_funnels(funnels), lake, "bronze", "funnels")
-    stages = source.single_page_records(landed("deal_stages")[0], "deal_stages", schemas.STAGE_RECORD)
-    replace_table(bronze.bronze_stages(stages), lake, "bronze", "stages")
-    replace_table(bronze.bronze_deals(paged("deals", schemas.DEAL_RECORD)), lake, "bronze", "deals")
-    replace_table(bronze.bronze_tasks(paged("tasks", schemas.TASK_RECORD)), lake, "bronze", "tasks")
+    together(organizations, funnels, stages, deals, tasks)
 
 
 def run_silver(lake: Lake, as_of: datetime | None = None, strict: bool = True) -> None:
     """Bronze tables to the two silver tables."""
-    organizations = silver.silver_organizations(lake.read("bronze", "organizations"), as_of, strict)
-    truncate_insert(organizations, lake, "silver", "organizations", schemas.SILVER_ORGANIZATIONS)
-    deals = silver.silver_deals(lake.read("bronze", "deals"), lake.read("bronze", "funnels"), strict)
-    truncate_insert(deals, lake, "silver", "deals", schemas.SILVER_DEALS)
+
+    def organizations() -> None:
+        rows = silver.silver_organizations(lake.read("bronze", "organizations"), as_of, strict)
+        truncate_insert(rows, lake, "silver", "organizations", schemas.SILVER_ORGANIZATIONS)
+
+    def deals() -> None:
+        rows = silver.silver_deals(lake.read("bronze", "deals"), lake.read("bronze", "funnels"), strict)
+        truncate_insert(rows, lake, "silver", "deals", schemas.SILVER_DEALS)
+
+    together(organizations, deals)
 
 
 def run_gold(lake: Lake, forest_map: DataFrame, strict: bool = True) -> None:
@@ -60,6 +80,9 @@ def run_gold(lake: Lake, forest_map: DataFrame, strict: bool = True) -> None:
         list(GOLD_TABLES.values()),
     )
     base = stage(base, "gold-base")
-    for name, funnel in GOLD_TABLES.items():
+
+    def load(name: str, funnel: str) -> None:
         table = gold.gold_table(base, forest_map, funnel, strict, rows_scan=True)
         truncate_insert(table, lake, "gold", name, schemas.GOLD)
+
+    together(*[partial(load, name, funnel) for name, funnel in GOLD_TABLES.items()])

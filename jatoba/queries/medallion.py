@@ -7,6 +7,7 @@ tasks are line items, funnels follow the order priority, the forest map is the n
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from jatoba.plans.jobs import run_bronze, run_gold, run_silver
 from jatoba.queries.registry import query, table
 from jatoba.queries.relational import AS_OF, coordinate_ctes
 from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, NEGOTIATION_FUNNEL
-from jatoba.session import shared_dir
+from jatoba.session import shared_dir, together
 from jatoba.sources.tables import Lake
 
 
@@ -237,34 +238,32 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages through all nine jobs: five bronze, two silver and two gold tables."""
     landing = shared_dir(spark, "landing")
 
-    def land(rows: DataFrame, collection: str, page: str, record: str) -> None:
-        body = f"to_json(named_struct('{collection}', array({record}))) body"
-        rows.selectExpr(f"cast({page} as int) page", "200 status", body).write.parquet(f"{landing}/{collection}")
+    def land(rows: DataFrame, collection: str, page: str, record: str, envelope: bool = True) -> Callable[[], None]:
+        content = f"named_struct('{collection}', array({record}))" if envelope else f"array({record})"
+        log = rows.selectExpr(f"cast({page} as int) page", "200 status", "1 records", f"to_json({content}) body")
+        return lambda: log.write.parquet(f"{landing}/{collection}")
 
     fields = ", ".join(
         f"named_struct('value', {column}, 'custom_field', named_struct('label', '{label}'))"
         for label, column in CUSTOM_FIELD_COLUMNS.items()
     )
-    land(
-        _organizations(spark, sf_dir), "organizations", "substr(company_id, 2) div 200 + 1",
-        f"""named_struct('id', company_id, '_id', company_id, 'name', name, 'created_at', '2023-10-10T10:00:00.000-03:00',
-            'updated_at', '2023-10-11T10:00:00.000-03:00', 'custom_fields', array({fields}))""",
-    )
-    land(
-        _deals(spark, sf_dir), "deals", "o_orderkey div 200 + 1",
-        """named_struct('id', id, 'name', name, 'organization', named_struct('id', organization_id),
-            'user', named_struct('name', user_name), 'deal_stage', named_struct('id', stage_name, 'name', stage_name),
-            'deal_lost_reason', if(lost_reason is null, null, named_struct('name', lost_reason)),
-            'created_at', cast(created_at as string), 'updated_at', cast(updated_at as string))""",
-    )
-    land(
-        _tasks(spark, sf_dir), "tasks", "l_orderkey div 1000 + 1",
-        """named_struct('id', concat(l_orderkey, '-', l_linenumber), 'deal_id', deal_id, 'done', l_linestatus = 'F')""",
-    )
+    organization = f"""named_struct('id', company_id, '_id', company_id, 'name', name,
+        'created_at', '2023-10-10T10:00:00.000-03:00', 'updated_at', '2023-10-11T10:00:00.000-03:00',
+        'custom_fields', array({fields}))"""
+    deal = """named_struct('id', id, 'name', name, 'organization', named_struct('id', organization_id),
+        'user', named_struct('name', user_name), 'deal_stage', named_struct('id', stage_name, 'name', stage_name),
+        'deal_lost_reason', if(lost_reason is null, null, named_struct('name', lost_reason)),
+        'created_at', cast(created_at as string), 'updated_at', cast(updated_at as string))"""
+    task = "named_struct('id', concat(l_orderkey, '-', l_linenumber), 'deal_id', deal_id, 'done', l_linestatus = 'F')"
+    funnel = "named_struct('name', funnel_name, 'deal_stages', array(named_struct('_id', stage, 'name', stage)))"
     stages = _deals(spark, sf_dir).select(F.col("stage_name").alias("stage"), "funnel_name").distinct()
-    land(stages, "deal_stages", "1", "named_struct('id', stage, 'name', stage)")
-    funnel = "array(named_struct('name', funnel_name, 'deal_stages', array(named_struct('_id', stage, 'name', stage))))"
-    stages.selectExpr("1 page", "200 status", f"to_json({funnel}) body").write.parquet(f"{landing}/deal_pipelines")
+    together(
+        land(_organizations(spark, sf_dir), "organizations", "substr(company_id, 2) div 200 + 1", organization),
+        land(_deals(spark, sf_dir), "deals", "o_orderkey div 200 + 1", deal),
+        land(_tasks(spark, sf_dir), "tasks", "l_orderkey div 1000 + 1", task),
+        land(stages, "deal_stages", "1", "named_struct('id', stage, 'name', stage)"),
+        land(stages, "deal_pipelines", "1", funnel, envelope=False),
+    )
 
     lake = Lake(spark, shared_dir(spark, "lake"), f"lake_{uuid.uuid4().hex}")
     run_bronze(spark, landing, lake, layout="log", limit=1)  # no page with a record is short

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,3 +56,10 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(*loads: Callable[[], None]) -> None:
+    """Run independent loads at the same time, so that a small one does not hold up the rest."""
+    with ThreadPoolExecutor(len(loads)) as pool:
+        for running in [pool.submit(load) for load in loads]:
+            running.result()

@@ -5,7 +5,9 @@ Two layouts hold the same thing, one response per page number:
 * page files: ``<collection>/page=<n>.json`` plus an optional ``<collection>_status.csv``;
 * a page log: a table ``page, status, body`` with many pages per file. This is the one
   to use at scale, because millions of small files cost more to list than to read. A
-  page may be spread over several rows of the log.
+  page may be spread over several rows of the log. A fourth column ``records`` may give
+  the number of records in the body, as counted when the page arrived; then the bodies
+  are read once and not twice.
 
 Paging stops after the first page with fewer than ``limit`` records and before the
 first page that did not answer 200. Both bounds come from one aggregate whose single
@@ -43,21 +45,22 @@ def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple
 
 
 def read_page_log(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Pages and answers from a Parquet page log."""
-    return split_page_log(spark.read.schema("page int, status int, body string").parquet(path))
+    """Pages (``page, body`` and maybe ``records``) and answers from a Parquet page log."""
+    return split_page_log(spark.read.parquet(path))
 
 
 def split_page_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return log.select("page", "body"), log.select("page", "status")
+    return log.drop("status"), log.select("page", "status")
 
 
 def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT) -> DataFrame:
     """One row, one column: the last page to keep, NULL when nothing bounds it."""
-    # Only the array lengths matter here, so the records are parsed for one field.
-    probe = F.from_json("body", f"{collection} array<struct<id: string>>")
-    sizes = pages.select(
-        "page", F.coalesce(F.size(probe[collection]), F.lit(0)).alias("size"), F.lit(False).alias("failed")
-    )
+    if "records" in pages.columns:
+        size = F.col("records")
+    else:
+        # Only the array length matters here, so the records are parsed for one field.
+        size = F.size(F.from_json("body", f"{collection} array<struct<id: string>>")[collection])
+    sizes = pages.select("page", F.coalesce(size, F.lit(0)).alias("size"), F.lit(False).alias("failed"))
     failures = answers.where(F.col("status") != 200).select(
         "page", F.lit(0).alias("size"), F.lit(True).alias("failed")
     )

@@ -50,9 +50,19 @@ def test_page_acceptance(spark, tmp_path, case):
     rows += [(n, s, None) for n, s in (statuses or {}).items() if n > len(bodies)]
     log = spark.createDataFrame(rows, "page int, status int, body string")
     log.write.parquet(str(tmp_path / "log"))
-    logged = source.read_page_log(spark, str(tmp_path / "log"))
-    records = source.paged_records(*logged, "tasks", schemas.TASK_RECORD, limit=2)
-    assert sorted(r["id"] for r in records.collect()) == sorted(expected)
+    counted = log.withColumn("records", F.size(F.from_json("body", "tasks array<struct<id: string>>")["tasks"]))
+    counted.write.parquet(str(tmp_path / "counted"))
+    for name in ("log", "counted"):
+        logged = source.read_page_log(spark, str(tmp_path / name))
+        records = source.paged_records(*logged, "tasks", schemas.TASK_RECORD, limit=2)
+        assert sorted(r["id"] for r in records.collect()) == sorted(expected)
+
+
+def test_counted_pages_are_not_read_twice(spark, tmp_path):
+    rows = [(1, 200, 1, json.dumps(tasks("a")))]
+    spark.createDataFrame(rows, "page int, status int, records int, body string").write.parquet(str(tmp_path / "log"))
+    bound = source.last_page(*source.read_page_log(spark, str(tmp_path / "log")), "tasks")
+    assert "body" not in bound._jdf.queryExecution().executedPlan().toString()
 
 
 def test_page_in_chunks(spark):
