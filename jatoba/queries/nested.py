@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from jatoba import schemas
 from jatoba.operators.nested import flatten_structs, project, union_by_name
 from jatoba.plans.bronze import bronze_deals, bronze_funnels, bronze_organizations, bronze_stages, bronze_tasks
-from jatoba.queries.registry import query, table
+from jatoba.queries.registry import plain_names, query, table
 from jatoba.sources import pages as source
 
 
@@ -71,11 +71,11 @@ SELECT concat('D', o_orderkey) AS id, concat('Deal ', o_orderkey) AS name,
        CAST(o_orderdate AS VARCHAR) AS last_activity_at, o_orderkey % 10 AS interactions,
        CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS win,
        CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS VARCHAR) END AS closed_at,
-       CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS "organization.id",
-       CASE WHEN o_orderstatus <> 'P' THEN concat('Org ', o_custkey) END AS "organization.name",
-       concat('User ', o_custkey % 7) AS "user.name",
-       left(o_orderpriority, 1) AS "deal_stage.id", o_orderpriority AS "deal_stage.name",
-       CASE WHEN o_orderstatus = 'O' THEN 'price' END AS "deal_lost_reason.name",
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS organization_id,
+       CASE WHEN o_orderstatus <> 'P' THEN concat('Org ', o_custkey) END AS organization_name,
+       concat('User ', o_custkey % 7) AS user_name,
+       left(o_orderpriority, 1) AS deal_stage_id, o_orderpriority AS deal_stage_name,
+       CASE WHEN o_orderstatus = 'O' THEN 'price' END AS deal_lost_reason_name,
        CAST(o_orderdate AS VARCHAR) AS created_at, CAST(o_orderdate AS VARCHAR) AS updated_at
 FROM orders
 """)
@@ -92,7 +92,7 @@ def flatten_nested_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         'deal_stage', named_struct('id', left(o_orderpriority, 1), 'name', o_orderpriority),
         'deal_lost_reason', if(o_orderstatus = 'O', named_struct('name', 'price'), null),
         'created_at', cast(o_orderdate as string), 'updated_at', cast(o_orderdate as string)))"""
-    return bronze_deals(parsed(table(spark, sf_dir, "orders"), record, schemas.DEAL_RECORD))
+    return plain_names(bronze_deals(parsed(table(spark, sf_dir, "orders"), record, schemas.DEAL_RECORD)))
 
 
 @query("""
@@ -131,18 +131,18 @@ def bronze_stages_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k" FROM events
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events
 """)
 def flatten_json_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A JSON text column to dotted columns."""
     events = table(spark, sf_dir, "events").select(
         "event_id", "event_type", F.from_json("props", "k bigint", {"mode": "FAILFAST"}).alias("props")
     )
-    return project(flatten_structs(events), ["event_id", "event_type", "props.k"])
+    return plain_names(project(flatten_structs(events), ["event_id", "event_type", "props.k"]))
 
 
 @query("""
-SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, f.label AS "custom_field.label", f.value AS value,
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, f.label AS custom_field_label, f.value AS value,
        'c' || c_nationkey AS created_at_x, 'u' || c_nationkey AS updated_at_x
 FROM customer LEFT JOIN (
     SELECT c_custkey AS k, 'ID' AS label, CAST(c_nationkey AS VARCHAR) AS value FROM customer WHERE c_acctbal >= 0
@@ -162,7 +162,8 @@ def eav_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
             '{"value":"', c_mktsegment, '","custom_field":{"label":"CIDADE"}},',
             '{"value":["', c_name, '",', c_nationkey, '],"custom_field":{"label":"PROPRIETÁRIO"}},',
             '{"value":null,"custom_field":null}]') end, '}')"""
-    return bronze_organizations(parsed(table(spark, sf_dir, "customer"), record, schemas.ORGANIZATION_RECORD))
+    organizations = parsed(table(spark, sf_dir, "customer"), record, schemas.ORGANIZATION_RECORD)
+    return plain_names(bronze_organizations(organizations))
 
 
 @query("""

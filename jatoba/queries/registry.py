@@ -26,3 +26,8 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """Dotted column names with underscores, for readers that take a dot for a field access."""
+    return df.toDF(*[c.replace(".", "_") for c in df.columns])

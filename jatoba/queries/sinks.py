@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jatoba.operators.sinks import export_csv, read_csv, replace_table, truncate_insert
-from jatoba.queries.registry import query, table
+from jatoba.queries.registry import plain_names, query, table
 from jatoba.session import shared_dir
 from jatoba.sources.tables import Lake
 
@@ -18,7 +18,7 @@ def _lake(spark: SparkSession) -> Lake:
 
 
 @query("""
-SELECT o_orderkey AS id, o_orderstatus AS "deal_stage.name", o_totalprice AS amount FROM orders
+SELECT o_orderkey AS id, o_orderstatus AS deal_stage_name, o_totalprice AS amount FROM orders
 """)
 def bronze_replace_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by one with another schema."""
@@ -30,7 +30,7 @@ def bronze_replace_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").alias("amount"),
     )
     replace_table(deals, lake, "bronze", "deals")
-    return lake.read("bronze", "deals")
+    return plain_names(lake.read("bronze", "deals"))
 
 
 @query("""
