@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from jatoba.session import stage
 
@@ -108,14 +108,17 @@ def with_hash_spread(df: DataFrame) -> DataFrame:
 
 
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure a frame: first its rows, then, if they are few, the length of its text and bytes."""
+    """Measure a frame: first its rows, then, if they are few, the length of their values."""
     if df.count() > max_rows:
         return False
     size = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
-        varies = isinstance(field.dataType, StringType | BinaryType)
-        size = size + (F.coalesce(F.octet_length(c), F.lit(0)) if varies else F.lit(16))
+        if isinstance(field.dataType, ArrayType | MapType | StructType):
+            c = F.to_json(F.struct(c))
+        elif not isinstance(field.dataType, StringType | BinaryType):
+            c = F.lit(" " * 16)
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
     return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
 
 

@@ -131,3 +131,5 @@ def test_broadcast_needs_a_measured_size(spark):
     assert joins.is_small(wide, max_bytes=20_000) and not joins.is_small(wide, max_bytes=9_000)
     assert not joins.is_small(wide, max_rows=9)
     assert joins.is_small(wide.where("f = 2"))
+    nested = spark.range(10).select(F.array_repeat(F.lit("abcdefgh"), 100).alias("a"))
+    assert joins.is_small(nested, max_bytes=20_000) and not joins.is_small(nested, max_bytes=9_000)
