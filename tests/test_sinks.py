@@ -57,3 +57,27 @@ def test_stage_uses_the_shared_folder(spark, monkeypatch):
     root = spark.conf.get("spark.checkpoint.dir")
     assert staged.count() == 5 and all(root.removeprefix("file:") in f for f in staged.inputFiles())
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_shared_folder_without_a_setting(spark):
+    from types import SimpleNamespace
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=_Context(master))
+
+    local = session("local[2]")
+    first, second = shared_dir(local, "x"), shared_dir(local, "x")
+    assert first != second and first.startswith(local.sparkContext.folder) and second.startswith(local.sparkContext.folder)
+    with pytest.raises(RuntimeError):
+        shared_dir(session("yarn"), "x")
