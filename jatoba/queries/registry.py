@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jatoba.queries.folders import ensure_work_folder
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,9 +20,15 @@ def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 
     def register(function: Query) -> Query:
         key = name or function.__name__
-        QUERIES[key] = function
+
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_work_folder(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[key] = run
         SQL[key] = sql
-        return function
+        return run
 
     return register
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -32,18 +31,10 @@ def build_session(app_name: str = "jatoba", master: str | None = None, **conf: s
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under the folder named by ``spark.checkpoint.dir``.
-
-    Every executor must see it, so a machine-local folder is accepted only when
-    the whole of Spark runs on this machine.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """A fresh path under the folder named by ``spark.checkpoint.dir``, which every executor must see."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="jatoba-"))
-        root = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from jatoba.queries.folders import ensure_work_folder  # noqa: E402
 from jatoba.session import build_session  # noqa: E402
 
 
@@ -13,6 +14,7 @@ SESSION = build_session(
     "jatoba-tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g"}
 )
 SESSION.sparkContext.setLogLevel("ERROR")
+ensure_work_folder(SESSION)
 
 
 @pytest.fixture(scope="session")

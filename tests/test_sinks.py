@@ -1,9 +1,12 @@
 """Sinks: replaced schema, positional insert, a failed load, CSV with awkward text."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from jatoba.operators.sinks import export_csv, read_csv, replace_table, truncate_insert
+from jatoba.queries.folders import ensure_work_folder
 from jatoba.session import shared_dir, stage
 from jatoba.sources.tables import Lake
 
@@ -70,14 +73,24 @@ class _Context:
         self.folder = folder
 
 
-def test_shared_folder_without_a_setting(spark):
-    from types import SimpleNamespace
+def _session(master):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=_Context(master))
+
+
+def test_the_engine_makes_no_folder_of_its_own():
+    for master in ("local[2]", "yarn"):
+        with pytest.raises(RuntimeError):
+            shared_dir(_session(master), "x")
 
-    def session(master):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=_Context(master))
 
-    local = session("local[2]")
-    first, second = shared_dir(local, "x"), shared_dir(local, "x")
-    assert first != second and first.startswith(local.sparkContext.folder) and second.startswith(local.sparkContext.folder)
-    with pytest.raises(RuntimeError):
-        shared_dir(session("yarn"), "x")
+def test_queries_make_a_folder_for_local_masters_only():
+    local = _session("local[2]")
+    ensure_work_folder(local)
+    made = local.sparkContext.folder
+    assert made
+    ensure_work_folder(local)
+    assert local.sparkContext.folder == made
+    assert shared_dir(local, "x") != shared_dir(local, "x")
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            ensure_work_folder(_session(master))
