@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jatoba.operators.joins import is_small
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -123,7 +125,9 @@ def mix(
     """
     narrow = keyed(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")), seed)
     narrow = narrow.select("doc_id", "source", "_size", "_key", "_slot").checkpoint()
-    taken = plan(narrow, weights, most)
+    taken = plan(narrow, weights, most).checkpoint()
+    if is_small(taken):
+        taken = F.broadcast(taken)
     again = F.when(F.col("_slot") < F.col("_end_slot"), True).when(
         F.col("_slot") == F.col("_end_slot"), F.coalesce(F.struct("_key", F.col("doc_id").cast("long").alias("doc_id")) <= F.col("_end"), F.lit(False))
     ).otherwise(False)

@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jatoba.llm import language, mixing, packing, simhash, substrings
+from jatoba.llm import embeddings, language, licenses, mixing, neighbours, packing, quotes, scoring, simhash, substrings
+from jatoba.queries.folders import ensure_work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _query(name: str, sql: str | None = None):
-    def register(run):
+    def register(function):
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_work_folder(spark)
+            return function(spark, sf_dir)
+
         QUERIES[name] = run
         if sql:
             SQL[name] = sql
@@ -59,3 +66,29 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_power_of_two_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), default_tokenizer(), with_ids=False)
+
+
+@_query("op4_product_quantisation")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op7_learned_partitions")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@_query("op1_license_sentences", licenses.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.recognise(table(spark, sf_dir, "documents"))
+
+
+@_query("op3_quotation_links")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.in_reply_order(quotes.link(table(spark, sf_dir, "conversations")))
+
+
+@_query("op5_stupid_backoff", scoring.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scoring.score(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"))
