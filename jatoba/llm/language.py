@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words, run_ranges, slices
+from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words, run_ranges, slices, whole_row
 
 STEP_BYTES = 1 << 21
 SAMPLE_DOCS = 200
@@ -29,6 +30,7 @@ DIMENSIONS = 1 << 16
 SEGMENT = 64
 """Words whose transfer matrix is multiplied up before segments are chained."""
 UNKNOWN = "und"
+_SPANS = "array<struct<lang:string,first:int,words:int>>"
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
@@ -314,18 +316,17 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
     ``spans`` lists the runs of words with one most probable language as (lang, first word,
     words). NULL texts and texts without a letter get ``und`` and score 0, as do all texts if
     there is no model. Equal rows get equal results, long texts are read whole, and no column
-    but the text is looked at.
+    but the text is looked at. A column of ``docs`` that is called like a new one gives way.
     """
-    schema = docs.schema
-    extra = "lang_pred string, score double" + (", spans array<struct<lang:string,first:int,words:int>>" if spans else "")
+    added = {"lang_pred": "string", "score": "double"} | ({"spans": _SPANS} if spans else {})
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c not in added]
     if model is None:
-        row = docs.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
-        return row.withColumn("spans", F.expr("cast(array() as array<struct<lang:string,first:int,words:int>>)")) if spans else row
+        plain = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "spans": F.array().cast(_SPANS)}
+        return docs.select(whole_row(docs)).select(*own, *[plain[c].alias(c) for c in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", STEP_BYTES):
-                names = batch.schema.names
                 words, marginal = word_marginals(model, batch.column("text"))
                 letters = np.zeros(len(words.data) + 1, np.int64)
                 np.cumsum(_LETTER[words.data], out=letters[1:])
@@ -337,24 +338,21 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
                 np.cumsum(counted, out=n[1:])
                 n = n[words.first[1:]] - n[words.first[:-1]]
                 best = each.argmax(axis=1)
-                known = np.array(batch.column(names.index("_letter")).to_pylist(), bool) & (n > 0)
+                known = np.array(batch.column("letter").to_pylist(), bool) & (n > 0)
                 score = np.where(known, each[np.arange(len(best)), best] / np.maximum(n, 1), 0.0)
-                columns = [batch.column(i) for i, c in enumerate(names) if c != "_letter"]
-                columns += [
-                    pa.array(np.where(known, np.array(model.labels, object)[best], UNKNOWN), pa.string()),
-                    pa.array(np.clip(score, 0, 1)),
-                ]
+                columns = {
+                    "row": batch.column("row"),
+                    "lang_pred": pa.array(np.where(known, np.array(model.labels, object)[best], UNKNOWN), pa.string()),
+                    "score": pa.array(np.clip(score, 0, 1)),
+                }
                 if spans:
-                    columns.append(_spans(model, words, marginal))
-                yield pa.RecordBatch.from_arrays(columns, [*(c for c in names if c != "_letter"), *_added(spans)])
+                    columns["spans"] = _spans(model, words, marginal)
+                yield pa.record_batch(columns)
 
-    lettered = docs.withColumn("_letter", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return lettered.mapInArrow(run, f"{given}, {extra}")
-
-
-def _added(spans: bool) -> list[str]:
-    return ["lang_pred", "score"] + (["spans"] if spans else [])
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
+    made = StructType([StructField("row", docs.schema), *StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in added.items())).fields])
+    found = docs.select(F.col("text").cast("string").alias("text"), letter, whole_row(docs)).mapInArrow(run, made)
+    return found.select(*own, *added)
 
 
 def _spans(model: Crf, words: Words, marginal: np.ndarray) -> pa.Array:
@@ -378,5 +376,5 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 def keep_identified(docs: DataFrame, least_score: float = 0.3, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """The documents without those of no language: ``und``, or with a score below ``least_score``."""
     model = fit_documents(docs, sample_docs)
-    found = predict(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = predict(docs.select("text", whole_row(docs)), model)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")

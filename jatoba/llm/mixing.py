@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from jatoba.llm.text import whole_row
 from jatoba.operators.joins import is_small
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,9 +40,12 @@ def uniform(doc_id: Column, seed: int) -> Column:
 
 
 def keyed(docs: DataFrame, seed: int) -> DataFrame:
-    """``docs`` with ``_size``, the sampling key ``_key`` and its slot ``_slot``."""
-    sized = docs.withColumn("_size", size_of(F.col("text")))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_of(F.col("text"), F.col("_size"))
+    """``doc_id, source, _size``, the sampling key ``_key``, its slot ``_slot``, and the whole ``row``."""
+    text = F.col("text").cast("string")
+    sized = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of(text).alias("_size"), whole_row(docs)
+    )
+    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_of(F.col("row.text").cast("string"), F.col("_size"))
     return sized.withColumn("_key", key).withColumn(
         "_slot", F.floor((1 - F.exp(-F.col("_key"))) * SLOTS).cast("int")
     )
@@ -114,8 +118,9 @@ def plan(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 def mix(
     docs: DataFrame, seed: int = 8, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS, whole: bool = True
 ) -> DataFrame:
-    """``size, source_size, target, taken`` next to all columns of ``docs``, or to doc_id and source if not ``whole``.
+    """``doc_id, source, size, source_size, target, taken, times``, and ``row`` with all columns if ``whole``.
 
+    One row per row of ``docs``.
     Size is the number of words (NULL text: 0, taken as often as its key says, at no cost).
     Sources are ordered by code point with NULL, a source of its own, last; they weigh
     ``weights`` in turn and share all words; a target stops at ``most`` times its source's
@@ -123,32 +128,24 @@ def mix(
     seed, so reruns agree; rows with one doc_id draw alike and are taken together. Sources
     without words have target 0. No rows give no rows.
     """
-    narrow = keyed(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string")), seed)
-    narrow = narrow.select("doc_id", "source", "_size", "_key", "_slot").checkpoint()
+    narrow = keyed(docs.select("doc_id", "source", "text"), seed).drop("row").checkpoint()
     taken = plan(narrow, weights, most).checkpoint()
     if is_small(taken):
         taken = F.broadcast(taken)
     again = F.when(F.col("_slot") < F.col("_end_slot"), True).when(
-        F.col("_slot") == F.col("_end_slot"), F.coalesce(F.struct("_key", F.col("doc_id").cast("long").alias("doc_id")) <= F.col("_end"), F.lit(False))
+        F.col("_slot") == F.col("_end_slot"), F.coalesce(F.struct("_key", "doc_id") <= F.col("_end"), F.lit(False))
     ).otherwise(False)
-    return (
-        (keyed(docs, seed) if whole else narrow)
-        .join(taken, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("taken", F.col("_size") * (F.col("_epochs") + again.cast("long")))
-        .withColumn("_times", (F.col("_epochs") + again.cast("long")).cast("int"))
-        .withColumnRenamed("_size", "size")
-        .drop("_source", "_key", "_slot", "_epochs", "_end_slot", "_end")
+    times = (F.col("_epochs") + again.cast("long")).cast("int")
+    return (keyed(docs, seed) if whole else narrow).join(taken, F.col("source").eqNullSafe(F.col("_source"))).select(
+        "doc_id", "source", F.col("_size").alias("size"), "source_size", "target",
+        (F.col("_size") * times).alias("taken"), times.alias("times"), *(["row"] if whole else []),
     )
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents as the mix holds them: each as often as it is taken."""
-    return (
-        mix(docs, **options)
-        .where("_times > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    taken = mix(docs, **options).where("times > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
 
 
 SQL = rf"""

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jatoba.llm.graph import components
-from jatoba.llm.text import SPACE, batch_bytes, find_words, pieces, slices
+from jatoba.llm.text import SPACE, batch_bytes, find_words, pieces, slices, whole_row
 
 HALF_BITS = 23
 RADIUS = 3
@@ -208,9 +208,10 @@ def keep_one(docs: DataFrame, words: int = 3, threshold: int = 2) -> DataFrame:
     kept = near_duplicates(docs, words, threshold).where(
         "doc_id <=> component_id and text_key = keep_key"
     ).select(F.col("doc_id").alias("_id"), "text_key").distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    # The row travels as one struct, so that no column of documents clashes with those made here.
+    held = docs.select(F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_key"), whole_row(docs))
     return (
-        keyed.join(kept, keyed.doc_id.eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept.text_key), "left_semi")
-        .dropDuplicates(["doc_id", "_text_key"])
-        .drop("_text_key")
+        held.join(kept, F.col("row_id").eqNullSafe(F.col("_id")) & (F.col("row_key") == F.col("text_key")), "left_semi")
+        .dropDuplicates(["row_id", "row_key"])
+        .select("row.*")
     )

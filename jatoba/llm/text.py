@@ -11,6 +11,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 STEP_BYTES = 1 << 20
 """Bytes that are hashed in one go."""
@@ -45,11 +48,13 @@ def batch_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the n + 1 offsets of its rows; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.fill_null("").cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    data = column.buffers()[2]
+    if column.null_count:
+        column = column.fill_null("")
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, places, data = column.buffers()
+    offsets = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
@@ -111,11 +116,15 @@ def pieces(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes of text each, to bound the arrays made of them."""
-    _, offsets = batch_bytes(batch.column(batch.schema.names.index(column)))
-    for a, b in pieces(offsets[1:], size):
+    for a, b in pieces(text_ends(batch.column(column)), size):
         yield batch.slice(a, b - a)
 
 
+def text_ends(column: pa.Array) -> np.ndarray:
+    """Where each text would end if they stood one after the other."""
+    return np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+
+
 def run_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The concatenated ranges ``starts[i] : starts[i] + lengths[i]``."""
     total = int(lengths.sum())
@@ -160,3 +169,8 @@ class Memory:
             place = np.searchsorted(self.hashes, distinct)
         out[short] = self.values[place][which]
         return out
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that whatever they are called, they clash with nothing."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

@@ -36,7 +36,7 @@ def test_targets_and_taken_words(spark):
     got = mixing.mix(documents(spark, rows)).collect()
     sizes, taken, target, biggest = defaultdict(int), defaultdict(int), {}, defaultdict(int)
     for r in got:
-        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+        assert r.size == len(re.findall(r"[^\x20\x09-\x0D]+", r.row.text or ""))
         assert r.taken in [k * r.size for k in range(4)]
         sizes[r.source] += r.size
         taken[r.source] += r.taken
@@ -64,8 +64,8 @@ def test_equals_its_sql(spark):
 def test_keys_favour_quality_and_reruns_agree(spark):
     rng = random.Random(6)
     rows = [(i, prose(rng, 40) if i % 2 else "x" * 500 + " yy", "en", "a" if i < 400 else "b") for i in range(600)]
-    first = {r.doc_id: r._times for r in mixing.mix(documents(spark, rows), weights=(1, 9)).collect()}
-    again = {r.doc_id: r._times for r in mixing.mix(documents(spark, rows[::-1]).repartition(5), weights=(1, 9)).collect()}
+    first = {r.doc_id: r.times for r in mixing.mix(documents(spark, rows), weights=(1, 9)).collect()}
+    again = {r.doc_id: r.times for r in mixing.mix(documents(spark, rows[::-1]).repartition(5), weights=(1, 9)).collect()}
     assert first == again
     good, bad = (sum(first[i] for i in range(400) if i % 2 == k) for k in (1, 0))
     assert good > 1.5 * bad
@@ -78,7 +78,7 @@ def test_mixed_repeats_documents(spark):
     assert out.columns == docs.columns
     times = defaultdict(int)
     for r in mixing.mix(documents(spark, rows)).collect():
-        times[r.doc_id, r.text] += r._times
+        times[r.doc_id, r.row.text] += r.times
     got = defaultdict(int)
     for r in out.collect():
         got[r.doc_id, r.text] += 1
