@@ -6,18 +6,12 @@ uses a position as a length, and every comma after the first becomes a dot.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from jatoba.functions.convert import parse_numeric
 from jatoba.schemas import SRID
 
-# Fixed value: the source rule reads at most this many characters of longitude text.
-_LONGITUDE_LENGTH = 10000
-
 
 def full_coordinate(rural_register: Column, coordinate: Column) -> Column:
     """The register from its first dash on; a register without comma gives ``coordinate``.
@@ -34,7 +28,7 @@ def latitude_text(c: Column) -> Column:
 
 
 def longitude_text(c: Column) -> Column:
-    rest = F.substr(c, F.instr(c, ",") + 1, F.lit(_LONGITUDE_LENGTH))
+    rest = F.substr(c, F.instr(c, ",") + 1)
     return F.when(F.instr(c, "-") != 0, F.replace(rest, F.lit(","), F.lit(".")))
 
 
@@ -62,14 +56,3 @@ def point(x: Column, y: Column) -> Column:
         x.isNotNull() & y.isNotNull(),
         F.struct(F.lit(SRID).alias("srid"), x.cast("double").alias("x"), y.cast("double").alias("y")),
     )
-
-
-@F.pandas_udf(BinaryType())
-def point_wkb(x: pd.Series, y: pd.Series) -> pd.Series:
-    """Optional little-endian WKB of a point, for tools that want bytes. Arrow batches."""
-    layout = np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
-    points = np.zeros(len(x), dtype=layout)
-    points["order"], points["kind"], points["x"], points["y"] = 1, 1, x, y
-    raw = points.tobytes()
-    wkb = [raw[i : i + layout.itemsize] for i in range(0, len(raw), layout.itemsize)]
-    return pd.Series(wkb, dtype=object).where((x.notna() & y.notna()).to_numpy(), None)

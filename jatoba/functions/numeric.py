@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 def true_divide(a: Column, b: Column, strict: bool = True) -> Column:
     """``a / b`` as double; division by zero raises, or gives NULL when not strict."""
-    return a / b if strict else F.try_divide(a, b)
+    failed = F.raise_error(F.lit("division by zero")) if strict else F.lit(None)
+    return F.when(b == 0, failed.cast("double")).otherwise(F.try_divide(a, b))
 
 
 def floor_mod(a: Column, b: Column) -> Column:
@@ -34,8 +35,20 @@ def floor_div_float(a: Column, b: Column) -> Column:
 
 
 def int_power(base: Column, exponent: Column) -> Column:
-    """Power of two integers with a non-negative exponent, as bigint."""
-    return F.pow(base, exponent).cast("bigint")
+    """Power of two integers, exact as bigint; one that has no room there raises, as does a negative exponent."""
+    base, exponent = base.cast("bigint"), exponent.cast("bigint")
+    # With |base| > 1 the result has no room from exponent 64 on, so no longer product is formed.
+    steps = F.sequence(F.lit(1).cast("bigint"), F.least(exponent, F.lit(64).cast("bigint")))
+    product = F.aggregate(steps, F.lit(1).cast("bigint"), lambda so_far, _: F.try_multiply(so_far, base))
+    even = F.pmod(exponent, F.lit(2)) == 0
+    result = (
+        F.when(exponent == 0, F.lit(1).cast("bigint"))
+        .when(base.isin(0, 1), base)
+        .when(base == -1, F.when(even, -base).otherwise(base))
+        .when(exponent > 0, product)
+    )
+    failed = F.raise_error(F.lit("power out of range")).cast("bigint")
+    return F.when(base.isNotNull() & exponent.isNotNull() & ((exponent < 0) | result.isNull()), failed).otherwise(result)
 
 
 def square_root(x: Column, strict: bool = True) -> Column:

@@ -136,7 +136,7 @@ full_texts AS (
 ), slices AS (
     SELECT * EXCLUDE (dash, comma),
            if(dash > 0, replace(coordenada_completa[dash : dash + comma - 1], ',', ''), NULL) AS lat_text,
-           if(dash > 0, replace(coordenada_completa[comma + 1 : comma + 10000], ',', '.'), NULL) AS lon_text
+           if(dash > 0, replace(coordenada_completa[comma + 1 :], ',', '.'), NULL) AS lon_text
     FROM places
 )"""
 

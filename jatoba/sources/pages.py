@@ -11,18 +11,22 @@ Two layouts hold the same thing, one response per page number:
 
 Paging stops after the first page with fewer than ``limit`` records and before the
 first page that did not answer 200. Both bounds come from one aggregate whose single
-value enters the scan as a scalar subquery: no driver loop, no join.
+value enters the scan as a scalar subquery: no driver loop, no join. Up to that bound the
+pages must be whole: a page without its envelope, a NULL body or count, a NULL status or
+a page number that is missing stops the load instead of cutting the export short.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jatoba.schemas import PAGE_LIMIT
 
 _STRICT_JSON = {"mode": "FAILFAST"}
+PAGES_IN_BLOCK = 1024
+"""Pages whose numbers are looked at together when gaps are sought."""
 
 
 def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple[DataFrame, DataFrame]:
@@ -36,7 +40,8 @@ def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple
     )
     schema = "page int, status int"
     try:
-        answers = spark.read.schema(schema).option("header", True).csv(f"{landing}/{collection}_status.csv")
+        path = f"{landing}/{collection}_status.csv"
+        answers = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -54,22 +59,59 @@ def split_page_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT) -> DataFrame:
-    """One row, one column: the last page to keep, NULL when nothing bounds it."""
+    """One row, one column: the last page to keep, NULL when nothing bounds it.
+
+    Reading it raises if a page up to there is broken or missing. Pages are put together by
+    blocks of their numbers, so what is looked at in one place is a row per 1,024 pages.
+    """
     if "records" in pages.columns:
         size = F.col("records")
     else:
         # Only the array length matters here, so the records are parsed for one field.
-        size = F.size(F.from_json("body", f"{collection} array<struct<id: string>>")[collection])
-    sizes = pages.select("page", F.coalesce(size, F.lit(0)).alias("size"), F.lit(False).alias("failed"))
-    failures = answers.where(F.col("status") != 200).select(
-        "page", F.lit(0).alias("size"), F.lit(True).alias("failed")
+        size = F.array_size(F.from_json("body", f"{collection} array<struct<id: string>>")[collection])
+    sizes = pages.select("page", size.cast("bigint").alias("size"), size.isNull().alias("broken"), F.lit(False).alias("failed"))
+    failures = answers.where("status is null or status <> 200").select(
+        "page", F.lit(0).cast("bigint").alias("size"), F.col("status").isNull().alias("broken"), F.col("status").isNotNull().alias("failed")
     )
     by_page = sizes.unionByName(failures).groupBy("page").agg(
-        F.sum("size").alias("size"), F.max("failed").alias("failed")
+        F.sum("size").alias("size"), F.max("failed").alias("failed"), F.max("broken").alias("broken")
+    )
+    page, failed, broken = F.col("page"), F.col("failed"), F.col("broken")
+    blocks = by_page.groupBy(F.floor(page / PAGES_IN_BLOCK).alias("block")).agg(
+        F.min(F.when(~failed & ~broken & (F.col("size") < limit), page)).alias("short"),
+        F.min(F.when(failed, page)).alias("bad"),
+        F.min(F.when(broken & ~failed, page)).alias("broken"),
+        F.collect_list(F.when(~failed, page)).alias("there"),
+    )
+    whole = Window.partitionBy()
+    bound = F.least(F.min("short").over(whole), F.min("bad").over(whole) - 1)
+    reached = blocks.select("broken", "there", bound.alias("bound"))
+    accepted = F.size(F.filter("there", lambda p: F.col("bound").isNull() | (p <= F.col("bound"))))
+    return (
+        reached.groupBy()
+        .agg(
+            F.max("bound").alias("end"),
+            F.min("broken").alias("first_broken"),
+            F.sum(accepted).alias("accepted"),
+            F.max(F.array_max("there")).alias("top"),
+        )
+        .select(
+            F.when(
+                F.col("first_broken") <= F.coalesce("end", "first_broken"),
+                _stop(F.concat(F.lit(f"{collection}: no records, envelope or status on page "), F.col("first_broken").cast("string"))),
+            )
+            .when(
+                F.col("accepted") < F.coalesce("end", "top"),
+                _stop(F.concat(F.lit(f"{collection}: pages are missing before page "), F.coalesce("end", "top").cast("string"))),
+            )
+            .otherwise(F.col("end"))
+            .alias("last_page")
+        )
     )
-    first_short = F.min(F.when(~F.col("failed") & (F.col("size") < limit), F.col("page")))
-    first_bad = F.min(F.when(F.col("failed"), F.col("page")))
-    return by_page.agg(F.least(first_short, first_bad - 1).alias("last_page"))
+
+
+def _stop(message: Column) -> Column:
+    return F.raise_error(message).cast("int")
 
 
 def accept_pages(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT) -> DataFrame:
@@ -98,4 +140,6 @@ def single_page_array(pages: DataFrame, answers: DataFrame, record: str) -> Data
 
 def _records(pages: DataFrame, schema: str, collection: str | None) -> DataFrame:
     body = F.from_json("body", schema, _STRICT_JSON)
-    return pages.select("page", F.inline(body[collection] if collection else body))
+    records = body[collection] if collection else body
+    missing = F.raise_error(F.concat(F.lit("no records on page "), F.col("page").cast("string")))
+    return pages.select("page", F.inline(F.coalesce(records, missing)))

@@ -43,7 +43,7 @@ L = F.lit
         (num.square_root(L(144)), 12.0),
         (conv.to_int(num.square_root(L(144))), 12),
         (L(3) == L(3.0), True),
-        (L("fran") == L("Fran"), False),
+        (L("verde") == L("Verde"), False),
         (L(3) != L(3.0), False),
         (L(3) > L(2), True),
         (L(3) >= L(3), True),
@@ -85,12 +85,46 @@ def test_scalar(spark, column, expected):
         num.true_divide(L(1), L(0)),
         num.square_root(L(-1.0)),
         conv.parse_int(L("70.5")),
+        conv.parse_int(L("abc")),
+        conv.parse_float(L("70.5f")),
+        conv.parse_float(L("1d")),
+        conv.parse_float(L("0x1p3")),
+        conv.parse_numeric(L("-23.5.1")),
         conv.parse_timestamp(L("2023-13-45")),
+        conv.parse_timestamp(L("2023")),
+        geo.latitude(L("-2x,5")),
+        geo.longitude(L("-23.5,-4y")),
+        num.int_power(L(3), L(40)),
+        num.int_power(L(2), L(63)),
+        num.int_power(L(2), L(-1)),
     ],
 )
-def test_strict_raises(spark, column):
-    with pytest.raises(Exception):
-        value(spark, column)
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_raises_in_any_session(spark, column, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception):
+            value(spark, column)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_powers_are_exact(spark):
+    rows = [(3, 39), (3, 34), (-3, 39), (2, 62), (-2, 63), (10, 18), (7, 0), (0, 0), (0, 5), (1, 10**12), (-1, 10**12 + 1), (-1, 10**12)]
+    got = values(spark, rows, "a bigint, b bigint", num.int_power(F.col("a"), F.col("b")))
+    assert got == [1 if a == 1 else (1 if b % 2 == 0 else -1) if a == -1 else a**b for a, b in rows]
+    assert value(spark, num.int_power(L(None).cast("bigint"), L(2))) is None
+
+
+def test_floats_as_text(spark):
+    texts = ["70.5f", "1d", "1.D", "0x1p3", "inf", "-Infinity", "NaN", " 1e3 ", ".5", "5."]
+    got = values(spark, [(t,) for t in texts], "t string", conv.parse_float(F.col("t"), strict=False))
+    assert got[:4] == [None] * 4 and got[4:6] == [math.inf, -math.inf] and math.isnan(got[6]) and got[7:] == [1000.0, 0.5, 5.0]
+
+
+def test_long_longitudes_are_read_whole(spark):
+    assert value(spark, F.length(geo.longitude_text(L("-1,5" + "0" * 20_000)))) == 20_001
 
 
 def test_floor_pair_matches_python(spark):
@@ -189,10 +223,3 @@ def test_point(spark):
     x, y = L(Decimal("-46.6")), L(Decimal("-23.5"))
     assert value(spark, geo.point(x, y)).asDict() == {"srid": 4326, "x": -46.6, "y": -23.5}
     assert value(spark, geo.point(L(None).cast("double"), y)) is None
-    wkb = values(
-        spark, [(1.5, -2.0), (None, 1.0), (0.0, 0.0)], "x double, y double", geo.point_wkb(F.col("x"), F.col("y"))
-    )
-    import struct
-
-    assert [w and struct.unpack("<BIdd", w) for w in wkb] == [(1, 1, 1.5, -2.0), None, (1, 1, 0.0, 0.0)]
-    assert not any(w and math.isnan(struct.unpack("<BIdd", w)[2]) for w in wkb)

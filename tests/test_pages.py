@@ -66,13 +66,80 @@ def test_counted_pages_are_not_read_twice(spark, tmp_path):
 
 
 def test_page_in_chunks(spark):
-    rows = [(1, json.dumps(tasks("a"))), (1, json.dumps(tasks("b"))), (2, json.dumps(tasks("c"))), (3, "{}")]
+    rows = [(1, json.dumps(tasks("a"))), (1, json.dumps(tasks("b"))), (2, json.dumps(tasks("c")))]
     pages = spark.createDataFrame(rows, "page int, body string")
     answers = spark.createDataFrame([], "page int, status int")
     records = source.paged_records(pages, answers, "tasks", schemas.TASK_RECORD, limit=2)
     assert sorted(r["id"] for r in records.collect()) == ["a", "b", "c"]
 
 
+ERROR = {"error": "x"}
+BROKEN = {
+    "envelope": ([tasks("a", "b"), ERROR, tasks("c", "d")], None),
+    "first": ([ERROR], None),
+    "status": ([tasks("a", "b"), tasks("c", "d"), tasks("e")], {1: 200, 2: None}),
+    "gap": ([tasks("a", "b"), None, tasks("c", "d"), tasks("e")], None),
+    "gap_unbounded": ([tasks("a", "b"), None, tasks("c", "d")], None),
+    "gap_at_the_start": ([None, tasks("a", "b"), tasks("e")], None),
+    "gap_before_failure": ([tasks("a", "b"), None, tasks("c", "d")], {4: 500}),
+}
+
+
+def _three_layouts(spark, tmp_path, bodies, statuses):
+    for n, body in enumerate(bodies, start=1):
+        if body is not None:
+            land_one(tmp_path, n, body)
+    if statuses:
+        lines = ["page,status", *(f"{n},{'' if s is None else s}" for n, s in statuses.items())]
+        (tmp_path / "tasks_status.csv").write_text("\n".join(lines))
+    yield source.read_page_files(spark, str(tmp_path), "tasks")
+    rows = [(n, (statuses or {}).get(n, 200), json.dumps(b), len(b["tasks"]) if "tasks" in b else None) for n, b in enumerate(bodies, start=1) if b is not None]
+    rows += [(n, s, None, None) for n, s in (statuses or {}).items() if n > len(bodies)]
+    log = spark.createDataFrame(rows, "page int, status int, body string, records int")
+    yield source.split_page_log(log.drop("records"))
+    yield source.split_page_log(log)
+
+
+def land_one(root, number, body):
+    (root / "tasks").mkdir(exist_ok=True)
+    (root / "tasks" / f"page={number}.json").write_text(json.dumps(body))
+
+
+@pytest.mark.parametrize("case", BROKEN)
+def test_broken_exports_stop_the_load(spark, tmp_path, case):
+    for pages in _three_layouts(spark, tmp_path, *BROKEN[case]):
+        with pytest.raises(Exception, match="no records|are missing"):
+            source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2).collect()
+
+
+def test_what_lies_beyond_the_stop_may_be_broken(spark, tmp_path):
+    bodies = [tasks("a", "b"), tasks("c"), None, ERROR, tasks("d", "e")]
+    for pages in _three_layouts(spark, tmp_path, bodies, {1: 200, 2: 200, 4: None}):
+        records = source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2)
+        assert sorted(r["id"] for r in records.collect()) == ["a", "b", "c"]
+
+
+def test_many_blocks_of_pages(spark):
+    log = spark.range(1, 5001).selectExpr("cast(id as int) page", "200 status", "if(id = 4500, 1, 2) records", """'{"tasks":[{"id":"x"}]}' body""")
+    bound = source.last_page(*source.split_page_log(log), "tasks", 2)
+    assert bound.first()[0] == 4500
+    with pytest.raises(Exception, match="are missing"):
+        source.last_page(*source.split_page_log(log.where("page <> 2047")), "tasks", 2).collect()
+
+
+def test_unreadable_status_and_missing_single_page(spark, tmp_path):
+    land(tmp_path, "tasks", [tasks("a", "b"), tasks("c")])
+    (tmp_path / "tasks_status.csv").write_text("page,status\n1,two hundred\n")
+    with pytest.raises(Exception):
+        source.paged_records(*source.read_page_files(spark, str(tmp_path), "tasks"), "tasks", schemas.TASK_RECORD, limit=2).collect()
+    pages = spark.createDataFrame([(1, "{}")], "page int, body string")
+    with pytest.raises(Exception, match="no records"):
+        source.single_page_records(pages, "deal_stages", schemas.STAGE_RECORD).collect()
+    answers = spark.createDataFrame([(1, 200)], "page int, status int")
+    with pytest.raises(Exception, match="no records"):
+        source.single_page_array(pages.select("page", F.lit(None).cast("string").alias("body")), answers, schemas.FUNNEL_RECORD).collect()
+
+
 def test_broken_json_fails_the_load(spark):
     pages = spark.createDataFrame([(1, '{"tasks": [{"id": ')], "page int, body string")
     answers = spark.createDataFrame([], "page int, status int")
