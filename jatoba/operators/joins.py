@@ -19,8 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from jatoba.session import stage
-
 MAX_HOT_KEYS = 2000
 """A key is hot from 1/MAX_HOT_KEYS of the rows on, so there are at most this many."""
 TRACKED_KEYS = 20_000
@@ -40,6 +38,17 @@ class HotKeys:
 
     slices: dict[int, list]
 
+    @classmethod
+    def of(cls, counts: dict) -> HotKeys:
+        """From the number of slices of each key."""
+        slices: dict[int, list] = {}
+        for key, n in counts.items():
+            slices.setdefault(n, []).append(key)
+        return cls(slices)
+
+    def counts(self) -> dict:
+        return {key: n for n, keys in self.slices.items() for key in keys}
+
     def __bool__(self) -> bool:
         return bool(self.slices)
 
@@ -62,34 +71,33 @@ NO_HOT_KEYS = HotKeys({})
 
 
 def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
-    """Frequent values of each column, from one pass and one small sketch per task.
+    """Frequent values of each column and the number of rows, from one pass with a small sketch per task.
 
-    No shuffle on the key: only sketches move, and they merge in two steps so that no task
-    takes in those of all tasks. One row with at most MAX_HOT_KEYS values per column comes
-    to the driver. The sketch decides how rows are spread, never which rows are kept. A
-    frame too small to hold a hot key is only counted.
+    No shuffle on the key: only sketches move, and they merge in two steps whose fan-in is
+    about the root of the number of tasks. One row with at most MAX_HOT_KEYS values per column
+    comes to the driver. The sketch decides how rows are spread, never which rows are kept.
     """
-    rows = df.count()
-    if rows == 0 or rows < min_rows:
-        return dict.fromkeys(columns, NO_HOT_KEYS)
-    merged = df.groupBy((F.spark_partition_id() % MERGE_TASKS).alias("_merge")).agg(
-        *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    merges = max(MERGE_TASKS, math.isqrt(df.rdd.getNumPartitions()))
+    merged = df.groupBy((F.spark_partition_id() % merges).alias("_merge")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns]
     )
     top = "approx_top_k_estimate(approx_top_k_combine(`{}`, {}), {})"
     # Grouped by a constant, because a combine without grouping fails on an empty partition.
     row = merged.groupBy(F.lit("all")).agg(
-        *[F.expr(top.format(c, TRACKED_KEYS, MAX_HOT_KEYS)).alias(c) for c in columns]
+        F.sum("_rows").alias("_rows"), *[F.expr(top.format(c, TRACKED_KEYS, MAX_HOT_KEYS)).alias(c) for c in columns]
     ).first()
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    threshold = max(min_rows, rows / MAX_HOT_KEYS)
+    if row is None or row["_rows"] < min_rows:
+        return dict.fromkeys(columns, NO_HOT_KEYS)
+    threshold = max(min_rows, row["_rows"] / MAX_HOT_KEYS)
     hot = {}
     for c in columns:
-        slices: dict[int, list] = {}
+        slices = {}
         for item, count in row[c]:
             if count >= threshold:
-                share = 2 * partitions * count / rows
-                slices.setdefault(2 ** max(1, math.ceil(math.log2(share))), []).append(item)
-        hot[c] = HotKeys(slices)
+                share = 2 * partitions * count / row["_rows"]
+                slices[item] = 2 ** max(1, math.ceil(math.log2(share)))
+        hot[c] = HotKeys.of(slices)
     return hot
 
 
@@ -102,15 +110,8 @@ def with_spread(df: DataFrame) -> DataFrame:
     return df.withColumn(SPREAD, F.monotonically_increasing_id())
 
 
-def with_hash_spread(df: DataFrame) -> DataFrame:
-    """The same for a frame of distinct rows with shuffles behind it: number rows by content."""
-    return df.withColumn(SPREAD, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-
-
 def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Measure a frame: first its rows, then, if they are few, the length of their values."""
-    if df.count() > max_rows:
-        return False
+    """Measure a frame in one pass: its rows, and the length of their values."""
     size = F.lit(0).cast("bigint")
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
@@ -119,7 +120,8 @@ def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BR
         elif not isinstance(field.dataType, StringType | BinaryType):
             c = F.lit(" " * 16)
         size = size + F.coalesce(F.octet_length(c), F.lit(0))
-    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+    rows, length = df.agg(F.count(F.lit(1)), F.sum(size)).first()
+    return rows <= max_rows and (length or 0) <= max_bytes
 
 
 def sliced_join(
@@ -201,17 +203,22 @@ def lookup_left_join(
     """Left join to a lookup: broadcast if the lookup measures small, sliced otherwise.
 
     The second way looks at both sides twice. ``*_scan`` says that a side only reads files;
-    a side with shuffles behind it is staged first.
+    what has shuffles behind it is checkpointed, so that it is worked out once.
     """
+    if not lookup_scan:
+        lookup = lookup.checkpoint()
     if is_small(lookup, broadcast_bytes):
         return rows.join(F.broadcast(lookup), F.col(f"`{rows_key}`") == F.col(f"`{lookup_key}`"), "left")
-    rows = rows if rows_scan else stage(rows, "rows")
-    lookup = lookup if lookup_scan else stage(lookup, "lookup")
+    if not rows_scan:
+        rows = rows.checkpoint()
     return skew_safe_join(rows, lookup.hint("merge"), rows_key, lookup_key, min_hot_rows=min_hot_rows)
 
 
 def merge_left(left: DataFrame, right: DataFrame, on: str, **options) -> DataFrame:
-    """Left join on one column; other columns both sides have get the suffixes _x and _y."""
+    """Left join on one column; other columns both sides have get the suffixes _x and _y.
+
+    A NULL key meets nothing, as in SQL.
+    """
     both = (set(left.columns) & set(right.columns)) - {on}
 
     def renamed(df: DataFrame, suffix: str, key: str) -> DataFrame:

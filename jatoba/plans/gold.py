@@ -11,10 +11,10 @@ from jatoba.functions import geo
 from jatoba.operators.joins import (
     MIN_HOT_ROWS,
     SPREAD,
+    HotKeys,
     find_hot_keys,
     lookup_left_join,
     sliced_join,
-    with_hash_spread,
     with_spread,
 )
 from jatoba.schemas import GOLD, GOLD_DEAL_COLUMNS, GOLD_ORGANIZATION_COLUMNS, names
@@ -40,45 +40,65 @@ def gold_base(
 
     Only rows with a funnel name survive, so an organization needs a deal and the join to
     the deals is an inner one; the funnel filter stands at the deal scan. ``organizations``
-    and ``deals`` should be table scans. One look at each finds hot organizations and
-    repeated deals.
+    and ``deals`` should be table scans.
+
+    A digest stands for the output columns of an organization through the joins and the
+    distinct, and equal rows have equal digests whichever organization they come from. The
+    wide columns come in last, once per digest. Rows go to (digest, slice) before the
+    distinct, the slice taken from their content: equal rows meet, the last join needs no
+    further exchange, and a digest that very many rows share is split.
     """
     wanted = deals.where(F.col("funnel_name").isin(*funnels) & F.col("organization_id").isNotNull())
     wanted = wanted.select([F.col(c).alias(name) for c, name in GOLD_DEAL_COLUMNS.items()])
-    hot = find_hot_keys(wanted, "deal", "organization_id", min_rows=min_hot_rows)
-    if any(hot.values()):
-        wanted = with_spread(wanted)
-    counted = sliced_join(wanted, task_counts(tasks), "deal", "task_deal_id", left_hot=hot["deal"])
-    counted = counted.drop("deal", "task_deal_id")
-
     places = organizations.select(
         *[F.col(c).alias(name) for c, name in GOLD_ORGANIZATION_COLUMNS.items()],
         geo.full_coordinate(F.col("registro_rural"), F.col("coordenada")).alias("coordenada_completa"),
     )
-    repeated = may_repeat(places.drop("company_id"))
-    if not repeated:
-        # No two organizations look alike, so equal results only come from equal deals: the
-        # distinct can run on the narrow deal rows instead of the wide joined ones.
-        counted = counted.drop(SPREAD).distinct()
-        if hot["organization_id"]:
-            counted = with_hash_spread(counted)
-    hot_places = find_hot_keys(places, "company_id", min_rows=min_hot_rows)["company_id"]
-    joined = sliced_join(
-        counted,
-        with_spread(places) if hot_places else places,
+    shown = [c for c in places.columns if c != "company_id"]
+    places = places.withColumn("digest", F.sha2(F.to_json(F.struct(*shown)), 256))
+    keyed = places.select("company_id", "digest")
+
+    hot = find_hot_keys(wanted, "deal", "organization_id", min_rows=min_hot_rows)
+    hot_places = find_hot_keys(keyed, "company_id", "digest", min_rows=min_hot_rows)
+    if any(hot.values()):
+        wanted = with_spread(wanted)
+    counted = sliced_join(wanted, task_counts(tasks), "deal", "task_deal_id", left_hot=hot["deal"])
+    named = sliced_join(
+        counted.drop("deal", "task_deal_id"),
+        with_spread(keyed) if hot_places["company_id"] else keyed,
         "organization_id",
         "company_id",
         "inner",
         left_hot=hot["organization_id"],
-        right_hot=hot_places,
+        right_hot=hot_places["company_id"],
     ).drop("organization_id", "company_id", SPREAD)
-    return joined.distinct() if repeated else joined
-
 
-def may_repeat(df: DataFrame) -> bool:
-    """False if all rows differ. Compares hashes; a collision only says True too often."""
-    hashes = F.xxhash64(*df.columns), F.hash(*df.columns)
-    return not df.groupBy(*hashes).count().where("count > 1").isEmpty()
+    slices = _hot_digests(keyed, hot["organization_id"], hot_places["digest"])
+    wide = places.select("digest", *shown).withColumnRenamed("digest", "place")
+    if slices:
+        content = F.xxhash64(*named.columns)
+        named = named.withColumn("_slice", F.pmod(content, slices.slice_count(F.col("digest"), with_null=False)).cast("int"))
+        copies = F.sequence(F.lit(0), slices.slice_count(F.col("place"), with_null=False) - 1)
+        wide = wide.withColumn("_slice_copy", F.explode(copies))
+    parted = [c for c in ("digest", "_slice") if c in named.columns]
+    rows = named.repartition(*parted).distinct()
+    wide = wide.dropDuplicates([c for c in ("place", "_slice_copy") if c in wide.columns])
+    on = F.col("digest") == F.col("place")
+    if slices:
+        on = on & (F.col("_slice") == F.col("_slice_copy"))
+    return rows.join(wide, on).drop("digest", "place", "_slice", "_slice_copy")
+
+
+def _hot_digests(keyed: DataFrame, organizations: HotKeys, digests: HotKeys) -> HotKeys:
+    """Digests that many organizations share, and two at most of each hot organization, with their slices."""
+    counts = dict(digests.counts())
+    if organizations:
+        slices = organizations.counts()
+        hot = keyed.where(F.col("company_id").isin([k for k in slices if k is not None]))
+        for company, *pair in hot.groupBy("company_id").agg(F.min("digest"), F.max("digest")).collect():
+            for digest in pair:
+                counts[digest] = max(counts.get(digest, 1), slices[company])
+    return HotKeys.of(counts)
 
 
 def map_lookup(forest_map: DataFrame) -> DataFrame:
