@@ -7,15 +7,15 @@ tasks are line items, funnels follow the order priority, the forest map is the n
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jatoba.plans import gold, silver
 from jatoba.plans.jobs import run_bronze, run_gold, run_silver
 from jatoba.queries.registry import query, table
-from jatoba.queries.relational import AS_OF, coordinate_ctes
+from jatoba.queries.relational import AS_OF, LOW_MINIMUM, coordinate_ctes
 from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, NEGOTIATION_FUNNEL
 from jatoba.session import shared_dir, together
 from jatoba.sources.tables import Lake
@@ -62,7 +62,7 @@ FUNNEL_SQL = f"""
     FROM orders"""
 
 
-@query(f"""
+SILVER_DEALS_SQL = f"""
 SELECT concat('D', o_orderkey) AS id, concat('Deal ', o_orderkey) AS name, o_orderdate AS last_activity_at,
        o_orderkey % 10 AS interactions, o_orderstatus = 'F' AS win,
        CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS closed_at,
@@ -71,9 +71,10 @@ SELECT concat('D', o_orderkey) AS id, concat('Deal ', o_orderkey) AS name, o_ord
        CASE WHEN o_orderstatus = 'O' THEN 'price' END AS lost_reason, o_orderdate AS created_at,
        o_orderdate + to_days(3) AS updated_at, funnel_name
 FROM orders LEFT JOIN ({FUNNEL_SQL}) f ON o_orderpriority = funnel_stage
-""")
-def silver_deals_funnel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deals typed and joined to the distinct funnels: one stage in two funnels, one in none."""
+"""
+
+
+def _bronze_deals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, sf_dir, "orders")
     iso = "concat(replace(cast({} as string), ' ', 'T'), '-03:00')"
     bronze = orders.select(
@@ -99,7 +100,19 @@ def silver_deals_funnel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(captured, CAPTURE_FUNNEL).otherwise(NEGOTIATION_FUNNEL).alias("Name"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("DealStage_ID"),
     )
-    return silver.silver_deals(bronze, funnels)
+    return bronze, funnels
+
+
+@query(SILVER_DEALS_SQL)
+def silver_deals_funnel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deals typed and joined to the distinct funnels: one stage in two funnels, one in none."""
+    return silver.silver_deals(*_bronze_deals(spark, sf_dir))
+
+
+@query(SILVER_DEALS_SQL)
+def silver_deals_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same when the funnels are too large to broadcast and every stage is hot."""
+    return silver.silver_deals(*_bronze_deals(spark, sf_dir), broadcast_bytes=0, min_hot_rows=LOW_MINIMUM)
 
 
 # Texts that parse, so that the strict load passes: register, fallback, NULLs, no dash, blanks, commas.
@@ -129,13 +142,16 @@ CUSTOMER = _organizations_sql("C", "c_custkey", "c_nationkey", "c_mktsegment", "
 SUPPLIER = _organizations_sql("S", "s_suppkey", "s_nationkey", "s_name", "supplier")
 
 
-def _gold_sql(funnel: str) -> str:
+OWNER = "concat('C', o_custkey)"
+HOT_OWNER = "CASE WHEN o_orderkey % 3 = 0 THEN 'C1' ELSE concat('C', o_custkey) END"
+
+
+def _gold_sql(funnel: str, owner: str = OWNER) -> str:
     return f"""
 WITH organizations AS ({CUSTOMER} UNION ALL {SUPPLIER}),
 deals AS (
     SELECT concat('D', o_orderkey) AS id, concat('Deal ', o_orderstatus) AS name,
-           CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 0 THEN NULL ELSE concat('C', o_custkey) END
-               AS organization_id,
+           CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 0 THEN NULL ELSE {owner} END AS organization_id,
            concat('User ', o_custkey % 7) AS user_name, o_orderpriority AS stage_name,
            CASE WHEN o_orderstatus = 'O' THEN 'price' END AS lost_reason,
            CAST(concat(year(o_orderdate), '-01-01') AS TIMESTAMP) AS created_at,
@@ -173,11 +189,11 @@ def _organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _deals(spark: SparkSession, sf_dir: str, owner: str = OWNER) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.expr("concat('D', o_orderkey)").alias("id"),
         F.expr("concat('Deal ', o_orderstatus)").alias("name"),
-        F.expr("if(o_orderstatus = 'P' AND o_orderkey % 10 = 0, null, concat('C', o_custkey))").alias("organization_id"),
+        F.expr(f"if(o_orderstatus = 'P' AND o_orderkey % 10 = 0, null, {owner})").alias("organization_id"),
         F.expr("concat('User ', o_custkey % 7)").alias("user_name"),
         F.col("o_orderpriority").alias("stage_name"),
         F.expr("if(o_orderstatus = 'O', 'price', null)").alias("lost_reason"),
@@ -215,10 +231,12 @@ def _comparable(table: DataFrame) -> DataFrame:
     ).drop("ponto")
 
 
-def _gold(spark: SparkSession, sf_dir: str, funnel: str) -> DataFrame:
+def _gold(spark: SparkSession, sf_dir: str, funnel: str, owner: str = OWNER, low: bool = False) -> DataFrame:
     organizations = _organizations(spark, sf_dir).withColumn("dt_log", F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
-    base = gold.gold_base(organizations, _deals(spark, sf_dir), _tasks(spark, sf_dir), [funnel])
-    return _comparable(gold.gold_table(base, _forest_map(spark, sf_dir), funnel))
+    hot = {"min_hot_rows": LOW_MINIMUM} if low else {}
+    base = gold.gold_base(organizations, _deals(spark, sf_dir, owner), _tasks(spark, sf_dir), [funnel], **hot)
+    options = {"broadcast_bytes": 0, **hot} if low else {}
+    return _comparable(gold.gold_table(base, _forest_map(spark, sf_dir), funnel, **options))
 
 
 @query(_gold_sql(NEGOTIATION_FUNNEL))
@@ -233,16 +251,47 @@ def gold_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold(spark, sf_dir, CAPTURE_FUNNEL)
 
 
-@query(_gold_sql(CAPTURE_FUNNEL))
-def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed pages through all nine jobs: five bronze, two silver and two gold tables."""
-    landing = shared_dir(spark, "landing")
+@query(_gold_sql(NEGOTIATION_FUNNEL, HOT_OWNER))
+def gold_negotiations_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a third of the deals on one organization, and every join in slices."""
+    return _gold(spark, sf_dir, NEGOTIATION_FUNNEL, HOT_OWNER, low=True)
+
+
+RECORDS = 200
+"""Records of a full page."""
+
+
+def _numbered(rows: DataFrame, stretch: str, *order: str) -> DataFrame:
+    """``rows`` numbered from 0 in ``nth``: counted per stretch first, so that no task numbers them all."""
+    rows = rows.withColumn("stretch", F.expr(stretch))
+    counts = rows.groupBy("stretch").agg(F.count("*").alias("n"))
+    before = counts.select(F.col("stretch").alias("of"), (F.sum("n").over(Window.orderBy("stretch")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("stretch").orderBy(*order)) - 1
+    return rows.withColumn("inside", inside).join(before, F.col("stretch") == F.col("of")).withColumn("nth", F.col("before") + F.col("inside"))
+
+
+def _pages(numbered: DataFrame, collection: str, record: str, envelope: bool = True) -> DataFrame:
+    """A page log of full pages, the last one short or full."""
+    page = F.floor(F.col("nth") / RECORDS).cast("int") + 1 if envelope else F.lit(1)
+    body = F.struct(F.col("all").alias(collection)) if envelope else F.col("all")
+    return (
+        numbered.groupBy(page.alias("page"))
+        .agg(F.collect_list(F.expr(record)).alias("all"))
+        .select("page", F.lit(200).alias("status"), F.size("all").alias("records"), F.to_json(body).alias("body"))
+    )
 
-    def land(rows: DataFrame, collection: str, page: str, record: str, envelope: bool = True) -> Callable[[], None]:
-        content = f"named_struct('{collection}', array({record}))" if envelope else f"array({record})"
-        log = rows.selectExpr(f"cast({page} as int) page", "200 status", "1 records", f"to_json({content}) body")
-        return lambda: log.write.parquet(f"{landing}/{collection}")
 
+@query(f"""
+SELECT 'negotiations' AS gold, * FROM ({_gold_sql(NEGOTIATION_FUNNEL)})
+UNION ALL BY NAME SELECT 'captures' AS gold, * FROM ({_gold_sql(CAPTURE_FUNNEL)})
+""")
+def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages through all nine jobs to both gold tables.
+
+    Bodies hold 200 records, the last of a collection maybe fewer. An empty page and one with
+    a foreign deal come after the deals, and a failed page after the tasks.
+    """
+    landing, lake_folder = shared_dir(spark, "landing"), shared_dir(spark, "lake")
     fields = ", ".join(
         f"named_struct('value', {column}, 'custom_field', named_struct('label', '{label}'))"
         for label, column in CUSTOM_FIELD_COLUMNS.items()
@@ -256,17 +305,26 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         'created_at', cast(created_at as string), 'updated_at', cast(updated_at as string))"""
     task = "named_struct('id', concat(l_orderkey, '-', l_linenumber), 'deal_id', deal_id, 'done', l_linestatus = 'F')"
     funnel = "named_struct('name', funnel_name, 'deal_stages', array(named_struct('_id', stage, 'name', stage)))"
-    stages = _deals(spark, sf_dir).select(F.col("stage_name").alias("stage"), "funnel_name").distinct()
-    together(
-        land(_organizations(spark, sf_dir), "organizations", "substr(company_id, 2) div 200 + 1", organization),
-        land(_deals(spark, sf_dir), "deals", "o_orderkey div 200 + 1", deal),
-        land(_tasks(spark, sf_dir), "tasks", "l_orderkey div 1000 + 1", task),
-        land(stages, "deal_stages", "1", "named_struct('id', stage, 'name', stage)"),
-        land(stages, "deal_pipelines", "1", funnel, envelope=False),
+    stages = _deals(spark, sf_dir).select(F.col("stage_name").alias("stage"), "funnel_name").distinct().withColumn("nth", F.lit(0))
+    deals = _pages(_numbered(_deals(spark, sf_dir), "o_orderkey div 1000", "o_orderkey"), "deals", deal)
+    tasks = _pages(_numbered(_tasks(spark, sf_dir), "l_orderkey div 1000", "l_orderkey", "l_linenumber"), "tasks", task)
+    after = "inline(array(named_struct('by', 1, 'records', 0, 'body', '{\"deals\": []}'), named_struct('by', 2, 'records', 1, 'body', '{\"deals\": [{\"id\": \"late\"}]}')))"
+    late_deals = deals.agg(F.max("page").alias("end")).selectExpr("end", after).selectExpr("end + by page", "200 status", "records", "body")
+    late_failure = tasks.agg(F.max("page").alias("end")).select(
+        (F.col("end") + 1).alias("page"), F.lit(500).alias("status"), F.lit(None).cast("int").alias("records"), F.lit("busy").alias("body")
     )
-
-    lake = Lake(spark, shared_dir(spark, "lake"), f"lake_{uuid.uuid4().hex}")
-    run_bronze(spark, landing, lake, layout="log", limit=1)  # no page with a record is short
+    organizations = _numbered(_organizations(spark, sf_dir), "pmod(xxhash64(company_id), 64)", "company_id")
+    logs = {
+        "organizations": _pages(organizations, "organizations", organization),
+        "deals": deals.unionByName(late_deals),
+        "tasks": tasks.unionByName(late_failure),
+        "deal_stages": _pages(stages, "deal_stages", "named_struct('id', stage, 'name', stage)"),
+        "deal_pipelines": _pages(stages, "deal_pipelines", funnel, envelope=False),
+    }
+    together(*[partial(log.write.parquet, f"{landing}/{name}") for name, log in logs.items()])
+    lake = Lake(spark, lake_folder, f"lake_{uuid.uuid4().hex}")
+    run_bronze(spark, landing, lake, layout="log")
     run_silver(lake, AS_OF)
     run_gold(lake, _forest_map(spark, sf_dir))
-    return _comparable(lake.read("gold", "captures"))
+    parts = [_comparable(lake.read("gold", g)).withColumn("gold", F.lit(g)) for g in ("negotiations", "captures")]
+    return parts[0].unionByName(parts[1])

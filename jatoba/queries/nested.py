@@ -28,7 +28,7 @@ WITH log AS (
     UNION ALL
     SELECT 'deals', o_orderkey // 200 + 1, FALSE, CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders
     UNION ALL
-    SELECT 'tasks', l_orderkey // 50 + 1, FALSE, concat(l_orderkey, '-', l_linenumber), l_returnflag FROM lineitem
+    SELECT 'tasks', event_id // 200 + 1, FALSE, CAST(event_id AS VARCHAR), event_type FROM events WHERE event_id % 4999 <> 4990
 ), pages AS (
     SELECT collection, page, count(*) AS size, bool_or(failed) AS failed FROM log GROUP BY collection, page
 ), bounds AS (
@@ -51,15 +51,16 @@ def paged_collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             "named_struct('id', cast(o_orderkey as string), 'name', o_orderpriority)", schemas.DEAL_RECORD, "name",
         ),
         "tasks": (
-            "lineitem", "l_orderkey div 50 + 1", "200",
-            "named_struct('id', concat(l_orderkey, '-', l_linenumber), 'subject', l_returnflag)",
+            "events", "event_id div 200 + 1", "200",
+            "if(event_id % 4999 = 4990, null, named_struct('id', cast(event_id as string), 'subject', event_type))",
             schemas.TASK_RECORD, "subject",
         ),
     }
     parts = []
     for collection, (name, page, status, record, schema, title) in logs.items():
         log = table(spark, sf_dir, name).selectExpr(
-            f"cast({page} as int) page", f"{status} status", f"to_json(named_struct('{collection}', array({record}))) body"
+            f"cast({page} as int) page", f"{status} status",
+            f"to_json(named_struct('{collection}', filter(array({record}), x -> x is not null))) body",
         )
         records = source.paged_records(*source.split_page_log(log), collection, schema)
         parts.append(records.select(F.lit(collection).alias("collection"), "page", "id", F.col(title).alias("name")))

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from jatoba.functions import convert, geo
 from jatoba.functions.conditions import PASS_MEAN
-from jatoba.operators.joins import lookup_left_join, merge_left, skew_safe_join
+from jatoba.operators.joins import (
+    MIN_HOT_ROWS,
+    find_hot_keys,
+    lookup_left_join,
+    merge_left,
+    skew_safe_join,
+    sliced_join,
+    with_spread,
+)
 from jatoba.operators.pivot import eav_pivot
 from jatoba.plans.gold import map_lookup, task_counts
 from jatoba.queries.registry import query, table
@@ -51,6 +59,17 @@ def timestamp_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOW_MINIMUM = 100
+"""Rows from which a key is hot in the queries that show the sliced plans on small tables."""
+
+
+def _counted(orders: DataFrame, tasks: DataFrame, key: str, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Orders with the number of their tasks, hot keys in slices; ``orders`` only scans."""
+    hot = find_hot_keys(orders, key, min_rows=min_hot_rows)[key]
+    joined = sliced_join(with_spread(orders) if hot else orders, task_counts(tasks), key, "task_deal_id", left_hot=hot)
+    return joined.select(*orders.columns, "qtde_tarefas")
+
+
 @query("""
 SELECT o_orderkey, qtde_tarefas
 FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS qtde_tarefas FROM lineitem GROUP BY l_orderkey) t
@@ -58,9 +77,22 @@ ON o_orderkey = l_orderkey
 """)
 def task_count_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per key joined to their parents; a parent without rows has NULL, not 0."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    counts = task_counts(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("deal_id")))
-    return orders.join(counts, F.col("o_orderkey") == F.col("task_deal_id"), "left").select("o_orderkey", "qtde_tarefas")
+    tasks = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("deal_id"))
+    return _counted(table(spark, sf_dir, "orders").select("o_orderkey"), tasks, "o_orderkey")
+
+
+@query("""
+SELECT o_orderkey, deal, qtde_tarefas
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS deal FROM orders)
+LEFT JOIN (SELECT CASE WHEN l_partkey % 4 > 0 THEN l_orderkey END AS deal, count(*) AS qtde_tarefas FROM lineitem GROUP BY 1) USING (deal)
+""")
+def task_count_sliced_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a third of the parents on one key, NULL keys on both sides, and slices."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "case when o_orderkey % 3 = 0 then 1 when o_orderkey % 5 <> 0 then o_orderkey end deal"
+    )
+    tasks = table(spark, sf_dir, "lineitem").selectExpr("if(l_partkey % 4 > 0, l_orderkey, null) deal_id")
+    return _counted(orders, tasks, "deal", LOW_MINIMUM)
 
 
 @query("""
@@ -99,6 +131,24 @@ def left_merge_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_left(customer, orders, "id")
 
 
+@query("""
+SELECT id, l.name AS name_x, o_totalprice AS value_x, r.name AS name_y, s_acctbal AS value_y, o_orderkey
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderstatus = 'F' THEN o_custkey % 200 END AS id,
+             o_orderpriority AS name, o_totalprice FROM orders) l
+LEFT JOIN (SELECT CASE WHEN s_suppkey % 3 > 0 THEN s_suppkey % 40 END AS id, s_name AS name, s_acctbal FROM supplier) r USING (id)
+""")
+def left_merge_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge with a third of the rows on one key and NULL keys on both sides, in slices."""
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "case when o_orderkey % 3 = 0 then 1 when o_orderstatus = 'F' then o_custkey % 200 end id",
+        "o_orderpriority name", "o_totalprice value",
+    )
+    supplier = table(spark, sf_dir, "supplier").selectExpr(
+        "if(s_suppkey % 3 > 0, s_suppkey % 40, null) id", "s_name name", "s_acctbal value"
+    )
+    return merge_left(orders, supplier, "id", min_hot_rows=LOW_MINIMUM)
+
+
 @query("""
 SELECT DISTINCT c_mktsegment, c_nationkey, o_orderstatus, o_orderpriority, qtde_tarefas
 FROM customer LEFT JOIN orders ON c_custkey = o_custkey
@@ -108,9 +158,11 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct rows above two left joins; NULLs compare equal."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    counts = task_counts(table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("deal_id")))
-    placed = skew_safe_join(customer, orders, "c_custkey", "o_custkey")
-    joined = placed.join(counts, F.col("o_orderkey") == F.col("task_deal_id"), "left")
+    tasks = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("deal_id"))
+    # The counts come to the orders, not to the joined rows, which have no order key where a customer has no order.
+    hot = find_hot_keys(orders, "o_custkey")["o_custkey"]
+    counted = sliced_join(with_spread(orders) if hot else orders, task_counts(tasks), "o_orderkey", "task_deal_id")
+    joined = sliced_join(customer, counted, "c_custkey", "o_custkey", right_hot=hot)
     return joined.select("c_mktsegment", "c_nationkey", "o_orderstatus", "o_orderpriority", "qtde_tarefas").distinct()
 
 
