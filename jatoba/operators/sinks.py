@@ -1,37 +1,68 @@
 """Sinks: replaced tables, truncate-and-insert tables, CSV for checking.
 
-A load writes into the slot its table does not use and the table then moves over. A load
-that fails, on a bad number for instance, leaves the table as it was, readers of the old
-rows are not cut off, and no row is written twice.
+A load writes a fresh folder and the table then moves over. A load that fails, on a bad
+number or in the catalog, leaves the table as it was; readers of earlier loads are not cut
+off while their folders are kept; no row is written twice.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from jatoba.sources.tables import Lake
 
 
 def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> None:
-    """Drop and recreate the table with the frame's own schema."""
-    table, slot = lake.table(layer, name), lake.free_slot(layer, name)
-    df.write.mode("overwrite").parquet(slot)
-    lake.spark.sql(f"DROP TABLE IF EXISTS {table}")
-    lake.spark.catalog.createTable(table, path=slot, source="parquet", schema=df.schema)
+    """The table with the frame's own schema and rows in place of the one there was.
+
+    With another schema the new table is made under a second name; the names are swapped as
+    the last step, and the old table stays until that is done.
+    """
+    table, folder = lake.table(layer, name), lake.fresh_folder(layer, name)
+    df.write.parquet(folder)
+    catalog = lake.spark.catalog
+    if not catalog.tableExists(table):
+        catalog.createTable(table, path=folder, source="parquet", schema=df.schema)
+    elif _same(lake.spark.table(table).schema, df.schema):
+        _move(lake, table, folder)
+    else:
+        made, old = f"{table}_made", f"{table}_old"
+        for left_over in (made, old):
+            lake.spark.sql(f"DROP TABLE IF EXISTS {left_over}")
+        catalog.createTable(made, path=folder, source="parquet", schema=df.schema)
+        lake.spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        try:
+            lake.spark.sql(f"ALTER TABLE {made} RENAME TO {table}")
+        except Exception:
+            lake.spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            raise
+        lake.spark.sql(f"DROP TABLE {old}")
+        catalog.refreshTable(table)
+    lake.drop_old_loads(layer, name)
+
+
+def _same(one: StructType, other: StructType) -> bool:
+    return [(f.name, f.dataType) for f in one] == [(f.name, f.dataType) for f in other]
+
+
+def _move(lake: Lake, table: str, folder: str) -> None:
+    lake.spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+    lake.spark.catalog.refreshTable(table)
 
 
 def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: str) -> None:
     """Replace all rows and keep the declared schema. Columns go in by position."""
-    table, slot = lake.table(layer, name), lake.free_slot(layer, name)
+    table, folder = lake.table(layer, name), lake.fresh_folder(layer, name)
     lake.spark.sql(f"DROP TABLE IF EXISTS {table}_next")
-    lake.spark.sql(f"CREATE TABLE {table}_next ({schema}) USING parquet LOCATION '{slot}'")
+    lake.spark.sql(f"CREATE TABLE {table}_next ({schema}) USING parquet LOCATION '{folder}'")
     df.write.insertInto(f"{table}_next", overwrite=True)
     lake.spark.sql(f"DROP TABLE {table}_next")
     if lake.spark.catalog.tableExists(table):
-        lake.spark.sql(f"ALTER TABLE {table} SET LOCATION '{slot}'")
-        lake.spark.catalog.refreshTable(table)
+        _move(lake, table, folder)
     else:
-        lake.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet LOCATION '{slot}'")
+        lake.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet LOCATION '{folder}'")
+    lake.drop_old_loads(layer, name)
 
 
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jatoba import schemas
 from jatoba.operators.sinks import replace_table, truncate_insert
 from jatoba.plans import bronze, gold, silver
-from jatoba.session import stage, together
+from jatoba.session import staged, together
 from jatoba.sources import pages as source
 from jatoba.sources.tables import Lake
 
@@ -71,7 +71,8 @@ def run_silver(lake: Lake, as_of: datetime | None = None, strict: bool = True) -
 def run_gold(lake: Lake, forest_map: DataFrame, strict: bool = True) -> None:
     """Silver tables, tasks and the map to the two gold tables.
 
-    The base of both is computed once and staged, so that its joins run once.
+    The base of both is computed once and staged, so that its joins run once; the copy goes
+    when both tables are written.
     """
     base = gold.gold_base(
         lake.read("silver", "organizations"),
@@ -79,10 +80,10 @@ def run_gold(lake: Lake, forest_map: DataFrame, strict: bool = True) -> None:
         lake.read("bronze", "tasks"),
         list(GOLD_TABLES.values()),
     )
-    base = stage(base, "gold-base")
 
-    def load(name: str, funnel: str) -> None:
-        table = gold.gold_table(base, forest_map, funnel, strict, rows_scan=True)
+    def load(rows: DataFrame, name: str, funnel: str) -> None:
+        table = gold.gold_table(rows, forest_map, funnel, strict, rows_scan=True)
         truncate_insert(table, lake, "gold", name, schemas.GOLD)
 
-    together(*[partial(load, name, funnel) for name, funnel in GOLD_TABLES.items()])
+    with staged(base, "gold-base") as rows:
+        together(*[partial(load, rows, name, funnel) for name, funnel in GOLD_TABLES.items()])

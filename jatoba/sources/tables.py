@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 @dataclass(frozen=True)
 class Lake:
-    """Names and places of the layer tables: ``<database>.<layer>_<name>``."""
+    """Names and places of the layer tables: ``<database>.<layer>_<name>``.
+
+    Every load writes a fresh folder; ``kept_loads`` of them stay, the current one included,
+    for readers that opened the table earlier.
+    """
 
     spark: SparkSession
     root: str
     database: str = "crm"
+    kept_loads: int = 3
 
     def create(self) -> Lake:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}'")
@@ -22,13 +29,24 @@ class Lake:
     def table(self, layer: str, name: str) -> str:
         return f"{self.database}.{layer}_{name}"
 
-    def free_slot(self, layer: str, name: str) -> str:
-        """The one of a table's two folders that holds no current rows."""
-        table, slots = self.table(layer, name), [f"{self.root.rstrip('/')}/{layer}/{name}/{s}" for s in "ab"]
-        if not self.spark.catalog.tableExists(table):
-            return slots[0]
+    def fresh_folder(self, layer: str, name: str) -> str:
+        """A folder that no load has used; later ones sort after earlier ones."""
+        return f"{self.root.rstrip('/')}/{layer}/{name}/load-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def location(self, table: str) -> str:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
-        return slots[1] if described.first()["data_type"].endswith("/a") else slots[0]
+        return described.first()["data_type"]
+
+    def drop_old_loads(self, layer: str, name: str) -> None:
+        """Remove the folders of all but the last ``kept_loads`` loads; the current one always stays."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{layer}/{name}")
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        loads = sorted((s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("load-")), key=lambda p: p.getName())
+        current = self.location(self.table(layer, name)).rstrip("/")
+        for path in loads[: -max(1, self.kept_loads)]:
+            if not current.endswith(path.getName()):
+                files.delete(path, True)
 
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.table(layer, name))

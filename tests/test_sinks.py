@@ -62,6 +62,48 @@ def test_stage_uses_the_shared_folder(spark, monkeypatch):
     assert shared_dir(spark, "x") != shared_dir(spark, "x")
 
 
+def test_a_failed_catalog_step_keeps_the_table(spark, lake, monkeypatch):
+    replace_table(spark.range(3), lake, "bronze", "t")
+
+    def failing(*args, **options):
+        raise RuntimeError("no catalog today")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark.catalog), "createTable", failing)
+        with pytest.raises(RuntimeError):
+            replace_table(spark.range(5).selectExpr("cast(id as string) other"), lake, "bronze", "t")
+    assert lake.read("bronze", "t").count() == 3 and lake.read("bronze", "t").columns == ["id"]
+    replace_table(spark.range(5).selectExpr("cast(id as string) other"), lake, "bronze", "t")
+    assert lake.read("bronze", "t").count() == 5 and lake.read("bronze", "t").columns == ["other"]
+
+
+def test_readers_keep_their_load_and_old_loads_go(spark, lake):
+    import os
+
+    schema = "id bigint"
+    truncate_insert(spark.range(1), lake, "silver", "r", schema)
+    reader = spark.read.parquet(lake.location(lake.table("silver", "r")))
+    for n in (2, 3):
+        truncate_insert(spark.range(n), lake, "silver", "r", schema)
+    assert reader.count() == 1 and lake.read("silver", "r").count() == 3
+    for n in (4, 5):
+        truncate_insert(spark.range(n), lake, "silver", "r", schema)
+    folder = os.path.join(lake.root, "silver", "r")
+    assert len(os.listdir(folder)) == lake.kept_loads == 3 and lake.read("silver", "r").count() == 5
+
+
+def test_staged_copies_go(spark):
+    from jatoba.session import staged
+
+    with pytest.raises(ValueError), staged(spark.range(4), "gone") as rows:
+        files = rows.inputFiles()
+        assert rows.count() == 4 and files
+        raise ValueError
+    import os
+
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 class _Context:
     def __init__(self, master):
         self.master, self.folder = master, None
