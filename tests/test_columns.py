@@ -127,7 +127,7 @@ def test_long_longitudes_are_read_whole(spark):
     assert value(spark, F.length(geo.longitude_text(L("-1,5" + "0" * 20_000)))) == 20_001
 
 
-def test_floor_pair_matches_python(spark):
+def test_floor_pair_matches_plain_operators(spark):
     pairs = [(a, b) for a in (-13, -1, 0, 5, 2**53 + 1, -(2**62)) for b in (-7, -1, 2, 10)]
     a, b = F.col("a"), F.col("b")
     assert values(spark, pairs, "a bigint, b bigint", num.floor_div(a, b)) == [x // y for x, y in pairs]

@@ -1,4 +1,4 @@
-"""Random inputs against small plain-Python models."""
+"""Random inputs against small plain models."""
 
 import json
 import random
