@@ -7,13 +7,14 @@ collected to build a page.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jatoba import schemas
 from jatoba.operators.nested import flatten_structs, project, union_by_name
 from jatoba.plans.bronze import bronze_deals, bronze_funnels, bronze_organizations, bronze_stages, bronze_tasks
 from jatoba.queries.registry import plain_names, query, table
+from jatoba.session import shared_dir
 from jatoba.sources import pages as source
 
 
@@ -67,6 +68,33 @@ def paged_collection_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_by_name(parts)
 
 
+@query("""
+SELECT o_orderkey // 200 + 1 AS page, CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS name
+FROM orders WHERE o_orderkey // 200 + 1 < (SELECT max(o_orderkey) // 200 + 1 - 3 FROM orders)
+""")
+def page_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file per page with 200 records each, and a status file; the fourth page from the end failed."""
+    landing = shared_dir(spark, "page-files")
+    record = F.expr("named_struct('id', cast(o_orderkey as string), 'name', o_orderpriority)")
+    pages = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.expr("cast(o_orderkey div 200 + 1 as int)").alias("page"))
+        .agg(F.collect_list(record).alias("deals"))
+        .select("page", F.to_json(F.struct("deals")).alias("value"))
+    )
+    pages.write.partitionBy("page").text(f"{landing}/parts")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing}/deals")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    for part in files.globStatus(folder.suffix("/../parts/page=*/part-*")):
+        page = part.getPath().getParent().getName()
+        files.rename(part.getPath(), folder.suffix(f"/{page}.json"))
+    answers = pages.select("page", F.when(F.col("page") == F.max("page").over(Window.partitionBy()) - 3, 500).otherwise(200).alias("status"))
+    answers.write.option("header", True).csv(f"{landing}/deals_status.csv")
+    landed = source.read_page_files(spark, landing, "deals")
+    return source.paged_records(*landed, "deals", schemas.DEAL_RECORD).select("page", "id", "name")
+
+
 @query("""
 SELECT concat('D', o_orderkey) AS id, concat('Deal ', o_orderkey) AS name,
        CAST(o_orderdate AS VARCHAR) AS last_activity_at, o_orderkey % 10 AS interactions,
