@@ -88,6 +88,27 @@ def test_silver_organizations(lake):
     assert one["created_at"] == datetime(2023, 10, 10, 10) and one["dt_log"] == AS_OF
 
 
+def test_load_time_defaults_to_now(spark, lake):
+    before = spark.sql("select current_timestamp()::timestamp_ntz t").first().t
+    loaded = silver.silver_organizations(lake.read("bronze", "organizations")).select("dt_log").distinct().collect()
+    after = spark.sql("select current_timestamp()::timestamp_ntz t").first().t
+    assert len(loaded) == 1 and before <= loaded[0].dt_log <= after
+
+
+def test_few_jobs_before_the_action(spark, lake):
+    """A lookup is worked out once and measured in one pass; hot keys and row counts come from one pass a side."""
+    tracker = spark.sparkContext.statusTracker()
+    parts = lake.read("silver", "organizations"), lake.read("silver", "deals"), lake.read("bronze", "tasks")
+    for limit, build in (
+        (4, lambda: silver.silver_deals(lake.read("bronze", "deals"), lake.read("bronze", "funnels"))),
+        (5, lambda: gold.gold_base(*parts, [NEGOTIATION])),
+    ):
+        spark.sparkContext.setJobGroup(f"jobs-{limit}", "before the action")
+        build()
+        spark.sparkContext._jsc.clearJobGroup()
+        assert len(tracker.getJobIdsForGroup(f"jobs-{limit}")) <= limit
+
+
 def test_silver_deals(lake):
     rows = sorted((r["id"], str(r["funnel_name"])) for r in lake.read("silver", "deals").collect())
     assert rows == sorted([
