@@ -73,20 +73,27 @@ NO_HOT_KEYS = HotKeys({})
 def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
     """Frequent values of each column and the number of rows, from one pass with a small sketch per task.
 
-    No shuffle on the key: only sketches move, and they merge in two steps whose fan-in is
-    about the root of the number of tasks. One row with at most MAX_HOT_KEYS values per column
+    No shuffle on the key: only sketches move. Those of up to MERGE_TASKS tasks merge at once,
+    more in two steps whose fan-in is about the root of the number of tasks. One row with at most MAX_HOT_KEYS values per column
     comes to the driver. The sketch decides how rows are spread, never which rows are kept.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    merges = max(MERGE_TASKS, math.isqrt(df.rdd.getNumPartitions()))
-    merged = df.groupBy((F.spark_partition_id() % merges).alias("_merge")).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})").alias(c) for c in columns]
-    )
-    top = "approx_top_k_estimate(approx_top_k_combine(`{}`, {}), {})"
+    tasks = df.rdd.getNumPartitions()
+    count = F.count(F.lit(1)).alias("_rows")
+    sketches = {c: f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})" for c in columns}
+    top = f"approx_top_k_estimate({{}}, {MAX_HOT_KEYS})"
     # Grouped by a constant, because a combine without grouping fails on an empty partition.
-    row = merged.groupBy(F.lit("all")).agg(
-        F.sum("_rows").alias("_rows"), *[F.expr(top.format(c, TRACKED_KEYS, MAX_HOT_KEYS)).alias(c) for c in columns]
-    ).first()
+    if tasks <= MERGE_TASKS:
+        row = df.groupBy(F.lit("all")).agg(count, *[F.expr(top.format(s)).alias(c) for c, s in sketches.items()]).first()
+    else:
+        merges = max(MERGE_TASKS, math.isqrt(tasks))
+        merged = df.groupBy((F.spark_partition_id() % merges).alias("_merge")).agg(
+            count, *[F.expr(s).alias(c) for c, s in sketches.items()]
+        )
+        combined = f"approx_top_k_combine(`{{}}`, {TRACKED_KEYS})"
+        row = merged.groupBy(F.lit("all")).agg(
+            F.sum("_rows").alias("_rows"), *[F.expr(top.format(combined.format(c))).alias(c) for c in columns]
+        ).first()
     if row is None or row["_rows"] < min_rows:
         return dict.fromkeys(columns, NO_HOT_KEYS)
     threshold = max(min_rows, row["_rows"] / MAX_HOT_KEYS)

@@ -41,8 +41,10 @@ def test_hot_keys(spark, many):
     assert not joins.find_hot_keys(many, "k", "v", min_rows=5000)["k"]
 
 
+@pytest.mark.parametrize("at_once", [1, 128])
 @pytest.mark.parametrize("adaptive", ["true", "false"])
-def test_hot_keys_of_odd_frames(spark, adaptive):
+def test_hot_keys_of_odd_frames(spark, monkeypatch, adaptive, at_once):
+    monkeypatch.setattr(joins, "MERGE_TASKS", at_once)
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
         nothing = spark.range(0).select(F.lit("x").alias("k"))
@@ -54,8 +56,10 @@ def test_hot_keys_of_odd_frames(spark, adaptive):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_sketch_error_is_below_the_threshold(spark):
+@pytest.mark.parametrize("at_once", [1, 128])
+def test_sketch_error_is_below_the_threshold(spark, monkeypatch, at_once):
     """A key with twice the threshold is found among very many thin keys."""
+    monkeypatch.setattr(joins, "MERGE_TASKS", at_once)
     rows = spark.range(2_000_000).select(
         F.when(F.col("id") % 1000 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k")
     )
