@@ -15,27 +15,32 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jatoba.llm import language, mixing, packing, simhash, substrings
 from jatoba.llm.queries import default_tokenizer
-from jatoba.queries.folders import ensure_work_folder
+from jatoba.llm.session import prepare
 from jatoba.session import stage
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return language.keep_identified(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return simhash.keep_one(docs, words=3, threshold=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return substrings.cut_passages(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return packing.pack(docs, default_tokenizer())
 
 
@@ -52,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; what each stage keeps lies in the shared folder until it is cleaned."""
-    ensure_work_folder(spark)
+    prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), name)

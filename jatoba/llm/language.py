@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words, run_ranges, slices, whole_row
+from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words, held, row_slices, run_ranges, text_of, whole_row
 
 STEP_BYTES = 1 << 21
 SAMPLE_DOCS = 200
@@ -274,7 +274,8 @@ def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     """Fit to a sample of the labelled documents that are not held out; None if there are none.
 
     Each language is drawn with the share that gives ``sample_docs`` documents in expectation,
-    by a hash of the id. At most twice that many per language reach the driver.
+    by a hash of the id; the 64 languages with most documents are learned. At most twice that
+    many documents per language reach the driver.
     """
     learned = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.char_length("text") <= sample_chars)
@@ -292,14 +293,8 @@ def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     return fit(texts, langs) if any(t.strip() for t in texts) else None
 
 
-_memories: dict[str, Memory] = {}
-
-
 def _memory(model: Crf) -> Memory:
-    if model.name not in _memories:
-        _memories.clear()
-        _memories[model.name] = Memory(model.emissions, len(model.labels), np.float32)
-    return _memories[model.name]
+    return held(model.name, lambda: Memory(model.emissions, len(model.labels), np.float32))
 
 
 def word_marginals(model: Crf, column: pa.Array) -> tuple[Words, np.ndarray]:
@@ -326,8 +321,8 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text", STEP_BYTES):
-                words, marginal = word_marginals(model, batch.column("text"))
+            for batch, text in row_slices(whole, text_of(whole.column("row")), STEP_BYTES):
+                words, marginal = word_marginals(model, text)
                 letters = np.zeros(len(words.data) + 1, np.int64)
                 np.cumsum(_LETTER[words.data], out=letters[1:])
                 counted = letters[words.ends] > letters[words.starts]
@@ -351,7 +346,7 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
     made = StructType([StructField("row", docs.schema), *StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in added.items())).fields])
-    found = docs.select(F.col("text").cast("string").alias("text"), letter, whole_row(docs)).mapInArrow(run, made)
+    found = docs.select(letter, whole_row(docs)).mapInArrow(run, made)
     return found.select(*own, *added)
 
 
@@ -376,5 +371,8 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 def keep_identified(docs: DataFrame, least_score: float = 0.3, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """The documents without those of no language: ``und``, or with a score below ``least_score``."""
     model = fit_documents(docs, sample_docs)
-    found = predict(docs.select("text", whole_row(docs)), model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("row.*")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    # Under names that clash with nothing, but for the text.
+    plain = docs.toDF(*["text" if c == "text" else n for c, n in zip(docs.columns, names, strict=True)])
+    found = predict(plain, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
+    return found.drop("lang_pred", "score").toDF(*docs.columns)

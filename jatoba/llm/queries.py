@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jatoba.llm import embeddings, language, licenses, mixing, neighbours, packing, quotes, scoring, simhash, substrings
-from jatoba.queries.folders import ensure_work_folder
+from jatoba.llm.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,7 +19,7 @@ def _query(name: str, sql: str | None = None):
     def register(function):
         @wraps(function)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_work_folder(spark)
+            prepare(spark)
             return function(spark, sf_dir)
 
         QUERIES[name] = run

@@ -116,8 +116,20 @@ def pieces(ends: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes of text each, to bound the arrays made of them."""
-    for a, b in pieces(text_ends(batch.column(column)), size):
-        yield batch.slice(a, b - a)
+    for part, _ in row_slices(batch, batch.column(column), size):
+        yield part
+
+
+def row_slices(batch: pa.RecordBatch, text: pa.Array, size: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """The same for a text that lies anywhere in the batch, with the text of each run."""
+    for a, b in pieces(text_ends(text), size):
+        yield batch.slice(a, b - a), text.slice(a, b - a)
+
+
+def text_of(rows: pa.Array) -> pa.Array:
+    """The column ``text`` of a struct column of whole rows."""
+    text = rows.field("text")
+    return text if pa.types.is_string(text.type) else text.cast(pa.string())
 
 
 def text_ends(column: pa.Array) -> np.ndarray:
@@ -174,3 +186,14 @@ class Memory:
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct ``row``, so that whatever they are called, they clash with nothing."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, make):
+    """What a Python worker keeps from batch to batch: one thing at a time, so that stages that follow each other do not add up."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
