@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, threshold: int = 2, seed: i
     named = classes.join(members.join(roots, "component").select("fp", "root"), "fp", "left").select(
         "fp", F.coalesce("root", "first").alias("root")
     )
-    return found.join(named, "fp").select(
+    # Dealt out anew, both sides of the join come from a shuffle, and AQE can split a fingerprint that many rows have.
+    return found.join(named.repartition(F.xxhash64("fp")), "fp").select(
         "doc_id",
         "text_key",
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
