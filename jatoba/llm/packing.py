@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, run_ranges, slices
+from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, held, run_ranges, slices
 
 STEP_BYTES = 1 << 21
 KEPT_WORDS = 1 << 20
@@ -48,7 +48,7 @@ class WordIds:
 
     def _encode(self, words: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         texts = [words.data[s:e].tobytes().decode() for s, e in zip(words.starts[at], words.ends[at], strict=True)]
-        found = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())), lengths
 
@@ -82,13 +82,8 @@ class WordIds:
         return pool[run_ranges(starts, lengths)], lengths
 
 
-_encoders: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
-    return _encoders[path]
+    return held(f"ids {path}", lambda: WordIds(path))
 
 
 def document_ids(column: pa.Array, ids_of: WordIds, end: int) -> tuple[np.ndarray, np.ndarray]:
