@@ -107,8 +107,13 @@ RULES = [
     ("ISC", ["ISCGrant"]),
     ("Unlicense", ["Unlicense"]),
 ]
-# Fixed value: every known sentence holds one of these, so a text without them needs no cutting.
-CUES = r"(?i)licen[sc]e|copyright|permission|warranty|redistribut|free software|rights reserved|public domain|spdx|merchantability|later version|authors or|spdx|mozilla"
+# Fixed value: every known sentence holds one of these, with anything but letters and digits between
+# two words, so a text that in lower case has none of them needs no cutting.
+CUES = (
+    r"(?i)licen[sc]e|copyright|permission|warranty|redistribut|free[^a-z0-9]+software|rights[^a-z0-9]+reserved"
+    r"|public[^a-z0-9]+domain|spdx|merchantability|later[^a-z0-9]+version|authors[^a-z0-9]+or|mozilla"
+    r"|(?:released|distributed|available|published)[^a-z0-9]+under"
+)
 BOUNDARY = "\x1e"
 END = r"([.!?:;])\s+|\n\s*\n"
 JUNK = r"[^a-z0-9]+"
@@ -165,7 +170,7 @@ def recognise(docs: DataFrame) -> DataFrame:
     units = F.flatten(F.transform(sentences(F.col("text")), tokens))
     named = F.filter(F.transform(units, _normalised), lambda s: s != "")
     sequence = F.array_join(F.transform(named, lambda s: F.coalesce(F.concat(F.lit("<"), token(s), F.lit(">")), F.lit("|"))), "")
-    cued = F.coalesce(F.col("text").rlike(CUES), F.lit(False))
+    cued = F.coalesce(F.lower(F.col("text").cast("string")).rlike(CUES), F.lit(False))
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn(
         "sequence", F.when(cued, sequence).otherwise("")
     )

@@ -75,3 +75,18 @@ def test_every_known_sentence_has_a_cue_and_every_rule_known_sentences():
 def test_plan_is_native(spark):
     plan = licenses.recognise(documents(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_no_known_sentence_is_skipped(spark):
+    """In normal form, and with its words on different lines or apart by other marks."""
+    known = list(licenses.known_sentences())
+    cue = re.compile(licenses.CUES)
+    assert [s for s in known if not (cue.search(s) and cue.search(s.replace(" ", "\n")) and cue.search(s.replace(" ", "_ -")))] == []
+    texts = ["Released under GPLv3.", "Released under MIT.", "Distributed under the terms of Apache-2.0.", "Available under CC BY 4.0.",
+             "Published under CC0 1.0.", "All rights\nreserved.", "This is free and unencumbered software released into the public\ndomain."]
+    rows = list(enumerate(texts))
+    found = licenses.recognise(documents(spark, rows)).orderBy("doc_id").collect()
+    assert [r.licenses or r.sentence_ids for r in found] == ["GPL-3.0", "MIT", "Apache-2.0", "CC-BY-4.0", "CC0-1.0", "AllRights", "Unlicense"]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    assert sorted(map(tuple, found)) == sorted(con.sql(licenses.SQL).fetchall())
