@@ -22,10 +22,12 @@ from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words,
 
 STEP_BYTES = 1 << 21
 SAMPLE_DOCS = 200
-"""Documents per language that the model is fitted on, in expectation; the only bound on what is learned from."""
+"""Documents per language that the model is fitted on, in expectation."""
 SAMPLE_CHARS = 20_000
-"""Only documents up to this long are drawn for the fit."""
-MOST_LANGUAGES = 64
+"""Of a longer document that is drawn for the fit, about this much is taken, from ``PIECES`` places."""
+PIECES = 4
+MANY_LANGUAGES = 64
+"""With more languages than this, all are learned, but from fewer documents each, and less text is worked on in one go."""
 DIMENSIONS = 1 << 16
 SEGMENT = 64
 """Words whose transfer matrix is multiplied up before segments are chained."""
@@ -257,12 +259,12 @@ def _gradients(score, truth, transition, start):
         behind[:, t] = moved / moved.sum(axis=1, keepdims=True)
     marginal = ahead * behind
     marginal /= marginal.sum(axis=2, keepdims=True)
-    pair = ahead[:, :-1, :, None] * step[None, None] * (behind * emit)[:, 1:, None, :]
-    pair /= pair.sum(axis=(2, 3), keepdims=True)
+    left, right = ahead[:, :-1].reshape(-1, labels), (behind * emit)[:, 1:].reshape(-1, labels)
+    pairs = step * ((left / ((left @ step) * right).sum(axis=1, keepdims=True)).T @ right)
     seen = np.eye(labels)[truth]
     observed = np.zeros((labels, labels))
     np.add.at(observed, (truth[:, :-1].ravel(), truth[:, 1:].ravel()), 1)
-    return seen - marginal, observed - pair.sum(axis=(0, 1)), (seen - marginal)[:, 0].sum(axis=0)
+    return seen - marginal, observed - pairs, (seen - marginal)[:, 0].sum(axis=0)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -271,30 +273,45 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Crf | None:
-    """Fit to a sample of the labelled documents that are not held out; None if there are none.
+    """Fit to a sample of the labelled documents that are not held out; None if there are none with a letter.
 
-    Each language is drawn with the share that gives ``sample_docs`` documents in expectation,
-    by a hash of the id; the 64 languages with most documents are learned. At most twice that
-    many documents per language reach the driver.
+    Every language is learned, whatever the length of its documents: each is drawn by a hash of
+    the id, with the share that gives ``sample_docs`` documents in expectation (fewer if there
+    are more than 64 languages), and with one document at least. Rows of one id and language
+    count once. Of a document longer than ``sample_chars``, pieces of it are learned.
     """
-    learned = docs.where(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.char_length("text") <= sample_chars)
+    text, draw = F.col("text"), F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    learned = (
+        docs.select(F.col("lang").cast("string"), F.col("doc_id"), F.col("text").cast("string"))
+        .where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & text.rlike(r"\p{L}"))
+        .withColumn("draw", draw)
     )
-    counts = learned.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
+    counts = learned.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"), F.min("draw").alias("least")).collect()
     if not counts:
         return None
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row.lang, F.lit(sample_docs / row["count"])).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = learned.where(draw < share).select("lang", "text").limit(2 * sample_docs * len(counts)).collect()
-    rows.sort()
-    texts, langs = [r.text for r in rows], [r.lang for r in rows]
-    return fit(texts, langs) if any(t.strip() for t in texts) else None
+    each = sample_docs * min(1.0, (MANY_LANGUAGES / len(counts)) ** 2)
+    shares = docs.sparkSession.createDataFrame([(r.lang, max(each / max(r.n, 1), r.least)) for r in counts], "_lang string, share double")
+    drawn = learned.join(F.broadcast(shares), (F.col("lang") == F.col("_lang")) & (F.col("draw") <= F.col("share")))
+    taken = F.when(F.char_length(text) <= sample_chars, text).otherwise(_excerpt(text, F.col("doc_id"), sample_chars))
+    rows = sorted(drawn.groupBy("lang", "doc_id").agg(F.min(taken).alias("text")).select("lang", "text").collect())
+    return fit([r.text for r in rows], [r.lang for r in rows])
+
+
+def _excerpt(text: Column, doc_id: Column, chars: int) -> Column:
+    """Whole words from a few places of a long text that a hash of the id picks, the first letter's among them."""
+    size = -(-chars // PIECES)
+    found = []
+    for i in range(PIECES):
+        place = F.pmod(F.xxhash64(F.lit(i), doc_id), F.greatest(F.char_length(text) - size, F.lit(1))) if i else F.regexp_instr(text, F.lit(r"\p{L}")) - 1
+        piece = F.substr(text, place.cast("int") + 1, F.lit(size))
+        whole = F.regexp_replace(piece, r"^\S+|\S+$" if i else r"\S+$", "")
+        found.append(F.when(whole.rlike(r"\p{L}"), whole).otherwise(piece))
+    return F.concat_ws(" ", *found)
 
 
 def _memory(model: Crf) -> Memory:
-    return held(model.name, lambda: Memory(model.emissions, len(model.labels), np.float32))
+    most = int((1 << 20) * min(1.0, MANY_LANGUAGES / len(model.labels)))
+    return held(model.name, lambda: Memory(model.emissions, len(model.labels), np.float32, most))
 
 
 def word_marginals(model: Crf, column: pa.Array) -> tuple[Words, np.ndarray]:
@@ -319,9 +336,11 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
         plain = {"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "spans": F.array().cast(_SPANS)}
         return docs.select(whole_row(docs)).select(*own, *[plain[c].alias(c) for c in added])
 
+    step = int(STEP_BYTES * min(1.0, (MANY_LANGUAGES / len(model.labels)) ** 2))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch, text in row_slices(whole, text_of(whole.column("row")), STEP_BYTES):
+            for batch, text in row_slices(whole, text_of(whole.column("row")), step):
                 words, marginal = word_marginals(model, text)
                 letters = np.zeros(len(words.data) + 1, np.int64)
                 np.cumsum(_LETTER[words.data], out=letters[1:])
@@ -369,8 +388,10 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, least_score: float = 0.3, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The documents without those of no language: ``und``, or with a score below ``least_score``."""
+    """The documents without those of no language: ``und``, or with a score below ``least_score``; all of them if nothing could be learned."""
     model = fit_documents(docs, sample_docs)
+    if model is None:
+        return docs
     names = [f"c{i}" for i in range(len(docs.columns))]
     # Under names that clash with nothing, but for the text.
     plain = docs.toDF(*["text" if c == "text" else n for c, n in zip(docs.columns, names, strict=True)])

@@ -111,3 +111,37 @@ def test_held_out_accuracy(spark, sf_dir="/root/testdata/sf0.01"):
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     right = found.where("held_out").join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right > 0.98
+
+
+def test_every_language_is_learned(spark):
+    """More than 64 of them, rare ones, and one that only has texts of over 20,000 characters."""
+    rng = random.Random(11)
+    ids = iter(i for i in range(10_000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows = [(next(ids), prose(rng, 20, ALPHABETS["aa"]), f"l{k:02}") for k in range(70) for _ in range(2 if k else 1)]
+    long = [(next(ids), "1 " * 30_000 + prose(rng, 5_000, ALPHABETS["bb"]), "long") for _ in range(3)]
+    assert all(len(t) > language.SAMPLE_CHARS for _, t, _ in long)
+    assert language.fit_documents(documents(spark, rows + long)).labels == sorted({r[2] for r in rows + long})
+    rows = labelled(rng, 90) + [(1000 + d, t, lang) for d, t, lang in long]
+    rows = [(d, t, "long" if lang == "bb" else lang) for d, t, lang in rows if lang != "bb"]
+    found = {r.doc_id: r.lang_pred for r in language.identify(documents(spark, rows)).collect()}
+    assert found == {d: lang for d, _, lang in rows}
+
+
+def test_one_document_of_a_language_is_drawn_at_least_and_repeated_ids_once(spark):
+    rng = random.Random(12)
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, prose(rng, 6, ALPHABETS[lang]), lang) for i in ids for lang in ("aa", "bb")] + [(ids[0], prose(rng, 6, ALPHABETS["cc"]), "cc")] * 500
+    assert language.fit_documents(documents(spark, rows), sample_docs=1).labels == ["aa", "bb", "cc"]
+
+
+def test_excerpts_are_bounded_whole_words_of_the_text(spark):
+    words = prose(random.Random(13), 20_000, ALPHABETS["aa"])
+    got = documents(spark, [(1, words), (2, "é" * 50_000)]).select("doc_id", language._excerpt(F.col("text"), F.col("doc_id"), 4_000).alias("t")).orderBy("doc_id").collect()
+    assert 2_000 < len(got[0].t) <= 4_003 and set(got[0].t.split()) <= set(words.split())
+    assert got[1].t.split() == ["é" * 1_000] * 4
+
+
+def test_the_stage_keeps_all_if_nothing_can_be_learned(spark):
+    rows = [(1, "some text", None), (2, None, None), (3, "123", "aa"), (None, "more text", "aa")]
+    kept = language.keep_identified(documents(spark, rows))
+    assert sorted(map(str, kept.collect())) == sorted(map(str, documents(spark, rows).collect()))
