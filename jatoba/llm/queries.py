@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jatoba.llm import embeddings, language, licenses, mixing, neighbours, packing, quotes, scoring, simhash, substrings
+from jatoba.llm import embeddings, language, licenses, merkle, mixing, neighbours, packing, quotes, repair, scoring, simhash, substrings
 from jatoba.llm.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scoring.score(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"))
+
+
+@_query("op11_merkle_multiproof", merkle.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
