@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jatoba.llm import embeddings, language, licenses, merkle, mixing, neighbours, packing, quotes, repair, scoring, simhash, substrings
+from jatoba.llm import bpe, embeddings, language, licenses, merkle, mixing, neighbours, packing, quotes, repair, scoring, simhash, substrings
 from jatoba.llm.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op13_conversation_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+@_query("op12_byte_level_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
