@@ -13,13 +13,16 @@ as many steps as there are different merges, and not one for each byte.
 from __future__ import annotations
 
 import base64
+from collections import Counter
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,10 +32,14 @@ BLOCK_BYTES = 4 << 20
 """Text of a block; a longer document is a block of its own."""
 KNOWN_WORDS = 1 << 19
 """Words a task remembers; beyond it, it begins anew at the next block."""
+HEAD_DOCUMENTS, HEAD_CHARACTERS, HEAD_WORDS = 2000, 16_384, 1 << 18
+"""The words that every task knows from the start are those of so many documents' beginnings, so many at most."""
 LONG = 64
 """From this many bytes on, all places of a rank are merged at once."""
 BUCKETS = 65521
 """Entries of the literal, a prime: pairs by their remainder, so that a look-up reads two or three."""
+BLOCK_WORDS = 1 << 13
+"""Words of a row when the words that all tasks know are encoded."""
 ID_BITS = 20
 NONE = 1 << ID_BITS
 """Stands for a pair without a rank; ids are less."""
@@ -174,27 +181,28 @@ def encode_word(word: Column, ranks: Column) -> Column:
 class Words:
     """The distinct words a task has met, and the ids of the bytes of new ones; a word that is a token is that one id."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, head: list[str]) -> None:
+        self.ranks, self.head = ranks, head
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] | None = None
 
     def block(self, texts: pa.Array) -> tuple[bool, list[int], np.ndarray, list[np.ndarray]]:
         """Whether the words were forgotten, the ends of the documents, the places of their words, the new words."""
-        fresh = not self.known or len(self.known) > KNOWN_WORDS
+        fresh = self.known is None or len(self.known) > len(self.head) + KNOWN_WORDS
         if fresh:
-            self.known = {}
+            self.known = {w: i for i, w in enumerate(self.head)}
         known, places, ends, before = self.known, [np.zeros(0, np.int32)], [0], len(self.known)
         for text in texts:
             found = self.find(text.as_py() or "")
             places.append(np.fromiter([known.setdefault(w, len(known)) for w in found], np.int32, len(found)))
             ends.append(ends[-1] + len(found))
-        return fresh, ends, np.concatenate(places), [self._ids(w.encode()) for w in list(known)[before:]]
+        return fresh, ends, np.concatenate(places), [self.ids(w) for w in islice(known, before, None)]
 
-    def _ids(self, word: bytes) -> np.ndarray:
-        whole = self.ranks.get(word)
-        return self.of_byte[np.frombuffer(word, np.uint8)] if whole is None else np.array([whole], np.int32)
+    def ids(self, word: str) -> np.ndarray:
+        data = word.encode()
+        whole = self.ranks.get(data)
+        return self.of_byte[np.frombuffer(data, np.uint8)] if whole is None else np.array([whole], np.int32)
 
 
 BLOCK = "doc_ids array<long>, fresh boolean, ends array<long>, places array<int>, words array<array<int>>"
@@ -205,22 +213,57 @@ def _one(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def _blocks(ranks_path: str, pattern: str):
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays])))
+
+
+def _blocks(ranks_path: str, pattern: str, head: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(read_ranks(ranks_path), pattern)
+        words = Words(read_ranks(ranks_path), pattern, head.value[0])
         for whole in batches:
             for batch in slices(whole, "text", BLOCK_BYTES):
                 fresh, ends, places, new = words.block(batch.column("text"))
-                offsets = np.cumsum([0, *map(len, new)], dtype=np.int32)
-                arrays = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *new])))
                 yield pa.record_batch(
-                    [_one(batch.column("doc_id")), pa.array([fresh]), _one(pa.array(ends, pa.int64())), _one(pa.array(places)), _one(arrays)],
+                    [_one(batch.column("doc_id")), pa.array([fresh]), _one(pa.array(ends, pa.int64())), _one(pa.array(places)), _one(_lists(new))],
                     ["doc_ids", "fresh", "ends", "places", "words"],
                 )
 
     return run
 
 
+def _distinct(pattern: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, count = regex.compile(pattern).findall, Counter()
+        for batch in batches:
+            for text in batch.column("text"):
+                count.update(find(text.as_py() or ""))
+        yield pa.record_batch([pa.array([w for w, _ in count.most_common(HEAD_WORDS)], pa.string())], ["word"])
+
+    return run
+
+
+def _head(texts: DataFrame, ranks_path: str, pattern: str, ranks: Column) -> Broadcast:
+    """Words of a bounded sample and their ids. They spare work and decide nothing: a word that is not among them is encoded where it is met."""
+    sample = texts.limit(HEAD_DOCUMENTS).select(F.substring("text", 1, HEAD_CHARACTERS).alias("text"))
+    words = [row[0] for row in sample.mapInArrow(_distinct(pattern), "word string").limit(HEAD_WORDS).collect()]
+    bytes_of = Words(read_ranks(ranks_path), pattern, [])
+    parts = [_lists([bytes_of.ids(w) for w in words[k : k + BLOCK_WORDS]]) for k in range(0, len(words), BLOCK_WORDS)]
+    spark = texts.sparkSession
+    codes = []
+    if parts:
+        table = pa.table([pa.array([p.to_pylist() for p in parts], pa.list_(pa.list_(pa.int32())))], ["words"])
+        rows = spark.createDataFrame(table.append_column("part", pa.array(range(len(parts))))).repartition(len(parts), "part")
+        coded = rows.withColumn("ranks", ranks).select("part", _codes(F.col("words")).alias("codes")).toArrow().sort_by("part")
+        codes = [ids for row in coded.column("codes").to_pylist() for ids in row]
+    lengths = np.array([len(ids) for ids in codes], np.int64)
+    return spark.sparkContext.broadcast((words, np.array([i for ids in codes for i in ids], np.int32), lengths))
+
+
+def _codes(words: Column) -> Column:
+    return F.transform(words, lambda word: encode_word(word, F.col("ranks")))
+
+
 class Pieces:
     """The bytes of each id, laid out one after the other."""
 
@@ -235,18 +278,18 @@ class Pieces:
         return self.data[run_ranges(self.starts[ids], self.lengths[ids])].tobytes()
 
 
-def _documents(ranks_path: str, with_ids: bool):
+def _documents(ranks_path: str, head: Broadcast, with_ids: bool):
     """Blocks with encoded words to documents: ids put together, hashed, and decoded again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(read_ranks(ranks_path))
-        pool, lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        pool = lengths = None
         for batch in batches:
             for k in range(len(batch)):
                 doc_ids, new = batch.column("doc_ids")[k].values, batch.column("codes")[k].values
                 ends, places = (batch.column(c)[k].values.to_numpy() for c in ("ends", "places"))
                 if batch.column("fresh")[k].as_py():
-                    pool, lengths = pool[:0], lengths[:0]
+                    _, pool, lengths = head.value
                 pool = np.concatenate([pool, new.flatten().to_numpy(zero_copy_only=False)])
                 lengths = np.concatenate([lengths, pc.list_value_length(new).to_numpy(zero_copy_only=False).astype(np.int64)])
                 starts = np.cumsum(lengths) - lengths
@@ -277,11 +320,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = Fals
     """
     ranks = rank_literal(docs.sparkSession, read_ranks(ranks_path))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    blocks = texts.mapInArrow(_blocks(ranks_path, pattern), BLOCK).withColumn("ranks", ranks)
-    codes = F.transform("words", lambda word: encode_word(word, F.col("ranks")))
-    coded = blocks.select("doc_ids", "fresh", "ends", "places", codes.alias("codes"))
+    head = _head(texts, ranks_path, pattern, ranks)
+    blocks = texts.mapInArrow(_blocks(ranks_path, pattern, head), BLOCK).withColumn("ranks", ranks)
+    coded = blocks.select("doc_ids", "fresh", "ends", "places", _codes(F.col("words")).alias("codes"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if with_ids else "")
-    return coded.mapInArrow(_documents(ranks_path, with_ids), schema)
+    return coded.mapInArrow(_documents(ranks_path, head, with_ids), schema)
 
 
 def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
@@ -292,7 +335,7 @@ def decode(coded: DataFrame, ranks_path: str) -> DataFrame:
         for batch in batches:
             for k in range(len(batch)):
                 ids = np.array(batch.column("ids")[k].as_py() or [], np.int64)
-                if len(ids) and ((ids < 0).any() or (pieces.lengths[ids] == 0).any()):
+                if ((ids < 0) | (ids >= len(pieces.lengths))).any() or (pieces.lengths[ids] == 0).any():
                     raise ValueError("an id that no token has")
                 yield pa.record_batch([batch.column("doc_id").slice(k, 1), pa.array([pieces.decode(ids)], pa.binary())], ["doc_id", "decoded"])
 
