@@ -32,7 +32,7 @@ BLOCK_BYTES = 4 << 20
 """Text of a block; a longer document is a block of its own."""
 KNOWN_WORDS = 1 << 19
 """Words a task remembers; beyond it, it begins anew at the next block."""
-HEAD_DOCUMENTS, HEAD_CHARACTERS, HEAD_WORDS = 2000, 16_384, 1 << 18
+HEAD_DOCUMENTS, HEAD_CHARACTERS, HEAD_WORDS = 2000, 8192, 1 << 18
 """The words that every task knows from the start are those of so many documents' beginnings, so many at most."""
 LONG = 64
 """From this many bytes on, all places of a rank are merged at once."""
@@ -232,21 +232,13 @@ def _blocks(ranks_path: str, pattern: str, head: Broadcast):
     return run
 
 
-def _distinct(pattern: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, count = regex.compile(pattern).findall, Counter()
-        for batch in batches:
-            for text in batch.column("text"):
-                count.update(find(text.as_py() or ""))
-        yield pa.record_batch([pa.array([w for w, _ in count.most_common(HEAD_WORDS)], pa.string())], ["word"])
-
-    return run
-
-
 def _head(texts: DataFrame, ranks_path: str, pattern: str, ranks: Column) -> Broadcast:
     """Words of a bounded sample and their ids. They spare work and decide nothing: a word that is not among them is encoded where it is met."""
-    sample = texts.limit(HEAD_DOCUMENTS).select(F.substring("text", 1, HEAD_CHARACTERS).alias("text"))
-    words = [row[0] for row in sample.mapInArrow(_distinct(pattern), "word string").limit(HEAD_WORDS).collect()]
+    find, count = regex.compile(pattern).findall, Counter()
+    # The limit stands last, so that Spark reads no more partitions than it takes.
+    for row in texts.select(F.substring("text", 1, HEAD_CHARACTERS)).limit(HEAD_DOCUMENTS).collect():
+        count.update(find(row[0] or ""))
+    words = [w for w, _ in count.most_common(HEAD_WORDS)]
     bytes_of = Words(read_ranks(ranks_path), pattern, [])
     parts = [_lists([bytes_of.ids(w) for w in words[k : k + BLOCK_WORDS]]) for k in range(0, len(words), BLOCK_WORDS)]
     spark = texts.sparkSession
