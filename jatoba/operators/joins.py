@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,10 @@ MIN_HOT_ROWS = 1_000_000
 """Below this many rows a key is not worth cutting."""
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 500_000
+BLOOM_BITS = 1 << 27
+"""Size of the largest key filter, 16 MiB."""
+BLOOM_HASHES = 4
+WORD = 64
 SPREAD = "_spread"
 
 
@@ -70,7 +75,19 @@ class HotKeys:
 NO_HOT_KEYS = HotKeys({})
 
 
+@dataclass(frozen=True)
+class Profile:
+    """What one pass tells of some columns: hot values, and for each column its values and the length of them as text."""
+
+    hot: dict[str, HotKeys]
+    sizes: dict[str, tuple[int, int]]
+
+
 def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> dict[str, HotKeys]:
+    return profile(df, *columns, min_rows=min_rows).hot
+
+
+def profile(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) -> Profile:
     """Frequent values of each column and the number of rows, from one pass with a small sketch per task.
 
     No shuffle on the key: only sketches move. Those of up to MERGE_TASKS tasks merge at once,
@@ -79,33 +96,45 @@ def find_hot_keys(df: DataFrame, *columns: str, min_rows: int = MIN_HOT_ROWS) ->
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = df.rdd.getNumPartitions()
-    count = F.count(F.lit(1)).alias("_rows")
+    text = {c: F.octet_length(F.col(f"`{c}`").cast("string")) for c in columns}
+    count = F.struct(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.struct(F.count(t).alias("n"), F.sum(t).alias("length")).alias(c) for c, t in text.items()],
+    )
     sketches = {c: f"approx_top_k_accumulate(`{c}`, {TRACKED_KEYS})" for c in columns}
     top = f"approx_top_k_estimate({{}}, {MAX_HOT_KEYS})"
     # Grouped by a constant, because a combine without grouping fails on an empty partition.
     if tasks <= MERGE_TASKS:
-        row = df.groupBy(F.lit("all")).agg(count, *[F.expr(top.format(s)).alias(c) for c, s in sketches.items()]).first()
+        row = df.groupBy(F.lit("all")).agg(count.alias("_size"), *[F.expr(top.format(s)).alias(c) for c, s in sketches.items()]).first()
     else:
         merges = max(MERGE_TASKS, math.isqrt(tasks))
         merged = df.groupBy((F.spark_partition_id() % merges).alias("_merge")).agg(
-            count, *[F.expr(s).alias(c) for c, s in sketches.items()]
+            count.alias("_size"), *[F.expr(s).alias(c) for c, s in sketches.items()]
         )
         combined = f"approx_top_k_combine(`{{}}`, {TRACKED_KEYS})"
         row = merged.groupBy(F.lit("all")).agg(
-            F.sum("_rows").alias("_rows"), *[F.expr(top.format(combined.format(c))).alias(c) for c in columns]
+            F.struct(
+                F.sum("_size.rows").alias("rows"),
+                *[F.struct(F.sum(f"_size.`{c}`.n").alias("n"), F.sum(f"_size.`{c}`.length").alias("length")).alias(c) for c in columns],
+            ).alias("_size"),
+            *[F.expr(top.format(combined.format(c))).alias(c) for c in columns],
         ).first()
-    if row is None or row["_rows"] < min_rows:
-        return dict.fromkeys(columns, NO_HOT_KEYS)
-    threshold = max(min_rows, row["_rows"] / MAX_HOT_KEYS)
+    if row is None:
+        return Profile(dict.fromkeys(columns, NO_HOT_KEYS), dict.fromkeys(columns, (0, 0)))
+    rows, *found = row["_size"]
+    sizes = {c: (n, length or 0) for c, (n, length) in zip(columns, found, strict=True)}
+    if rows < min_rows:
+        return Profile(dict.fromkeys(columns, NO_HOT_KEYS), sizes)
+    threshold = max(min_rows, rows / MAX_HOT_KEYS)
     hot = {}
     for c in columns:
         slices = {}
         for item, count in row[c]:
             if count >= threshold:
-                share = 2 * partitions * count / row["_rows"]
+                share = 2 * partitions * count / rows
                 slices[item] = 2 ** max(1, math.ceil(math.log2(share)))
         hot[c] = HotKeys.of(slices)
-    return hot
+    return Profile(hot, sizes)
 
 
 def with_spread(df: DataFrame) -> DataFrame:
@@ -131,6 +160,54 @@ def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, max_rows: int = BR
     return rows <= max_rows and (length or 0) <= max_bytes
 
 
+def semi_reduce(
+    rows: DataFrame,
+    key: str,
+    wanted: DataFrame,
+    wanted_key: str,
+    size: tuple[int, int] | None = None,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_rows: int = BROADCAST_ROWS,
+    bloom_bits: int = BLOOM_BITS,
+) -> DataFrame:
+    """``rows`` without most of those whose key is not among the wanted ones, before they are aggregated or shuffled.
+
+    A few wanted keys are broadcast, and then exactly their rows stay. More of them go into a
+    Bloom filter, built by an aggregate and read as one value; a few other rows pass it, which
+    a join later drops. Of more keys than half the filter's bits nothing would be held back, so all rows stay.
+    NULL keys go in any case. ``size`` are the number and the length of the wanted keys, as :func:`profile`
+    gives them, measured here if not given; ``wanted`` should be cheap to read.
+    """
+    keys = wanted.select(F.col(f"`{wanted_key}`").alias("_wanted")).where("_wanted is not null")
+    n, length = size or profile(keys, "_wanted").sizes["_wanted"]
+    if n <= broadcast_rows and length <= broadcast_bytes:
+        return rows.join(F.broadcast(keys), F.col(f"`{key}`") == F.col("_wanted"), "left_semi")
+    if 2 * n > bloom_bits:
+        return rows.where(F.col(f"`{key}`").isNotNull())
+    bits = min(bloom_bits, 1 << max(10, math.ceil(math.log2(16 * n))))
+    held = rows.where(F.col(f"`{key}`").isNotNull()).withColumn("_words", bloom_filter(keys, "_wanted", bits).scalar())
+    hits = [F.get("_words", (p / WORD).cast("int")).bitwiseAND(_bit(p)) != 0 for p in _bloom_places(F.col(f"`{key}`"), bits)]
+    return held.where(reduce(Column.__and__, hits)).drop("_words")
+
+
+def bloom_filter(keys: DataFrame, key: str, bits: int) -> DataFrame:
+    """One row with the words of the filter as an array. Each task sets its bits first; what meets in one place is the filter itself."""
+    places = keys.select(F.explode(F.array(*_bloom_places(F.col(key), bits))).alias("place"))
+    set_words = places.groupBy((F.col("place") / WORD).cast("bigint").alias("at")).agg(F.bit_or(_bit(F.col("place"))).alias("word"))
+    every = keys.sparkSession.range(bits // WORD).select(F.col("id").alias("at"), F.lit(0).cast("bigint").alias("word"))
+    whole = every.unionAll(set_words).groupBy("at").agg(F.bit_or("word").alias("word"))
+    return whole.agg(F.sort_array(F.collect_list(F.struct("at", "word")))["word"].alias("words"))
+
+
+def _bloom_places(key: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(BLOOM_HASHES)]
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (place % WORD).cast("int"))
+
+
 def sliced_join(
     left: DataFrame,
     right: DataFrame,

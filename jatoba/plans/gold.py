@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from jatoba.functions import geo
 from jatoba.operators.joins import (
+    MAX_HOT_KEYS,
     MIN_HOT_ROWS,
     SPREAD,
     HotKeys,
     find_hot_keys,
     lookup_left_join,
+    profile,
+    semi_reduce,
     sliced_join,
     with_spread,
 )
@@ -35,6 +38,7 @@ def gold_base(
     tasks: DataFrame,
     funnels: Sequence[str],
     min_hot_rows: int = MIN_HOT_ROWS,
+    **reduce_options,
 ) -> DataFrame:
     """Distinct organization x deal rows of the given funnels.
 
@@ -47,6 +51,9 @@ def gold_base(
     wide columns come in last, once per digest. Rows go to (digest, slice) before the
     distinct, the slice taken from their content: equal rows meet, the last join needs no
     further exchange, and a digest that very many rows share is split.
+
+    Only tasks of wanted deals are counted: the rest is held back at the task scan, see
+    :func:`semi_reduce`, which takes ``reduce_options``.
     """
     wanted = deals.where(F.col("funnel_name").isin(*funnels) & F.col("organization_id").isNotNull())
     wanted = wanted.select([F.col(c).alias(name) for c, name in GOLD_DEAL_COLUMNS.items()])
@@ -56,13 +63,16 @@ def gold_base(
     )
     shown = [c for c in places.columns if c != "company_id"]
     places = places.withColumn("digest", F.sha2(F.to_json(F.struct(*shown)), 256))
-    keyed = places.select("company_id", "digest")
+    # Read by the sketch and by the join: worked out once.
+    keyed = places.select("company_id", "digest").checkpoint()
 
-    hot = find_hot_keys(wanted, "deal", "organization_id", min_rows=min_hot_rows)
+    deals_profile = profile(wanted, "deal", "organization_id", min_rows=min_hot_rows)
+    hot = deals_profile.hot
     hot_places = find_hot_keys(keyed, "company_id", "digest", min_rows=min_hot_rows)
     if any(hot.values()):
         wanted = with_spread(wanted)
-    counted = sliced_join(wanted, task_counts(tasks), "deal", "task_deal_id", left_hot=hot["deal"])
+    counts = task_counts(semi_reduce(tasks, "deal_id", wanted, "deal", deals_profile.sizes["deal"], **reduce_options))
+    counted = sliced_join(wanted, counts, "deal", "task_deal_id", left_hot=hot["deal"])
     named = sliced_join(
         counted.drop("deal", "task_deal_id"),
         with_spread(keyed) if hot_places["company_id"] else keyed,
@@ -74,7 +84,7 @@ def gold_base(
     ).drop("organization_id", "company_id", SPREAD)
 
     slices = _hot_digests(keyed, hot["organization_id"], hot_places["digest"])
-    wide = places.select("digest", *shown).withColumnRenamed("digest", "place")
+    wide = places.select("digest", *shown).withColumnRenamed("digest", "place").dropDuplicates(["place"])
     if slices:
         content = F.xxhash64(*named.columns)
         named = named.withColumn("_slice", F.pmod(content, slices.slice_count(F.col("digest"), with_null=False)).cast("int"))
@@ -82,7 +92,6 @@ def gold_base(
         wide = wide.withColumn("_slice_copy", F.explode(copies))
     parted = [c for c in ("digest", "_slice") if c in named.columns]
     rows = named.repartition(*parted).distinct()
-    wide = wide.dropDuplicates([c for c in ("place", "_slice_copy") if c in wide.columns])
     on = F.col("digest") == F.col("place")
     if slices:
         on = on & (F.col("_slice") == F.col("_slice_copy"))
@@ -90,14 +99,18 @@ def gold_base(
 
 
 def _hot_digests(keyed: DataFrame, organizations: HotKeys, digests: HotKeys) -> HotKeys:
-    """Digests that many organizations share, and two at most of each hot organization, with their slices."""
+    """Digests that many organizations share, and those of the hot organizations, with their slices.
+
+    Each digest of a hot organization meets all its deals, so beyond MAX_HOT_KEYS of them no
+    single one has a share of the rows that is worth cutting.
+    """
     counts = dict(digests.counts())
     if organizations:
-        slices = organizations.counts()
-        hot = keyed.where(F.col("company_id").isin([k for k in slices if k is not None]))
-        for company, *pair in hot.groupBy("company_id").agg(F.min("digest"), F.max("digest")).collect():
-            for digest in pair:
-                counts[digest] = max(counts.get(digest, 1), slices[company])
+        hot = keyed.where(F.col("company_id").isin([k for k in organizations.counts() if k is not None]))
+        slices = organizations.slice_count(F.col("company_id"), with_null=False)
+        found = hot.groupBy("digest").agg(F.max(slices).alias("n")).orderBy(F.desc("n"), "digest").limit(MAX_HOT_KEYS)
+        for digest, n in found.collect():
+            counts[digest] = max(counts.get(digest, 1), n)
     return HotKeys.of(counts)
 
 

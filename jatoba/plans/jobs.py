@@ -37,7 +37,7 @@ def run_bronze(
         save(bronze.bronze_organizations(paged("organizations", schemas.ORGANIZATION_RECORD)), "organizations")
 
     def funnels() -> None:
-        records = source.single_page_array(*landed("deal_pipelines"), schemas.FUNNEL_RECORD)
+        records = source.single_page_array(*landed("deal_pipelines"), schemas.FUNNEL_RECORD, "deal_pipelines")
         save(bronze.bronze_funnels(records), "funnels")
 
     def stages() -> None:

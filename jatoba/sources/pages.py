@@ -13,7 +13,9 @@ Paging stops after the first page with fewer than ``limit`` records and before t
 first page that did not answer 200. Both bounds come from one aggregate whose single
 value enters the scan as a scalar subquery: no driver loop, no join. Up to that bound the
 pages must be whole: a page without its envelope, a NULL body or count, a NULL status or
-a page number that is missing stops the load instead of cutting the export short.
+a page number that is missing stops the load instead of cutting the export short. Page 1
+must be there and have answered 200: an export that failed altogether is an error and not
+an empty one. An export whose first page holds no records is empty.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from jatoba.schemas import PAGE_LIMIT
 _STRICT_JSON = {"mode": "FAILFAST"}
 PAGES_IN_BLOCK = 1024
 """Pages whose numbers are looked at together when gaps are sought."""
+NO_FIRST_PAGE = "page 1 is missing or did not answer 200"
 
 
 def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple[DataFrame, DataFrame]:
@@ -90,13 +93,15 @@ def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int
     return (
         reached.groupBy()
         .agg(
+            F.max(F.array_contains("there", F.lit(1))).alias("begun"),
             F.max("bound").alias("end"),
             F.min("broken").alias("first_broken"),
             F.sum(accepted).alias("accepted"),
             F.max(F.array_max("there")).alias("top"),
         )
         .select(
-            F.when(
+            F.when(~F.coalesce("begun", F.lit(False)), _stop(F.lit(f"{collection}: {NO_FIRST_PAGE}")))
+            .when(
                 F.col("first_broken") <= F.coalesce("end", "first_broken"),
                 _stop(F.concat(F.lit(f"{collection}: no records, envelope or status on page "), F.col("first_broken").cast("string"))),
             )
@@ -123,19 +128,38 @@ def paged_records(
     pages: DataFrame, answers: DataFrame, collection: str, record: str, limit: int = PAGE_LIMIT
 ) -> DataFrame:
     """All records of the accepted pages, with their page number in front."""
-    accepted = accept_pages(pages, answers, collection, limit)
+    bound = last_page(pages, answers, collection, limit).scalar()
+    accepted = _checked(accept_pages(pages, answers, collection, limit), bound)
     return _records(accepted, f"{collection} array<struct<{record}>>", collection)
 
 
 def single_page_records(pages: DataFrame, collection: str, record: str) -> DataFrame:
-    """Records of page 1 of an enveloped collection; its status is not looked at."""
-    return _records(pages.where("page = 1"), f"{collection} array<struct<{record}>>", collection).drop("page")
+    """Records of page 1 of an enveloped collection; its status is not looked at, but it must be there."""
+    first = pages.where("page = 1")
+    checked = _checked(first, _first_page(first, F.lit(False), collection))
+    return _records(checked, f"{collection} array<struct<{record}>>", collection).drop("page")
+
+
+def single_page_array(pages: DataFrame, answers: DataFrame, record: str, collection: str = "export") -> DataFrame:
+    """Elements of the top-level array on page 1, which must be there and have answered 200."""
+    first = pages.where("page = 1")
+    failed = answers.where("page = 1 AND (status IS NULL OR status <> 200)").exists()
+    checked = _checked(first, _first_page(first, failed, collection))
+    return _records(checked, f"array<struct<{record}>>", None).drop("page")
 
 
-def single_page_array(pages: DataFrame, answers: DataFrame, record: str) -> DataFrame:
-    """Elements of the top-level array on page 1, empty if that page did not answer 200."""
-    failed = answers.where("page = 1 AND status <> 200").exists()
-    return _records(pages.where("page = 1").where(~failed), f"array<struct<{record}>>", None).drop("page")
+def _first_page(first: DataFrame, failed: Column, collection: str) -> Column:
+    there = first.select(F.lit(1)).exists()
+    return F.when(there & ~failed, F.lit(1)).otherwise(_stop(F.lit(f"{collection}: {NO_FIRST_PAGE}")))
+
+
+def _checked(pages: DataFrame, check: Column) -> DataFrame:
+    """``page, body`` and a branch of no rows that works out ``check``, so that it raises even where no page is read.
+
+    The branch makes its columns from the check, so that no filter behind it can be seen to leave nothing of it.
+    """
+    guard = pages.sparkSession.range(1).withColumn("checked", check).where("checked < 0")
+    return pages.select("page", "body").unionAll(guard.selectExpr("checked page", "cast(checked as string) body"))
 
 
 def _records(pages: DataFrame, schema: str, collection: str | None) -> DataFrame:

@@ -137,3 +137,21 @@ def test_broadcast_needs_a_measured_size(spark):
     assert joins.is_small(wide.where("f = 2"))
     nested = spark.range(10).select(F.array_repeat(F.lit("abcdefgh"), 100).alias("a"))
     assert joins.is_small(nested, max_bytes=20_000) and not joins.is_small(nested, max_bytes=9_000)
+
+
+@pytest.mark.parametrize("options, most", [({}, 0), ({"broadcast_rows": 10}, 0.05), ({"broadcast_rows": 10, "bloom_bits": 512}, 1)])
+def test_semi_reduce_keeps_the_wanted_and_few_others(spark, options, most):
+    rows = spark.range(20_000).selectExpr("if(id % 10 = 0, null, concat('d', id % 4000)) k", "id")
+    wanted = spark.range(0, 4000, 8).selectExpr("concat('d', id) w").union(spark.sql("select cast(null as string) w"))
+    left = joins.semi_reduce(rows, "k", wanted, "w", **options)
+    assert left.columns == ["k", "id"]
+    kept = {r["id"]: r["k"] for r in left.collect()}
+    sure = {r["id"] for r in rows.where("k is not null and cast(substr(k, 2) as int) % 8 = 0").collect()}
+    others = len(kept) - len(sure)
+    assert sure <= set(kept) and None not in kept.values() and others <= most * 20_000
+    assert (others == 0) == (most == 0)
+
+
+def test_semi_reduce_of_nothing_wanted(spark):
+    rows = spark.range(100).selectExpr("cast(id as string) k")
+    assert joins.semi_reduce(rows, "k", rows.where("k = 'x'"), "k").count() == 0

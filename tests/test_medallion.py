@@ -214,6 +214,37 @@ def test_sliced_gold_equals_plain_gold(spark, tmp_path, look_alikes):
     assert sorted(map(repr, map(tuple, ours.collect()))) == sorted(map(repr, map(tuple, theirs.collect())))
 
 
+@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 0}, {"broadcast_rows": 0, "bloom_bits": 2}])
+def test_tasks_of_other_deals_are_held_back(spark, tmp_path, options):
+    """Few deals are wanted: what reaches the count is theirs, or little more, and the result is the same."""
+    deals = spark.range(5000).selectExpr(
+        "concat('d', id) id", "'n' name", "concat('o', id % 9) organization_id", "'u' user_name", "'s' stage_name",
+        "'l' lost_reason", "timestamp_ntz'2024-01-01' created_at", "timestamp_ntz'2024-01-01' updated_at",
+        f"if(id % 50 = 0, '{NEGOTIATION}', 'Outro') funnel_name",
+    )
+    organizations = spark.range(9).selectExpr(
+        "concat('o', id) company_id", "concat('n', id) name", "'7' id", "'c' cidade", "'i' car_incra", "'a' area_util",
+        "'v' volume_calculado", "'p' proprietario", "'l' landviewer", "'x' registro_rural", "'g' google_maps",
+        "timestamp_ntz'2024-01-01' dt_log", "'-1.5,-2.5' coordenada",
+    )
+    tasks = spark.range(40_000).selectExpr("if(id % 9 = 0, null, concat('d', id % 5000)) deal_id")
+    base = gold.gold_base(organizations, deals, tasks, [NEGOTIATION], **options)
+    wanted = deals.where(F.col("funnel_name") == NEGOTIATION)
+    held = joins.semi_reduce(tasks, "deal_id", wanted, "id", **options).count()
+    sure = tasks.join(wanted, F.col("deal_id") == F.col("id"), "left_semi").count()
+    assert held == sure if not options else sure <= held <= (1.3 * sure if len(options) == 1 else tasks.count())
+    counts = tasks.groupBy("deal_id").agg(F.count("*").alias("n"))
+    expected = wanted.join(counts, F.col("id") == F.col("deal_id"), "left").select("organization_id", "n").distinct()
+    got = base.select(F.regexp_replace("nome_organizacao", "n", "o"), "qtde_tarefas")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
+def test_every_digest_of_a_hot_organization_is_sliced(spark):
+    keyed = spark.createDataFrame([("hot", "d1"), ("hot", "d2"), ("hot", "d3"), ("cold", "d4"), ("cold", "d1")], "company_id string, digest string")
+    found = gold._hot_digests(keyed, joins.HotKeys.of({"hot": 8, None: 4}), joins.HotKeys.of({"d1": 16}))
+    assert found.counts() == {"d1": 16, "d2": 8, "d3": 8}
+
+
 def test_silver_deals_with_a_large_funnel_table(lake):
     bronze, funnels = lake.read("bronze", "deals"), lake.read("bronze", "funnels")
     small = silver.silver_deals(bronze, funnels)
@@ -239,7 +270,10 @@ def test_plans(spark, lake, forest_map):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "funnel_name" in plan[plan.index("PushedFilters") :] and "Inner" in plan and "LeftOuter" in plan
     # deals by deal, counts by deal, deals by organization, digests by organization, rows by digest, places by digest
-    assert plan.count("Exchange") == 6
+    assert plan.count("Exchange hashpartitioning") == 6
+    # the wanted deals go to the task scan, below the partial count
+    assert plan.count("BroadcastExchange") == 1 and "LeftSemi" in plan
+    assert plan.index("HashAggregate(keys=[deal_id") < plan.index("LeftSemi")
     # the wide columns cross an exchange once, made distinct by digest; the rows before carry the digest alone
     assert all("car_incra" not in x for x in plan.split("\n") if "HashAggregate" in x and "nome_negociacao" in x)
     assert joins.BROADCAST_BYTES <= 64 * 1024 * 1024

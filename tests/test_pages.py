@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from jatoba import schemas
 from jatoba.operators.nested import flatten_structs
-from jatoba.plans import bronze
+from jatoba.plans import bronze, jobs
 from jatoba.sources import pages as source
+from jatoba.sources.tables import Lake
 
 
 def land(root: Path, collection: str, bodies, statuses=None):
@@ -30,7 +31,7 @@ CASES = {
     "short_last": ([tasks("a", "b"), tasks("c", "d"), tasks("e")], None, "abcde"),
     "short_middle": ([tasks("a", "b"), tasks("c"), tasks("d", "e")], None, "abc"),
     "failed_middle": ([tasks("a", "b"), {"error": "x"}, tasks("c", "d")], {1: 200, 2: 500, 3: 200}, "ab"),
-    "failed_first": ([{"error": "x"}, tasks("c", "d")], {1: 404}, ""),
+    "empty_first": ([tasks()], None, ""),
     "empty_last": ([tasks("a", "b"), tasks()], None, "ab"),
     "failed_after_short": ([tasks("a"), tasks("b", "c")], {2: 500}, "a"),
     "all_full": ([tasks("a", "b"), tasks("c", "d")], None, "abcd"),
@@ -81,6 +82,10 @@ BROKEN = {
     "gap": ([tasks("a", "b"), None, tasks("c", "d"), tasks("e")], None),
     "gap_unbounded": ([tasks("a", "b"), None, tasks("c", "d")], None),
     "gap_at_the_start": ([None, tasks("a", "b"), tasks("e")], None),
+    "failed_first": ([ERROR, tasks("c", "d")], {1: 404}),
+    "failed_alone": ([ERROR], {1: 500}),
+    "failed_first_not_landed": ([None, tasks("a")], {1: 500}),
+    "first_without_status": ([tasks("a")], {1: None}),
     "gap_before_failure": ([tasks("a", "b"), None, tasks("c", "d")], {4: 500}),
 }
 
@@ -108,7 +113,7 @@ def land_one(root, number, body):
 @pytest.mark.parametrize("case", BROKEN)
 def test_broken_exports_stop_the_load(spark, tmp_path, case):
     for pages in _three_layouts(spark, tmp_path, *BROKEN[case]):
-        with pytest.raises(Exception, match="no records|are missing"):
+        with pytest.raises(Exception, match="no records|are missing|page 1 is missing"):
             source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2).collect()
 
 
@@ -207,8 +212,10 @@ def test_funnels_and_stages(spark, tmp_path):
     files = source.read_page_files(spark, str(tmp_path), "deal_pipelines")
     rows = bronze.bronze_funnels(source.single_page_array(*files, schemas.FUNNEL_RECORD)).collect()
     assert sorted((tuple(r) for r in rows), key=str) == [("A", "1", "x"), ("A", None, "y")]
-    failed = spark.createDataFrame([(1, 500)], "page int, status int")
-    assert source.single_page_array(files[0], failed, schemas.FUNNEL_RECORD).count() == 0
+    for status in (500, None):
+        failed = spark.createDataFrame([(1, status)], "page int, status int")
+        with pytest.raises(Exception, match="page 1 is missing"):
+            source.single_page_array(files[0], failed, schemas.FUNNEL_RECORD).collect()
     pages, _ = source.read_page_files(spark, str(tmp_path), "deal_stages")
     stages = bronze.bronze_stages(source.single_page_records(pages, "deal_stages", schemas.STAGE_RECORD))
     assert [tuple(r) for r in stages.collect()] == [("1", "x", "c", None)]
@@ -220,3 +227,43 @@ def test_flatten_keeps_arrays(spark):
     )
     flat = flatten_structs(frame)
     assert flat.columns == ["a.b.c", "a.d", "e"] and tuple(flat.first()) == (1, [1, 2], 5)
+
+
+def test_an_export_without_a_page_is_an_error(spark, tmp_path):
+    """Nothing landed, and only later pages landed, in memory and from files."""
+    for rows in ([], [(2, '{"tasks": [], "deal_stages": []}')]):
+        made = spark.createDataFrame(rows, "page int, body string")
+        made.write.mode("overwrite").parquet(str(tmp_path / "log"))
+        answers = spark.createDataFrame([], "page int, status int")
+        for pages in (made, spark.read.parquet(str(tmp_path / "log"))):
+            for records in (
+                source.paged_records(pages, answers, "tasks", schemas.TASK_RECORD),
+                source.single_page_records(pages, "deal_stages", schemas.STAGE_RECORD),
+                source.single_page_array(pages, answers, schemas.FUNNEL_RECORD),
+            ):
+                with pytest.raises(Exception, match="page 1 is missing"):
+                    records.write.format("noop").mode("overwrite").save()
+
+
+@pytest.mark.parametrize(
+    "layout, collection", [("files", "organizations"), ("files", "deal_pipelines"), ("log", "deals"), ("log", "tasks"), ("log", "deal_pipelines")]
+)
+def test_a_failed_export_leaves_the_tables(spark, tmp_path, layout, collection):
+    bodies = {"organizations": {"organizations": [{"id": "o"}]}, "deal_pipelines": [{"name": "A", "deal_stages": [{"_id": "1"}]}],
+              "deal_stages": {"deal_stages": [{"id": "1"}]}, "deals": {"deals": [{"id": "d"}]}, "tasks": tasks("a")}
+    lake = Lake(spark, str(tmp_path / "lake"), f"failed_{layout}_{collection}")
+    for day, failed in enumerate((None, collection)):
+        landing = tmp_path / f"day{day}"
+        for name, body in bodies.items():
+            status = 500 if name == failed else 200
+            if layout == "files":
+                land(landing, name, [body], {1: status})
+            else:
+                log = spark.createDataFrame([(1, status, json.dumps(body))], "page int, status int, body string")
+                log.write.parquet(str(landing / name))
+        if failed is None:
+            jobs.run_bronze(spark, str(landing), lake, layout=layout)
+        else:
+            with pytest.raises(Exception, match="page 1 is missing"):
+                jobs.run_bronze(spark, str(landing), lake, layout=layout)
+    assert all(lake.read("bronze", t).count() == 1 for t in ("organizations", "funnels", "stages", "deals", "tasks"))
