@@ -13,8 +13,8 @@ from pyspark.sql.types import StructType
 from jatoba.sources.tables import Lake
 
 
-def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> None:
-    """The table with the frame's own schema and rows in place of the one there was.
+def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> str:
+    """The table with the frame's own schema and rows in place of the one there was; the folder it now has.
 
     With another schema the new table is made under a second name; the names are swapped as
     the last step, and the old table stays until that is done.
@@ -40,6 +40,7 @@ def replace_table(df: DataFrame, lake: Lake, layer: str, name: str) -> None:
         lake.spark.sql(f"DROP TABLE {old}")
         catalog.refreshTable(table)
     lake.drop_old_loads(layer, name)
+    return folder
 
 
 def _same(one: StructType, other: StructType) -> bool:
@@ -51,18 +52,24 @@ def _move(lake: Lake, table: str, folder: str) -> None:
     lake.spark.catalog.refreshTable(table)
 
 
-def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: str) -> None:
-    """Replace all rows and keep the declared schema. Columns go in by position."""
+def truncate_insert(df: DataFrame, lake: Lake, layer: str, name: str, schema: str) -> str:
+    """Replace all rows and keep the declared schema. Columns go in by position. The folder the table now has."""
     table, folder = lake.table(layer, name), lake.fresh_folder(layer, name)
-    lake.spark.sql(f"DROP TABLE IF EXISTS {table}_next")
-    lake.spark.sql(f"CREATE TABLE {table}_next ({schema}) USING parquet LOCATION '{folder}'")
-    df.write.insertInto(f"{table}_next", overwrite=True)
-    lake.spark.sql(f"DROP TABLE {table}_next")
+    insert_into_folder(df, lake, f"{table}_next", schema, folder)
     if lake.spark.catalog.tableExists(table):
         _move(lake, table, folder)
     else:
         lake.spark.sql(f"CREATE TABLE {table} ({schema}) USING parquet LOCATION '{folder}'")
     lake.drop_old_loads(layer, name)
+    return folder
+
+
+def insert_into_folder(df: DataFrame, lake: Lake, passing: str, schema: str, folder: str) -> None:
+    """Write rows by position into the declared columns, by way of a table that is there for that long."""
+    lake.spark.sql(f"DROP TABLE IF EXISTS {passing}")
+    lake.spark.sql(f"CREATE TABLE {passing} ({schema}) USING parquet LOCATION '{folder}'")
+    df.write.insertInto(passing, overwrite=True)
+    lake.spark.sql(f"DROP TABLE {passing}")
 
 
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}

@@ -12,11 +12,12 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jatoba.operators.publish import RUN, publish, write_member
 from jatoba.plans import gold, silver
 from jatoba.plans.jobs import run_bronze, run_gold, run_silver
 from jatoba.queries.registry import query, table
 from jatoba.queries.relational import AS_OF, LOW_MINIMUM, coordinate_ctes
-from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, NEGOTIATION_FUNNEL
+from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, GOLD, NEGOTIATION_FUNNEL
 from jatoba.session import shared_dir, together
 from jatoba.sources.tables import Lake
 
@@ -328,3 +329,22 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_gold(lake, _forest_map(spark, sf_dir))
     parts = [_comparable(lake.read("gold", g)).withColumn("gold", F.lit(g)) for g in ("negotiations", "captures")]
     return parts[0].unionByName(parts[1])
+
+
+@query(f"""
+SELECT 'negotiations' AS gold, * FROM ({_gold_sql(NEGOTIATION_FUNNEL)})
+UNION ALL BY NAME SELECT 'captures' AS gold, * FROM ({_gold_sql(CAPTURE_FUNNEL)})
+""")
+def gold_published_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both gold tables of one run as readers see them, while a later run has written only one of its own."""
+    lake = Lake(spark, shared_dir(spark, "lake"), f"pair_{uuid.uuid4().hex}").create()
+    organizations = _organizations(spark, sf_dir).withColumn("dt_log", F.lit(AS_OF.isoformat()).cast("timestamp_ntz"))
+    funnels = {"negotiations": NEGOTIATION_FUNNEL, "captures": CAPTURE_FUNNEL}
+    base = gold.gold_base(organizations, _deals(spark, sf_dir), _tasks(spark, sf_dir), list(funnels.values())).checkpoint()
+    tables = {name: gold.gold_table(base, _forest_map(spark, sf_dir), funnel) for name, funnel in funnels.items()}
+    first, second = lake.fresh_folder("gold", RUN), lake.fresh_folder("gold", RUN)
+    together(*[partial(write_member, rows, lake, "gold", name, GOLD, first) for name, rows in tables.items()])
+    publish(lake, "gold", list(tables), GOLD, first, {"run": "first"})
+    write_member(tables["captures"].limit(0), lake, "gold", "captures", GOLD, second)
+    parts = [_comparable(lake.read("gold", name)).withColumn("gold", F.lit(name)) for name in tables]
+    return parts[0].unionByName(parts[1])

@@ -60,8 +60,43 @@ def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system that a path lies in, and the path as it takes it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = file_system(spark, path)
+    return files.exists(place)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, in place of the one there was."""
+    files, place = file_system(spark, path)
+    out = files.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, also one whose name hides it from Spark's readers."""
+    files, place = file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def together(*loads: Callable[[], None]) -> None:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jatoba.session import file_system
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -39,14 +41,21 @@ class Lake:
 
     def drop_old_loads(self, layer: str, name: str) -> None:
         """Remove the folders of all but the last ``kept_loads`` loads; the current one always stays."""
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.root.rstrip('/')}/{layer}/{name}")
-        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files, folder = file_system(self.spark, f"{self.root.rstrip('/')}/{layer}/{name}")
         loads = sorted((s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("load-")), key=lambda p: p.getName())
         current = self.location(self.table(layer, name)).rstrip("/")
         for path in loads[: -max(1, self.kept_loads)]:
             if not current.endswith(path.getName()):
                 files.delete(path, True)
 
+    def is_at(self, layer: str, name: str, folder: str) -> bool:
+        """Whether the table is there and holds the load in ``folder``."""
+        table = self.table(layer, name)
+        return self.spark.catalog.tableExists(table) and self.location(table).rstrip("/").endswith(folder.rstrip("/").rsplit("/", 1)[-1])
+
+    def place(self, layer: str, name: str) -> str:
+        """Where the current load of a table lies."""
+        return self.location(self.table(layer, name))
+
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.table(self.table(layer, name))
