@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from jatoba.functions import exact
+
 
 def true_divide(a: Column, b: Column, strict: bool = True) -> Column:
     """``a / b`` as double; division by zero raises, or gives NULL when not strict."""
@@ -35,7 +37,10 @@ def floor_div_float(a: Column, b: Column) -> Column:
 
 
 def int_power(base: Column, exponent: Column) -> Column:
-    """Power of two integers, exact as bigint; one that has no room there raises, as does a negative exponent."""
+    """Power of two integers, exact as bigint; one that has no room there raises, as does a negative exponent.
+
+    :func:`exact.power_text` gives the digits of longer ones.
+    """
     base, exponent = base.cast("bigint"), exponent.cast("bigint")
     # With |base| > 1 the result has no room from exponent 64 on, so no longer product is formed.
     steps = F.sequence(F.lit(1).cast("bigint"), F.least(exponent, F.lit(64).cast("bigint")))
@@ -58,5 +63,5 @@ def square_root(x: Column, strict: bool = True) -> Column:
 
 
 def two_decimals(x: Column) -> Column:
-    """Text with two decimals; NULL stays NULL."""
-    return F.when(x.isNotNull(), F.format_string("%.2f", x))
+    """Text with two decimals, by the exact value of the double and halves to even; NULL stays NULL."""
+    return exact.fixed(x, 2)

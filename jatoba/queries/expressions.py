@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jatoba.functions import convert, numeric
+from jatoba.functions import convert, exact, numeric
 from jatoba.queries.registry import query, table
 
 
@@ -65,11 +65,64 @@ def power_sqrt_round(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.pow(price, F.lit(2)).alias("pot_double"),
         numeric.square_root(size).alias("raiz"),
         convert.to_int(numeric.square_root(size)).alias("raiz_int"),
-        F.round(size * 3.57, 2).alias("multi"),
+        exact.round_exact(size * 3.57, 2).alias("multi"),
         numeric.two_decimals(price / 7).alias("texto"),
     )
 
 
+# Eighths, thousandths and sixteenths: ties by the exact value, ties only by the shown digits, and neither.
+_TIES = "l_extendedprice / 1000 AS small, (l_orderkey % 4001 - 2000) / 8.0::DOUBLE AS eighth, (l_orderkey % 20011) / 1000.0::DOUBLE AS shown"
+
+
+@query(f"""
+SELECT l_orderkey, l_linenumber, printf('%.2f', small) AS small_text, printf('%.2f', eighth) AS eighth_text, printf('%.2f', shown) AS shown_text,
+       CAST(printf('%.2f', eighth) AS DOUBLE) AS eighth_rounded, CAST(printf('%.1f', shown) AS DOUBLE) AS shown_rounded
+FROM (SELECT l_orderkey, l_linenumber, {_TIES} FROM lineitem)
+""")
+def exact_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounding of doubles that lie on a tie, or seem to."""
+    key = F.col("l_orderkey")
+    eighth, shown = (key % 4001 - 2000) / F.lit(8.0), (key % 20011) / F.lit(1000.0)
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        exact.fixed(F.col("l_extendedprice") / 1000).alias("small_text"),
+        numeric.two_decimals(eighth).alias("eighth_text"),
+        numeric.two_decimals(shown).alias("shown_text"),
+        exact.round_exact(eighth, 2).alias("eighth_rounded"),
+        exact.round_exact(shown, 1).alias("shown_rounded"),
+    )
+
+
+@query("""
+SELECT o_orderkey, CAST(CAST(list_reduce(list_prepend(CAST(1 AS HUGEINT), list_transform(range(o_orderkey % 38), lambda i: CAST(o_custkey % 19 - 9 AS HUGEINT))),
+       lambda a, b: a * b) AS HUGEINT) AS VARCHAR) AS power
+FROM orders
+""")
+def long_powers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Integer powers of up to 36 digits, most of them beyond 64 bits."""
+    base, exponent = F.col("o_custkey") % 19 - 9, F.col("o_orderkey") % 38
+    return table(spark, sf_dir, "orders").select("o_orderkey", exact.power_text(base, exponent).alias("power"))
+
+
+def _reversed_bytes(column: str) -> str:
+    text = f"hex(CAST(CAST({column} AS BIT) AS BLOB))"
+    return " || ".join(f"substr({text}, {start}, 2)" for start in range(15, 0, -2))
+
+
+@query(f"""
+SELECT c_custkey, '0101000000' || {_reversed_bytes("x")} || {_reversed_bytes("y")} AS wkb, x, y
+FROM (SELECT c_custkey, CAST(c_acctbal AS DOUBLE) / 7 AS x, -1 / (CAST(c_custkey AS DOUBLE) + 1) AS y FROM customer)
+""")
+def point_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points as well-known binary, and back."""
+    points = table(spark, sf_dir, "customer").select(
+        "c_custkey", exact.point_wkb(F.col("c_acctbal") / 7, F.lit(-1.0) / (F.col("c_custkey") + 1)).alias("wkb")
+    )
+    back = exact.point_of_wkb(F.col("wkb"))
+    return points.select("c_custkey", F.hex("wkb").alias("wkb"), back["x"].alias("x"), back["y"].alias("y"))
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_linenumber = l_quantity AS igual, l_linenumber <> l_quantity AS diferente,
        l_returnflag = 'a' AS texto, l_quantity > 25 AS maior, l_quantity >= 25 AS maior_igual, l_quantity < 25 AS menor,
