@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from jatoba.llm.text import Memory, Words, batch_bytes, find_words, hash_words, held, row_slices, run_ranges, text_of, whole_row
+from jatoba.llm.text import Memory, Words, batch_bytes, find_words, give_back, hash_words, held, released, row_slices, run_ranges, text_of, whole_row
 
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 SAMPLE_DOCS = 200
 """Documents per language that the model is fitted on, in expectation."""
 SAMPLE_CHARS = 20_000
@@ -29,6 +29,7 @@ PIECES = 4
 MANY_LANGUAGES = 64
 """With more languages than this, all are learned, but from fewer documents each, and less text is worked on in one go."""
 DIMENSIONS = 1 << 16
+FITTED_WORDS = 1 << 12
 SEGMENT = 64
 """Words whose transfer matrix is multiplied up before segments are chained."""
 UNKNOWN = "und"
@@ -166,6 +167,16 @@ class Crf:
         return np.where(self.lexicon[place] == hashes, self.lexicon_labels[place], len(self.labels))
 
 
+def _features_of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of many words and how many each has, a few thousand words at a time."""
+    index, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for a in range(0, len(starts), FITTED_WORDS):
+        found, begin = word_features(data, starts[a : a + FITTED_WORDS], ends[a : a + FITTED_WORDS])
+        index.append(found.astype(np.int32))
+        counts.append(np.diff(np.append(begin, len(found))))
+    return np.concatenate(index), np.concatenate(counts)
+
+
 def fit(texts: list[str], langs: list[str], seed: int = 2, epochs: int = 6, words_in_sequence: int = 48) -> Crf:
     """Fit a field to labelled texts.
 
@@ -184,8 +195,8 @@ def fit(texts: list[str], langs: list[str], seed: int = 2, epochs: int = 6, word
     np.add.at(counts, (which, label), 1)
     total = counts.sum(axis=1)
     listed = (total >= 3) & (counts.max(axis=1, initial=0) >= 0.8 * total)
-    index, begin = word_features(plain, words.starts[where], words.ends[where])
-    per_word = np.diff(np.append(begin, len(index)))
+    index, per_word = _features_of(plain, words.starts[where], words.ends[where])
+    begin = np.cumsum(per_word) - per_word
     model = Crf(
         labels,
         np.zeros((DIMENSIONS, len(labels))),
@@ -294,7 +305,9 @@ def fit_documents(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars:
     drawn = learned.join(F.broadcast(shares), (F.col("lang") == F.col("_lang")) & (F.col("draw") <= F.col("share")))
     taken = F.when(F.char_length(text) <= sample_chars, text).otherwise(_excerpt(text, F.col("doc_id"), sample_chars))
     rows = sorted(drawn.groupBy("lang", "doc_id").agg(F.min(taken).alias("text")).select("lang", "text").collect())
-    return fit([r.text for r in rows], [r.lang for r in rows])
+    model = fit([r.text for r in rows], [r.lang for r in rows])
+    give_back()
+    return model
 
 
 def _excerpt(text: Column, doc_id: Column, chars: int) -> Column:
@@ -365,7 +378,7 @@ def predict(docs: DataFrame, model: Crf | None, spans: bool = False) -> DataFram
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
     made = StructType([StructField("row", docs.schema), *StructType.fromDDL(", ".join(f"{c} {kind}" for c, kind in added.items())).fields])
-    found = docs.select(letter, whole_row(docs)).mapInArrow(run, made)
+    found = docs.select(letter, whole_row(docs)).mapInArrow(released(run), made)
     return found.select(*own, *added)
 
 

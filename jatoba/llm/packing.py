@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, held, run_ranges, slices
+from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, held, released, run_ranges, slices
 
 STEP_BYTES = 1 << 21
 KEPT_WORDS = 1 << 20
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str, longest: int = 2048, end: int = 1, wit
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bucket int"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, schema + (", ids array<int>" if with_ids else "")
+        released(run), schema + (", ids array<int>" if with_ids else "")
     )
     return rows.select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens",

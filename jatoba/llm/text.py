@@ -6,7 +6,9 @@ stand for themselves alone, so words are found on bytes. Nothing here loops over
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -197,3 +199,31 @@ def held(name: str, make):
         _held.clear()
         _held[name] = make()
     return _held[name]
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` as a task that leaves its Python worker as small as it found it.
+
+    Workers are used again by the stages that follow. What one of them holds, and what its allocators keep
+    of it, would otherwise add up over a pipeline.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _held.clear()
+            give_back()
+
+    return task
+
+
+def give_back() -> None:
+    """Return to the system what is no longer used; the allocators keep it otherwise."""
+    for k in range(len(_powers)):
+        _powers[k] = np.ones(1, np.uint64)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -36,7 +36,7 @@ def test_an_empty_table_passes_through(spark):
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names and set(SQL) <= set(__spark_entry__.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", list(SQL))
