@@ -16,30 +16,35 @@ from pyspark.sql import DataFrame, SparkSession
 from jatoba.llm import language, mixing, packing, simhash, substrings
 from jatoba.llm.queries import default_tokenizer
 from jatoba.llm.session import prepare
-from jatoba.session import stage
+from jatoba.session import delete_folder, shared_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a language that can be told stay; NULL, blank and letterless texts go. Repeats and ties: as :func:`language.predict`."""
     prepare(spark)
     return language.keep_identified(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints lie within two bits of each other, also by way of others, the smallest doc_id stays."""
     prepare(spark)
     return simhash.keep_one(docs, words=3, threshold=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document holds are cut out; a document of which nothing is left stays with what is left."""
     prepare(spark)
     return substrings.cut_passages(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out until each source comes near its target; rows without source are a source."""
     prepare(spark)
     return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of power-of-two length; a NULL or empty text is the end id alone, a long text many sequences."""
     prepare(spark)
     return packing.pack(docs, default_tokenizer())
 
@@ -56,9 +61,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``; what each stage keeps lies in the shared folder until it is cleaned."""
+    """All stages over the documents of ``sf_dir``. A stage's copy in the shared folder goes when the next one is written,
+    or when a stage fails; the last one stays for the reader of the result."""
     prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, kept = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
+        path = shared_dir(spark, name)
+        try:
+            made = function(spark, docs, sf_dir)
+            made.write.parquet(path)
+        except Exception:
+            delete_folder(spark, path)
+            raise
+        finally:
+            if kept:
+                delete_folder(spark, kept)
+        docs, kept = spark.read.schema(made.schema).parquet(path), path
     return docs
