@@ -298,16 +298,20 @@ def lookup_left_join(
     return skew_safe_join(rows, lookup.hint("merge"), rows_key, lookup_key, min_hot_rows=min_hot_rows)
 
 
-def merge_left(left: DataFrame, right: DataFrame, on: str, **options) -> DataFrame:
+def merge_left(left: DataFrame, right: DataFrame, on: str, *, null_keys_meet: bool = False, **options) -> DataFrame:
     """Left join on one column; other columns both sides have get the suffixes _x and _y.
 
-    A NULL key meets nothing, as in SQL.
+    A NULL key meets nothing, as in SQL, unless ``null_keys_meet``: then NULL is a key like any
+    other, which is found and sliced if it is hot on either side. Keys then meet by their text.
     """
     both = (set(left.columns) & set(right.columns)) - {on}
 
     def renamed(df: DataFrame, suffix: str, key: str) -> DataFrame:
-        return df.select(
-            [F.col(f"`{c}`").alias(key if c == on else f"{c}{suffix}" if c in both else c) for c in df.columns]
-        )
-
-    return skew_safe_join(renamed(left, "_x", on), renamed(right, "_y", "_on"), on, "_on", **options).drop("_on")
+        columns = [F.col(f"`{c}`").alias(key if c == on else f"{c}{suffix}" if c in both else c) for c in df.columns]
+        if null_keys_meet:
+            text = F.coalesce(F.concat(F.lit("="), F.col(f"`{on}`").cast("string")), F.lit("-"))
+            columns.append(text.alias(f"_key{suffix}"))
+        return df.select(columns)
+
+    keys = ("_key_x", "_key_y") if null_keys_meet else (on, "_on")
+    return skew_safe_join(renamed(left, "_x", on), renamed(right, "_y", "_on"), *keys, **options).drop("_on", "_key_x", "_key_y")

@@ -7,7 +7,7 @@ collected to build a page.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jatoba import schemas
@@ -73,7 +73,7 @@ SELECT o_orderkey // 200 + 1 AS page, CAST(o_orderkey AS VARCHAR) AS id, o_order
 FROM orders WHERE o_orderkey // 200 + 1 < (SELECT max(o_orderkey) // 200 + 1 - 3 FROM orders)
 """)
 def page_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A file per page with 200 records each, and a status file; the fourth page from the end failed."""
+    """Pages of 200 records, a folder each as Spark writes them, and a status file; the fourth page from the end failed."""
     landing = shared_dir(spark, "page-files")
     record = F.expr("named_struct('id', cast(o_orderkey as string), 'name', o_orderpriority)")
     pages = (
@@ -82,14 +82,9 @@ def page_files_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.collect_list(record).alias("deals"))
         .select("page", F.to_json(F.struct("deals")).alias("value"))
     )
-    pages.write.partitionBy("page").text(f"{landing}/parts")
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing}/deals")
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files.mkdirs(folder)
-    for part in files.globStatus(folder.suffix("/../parts/page=*/part-*")):
-        page = part.getPath().getParent().getName()
-        files.rename(part.getPath(), folder.suffix(f"/{page}.json"))
-    answers = pages.select("page", F.when(F.col("page") == F.max("page").over(Window.partitionBy()) - 3, 500).otherwise(200).alias("status"))
+    pages.write.partitionBy("page").text(f"{landing}/deals")
+    failed = F.col("page") == pages.agg(F.max("page") - 3).scalar()
+    answers = pages.select("page", F.when(failed, 500).otherwise(200).alias("status"))
     answers.write.option("header", True).csv(f"{landing}/deals_status.csv")
     landed = source.read_page_files(spark, landing, "deals")
     return source.paged_records(*landed, "deals", schemas.DEAL_RECORD).select("page", "id", "name")
@@ -136,11 +131,13 @@ def bronze_tasks_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         'done', event_type <> 'error', 'notes', if(event_type = 'view', props, null),
         'deal_id', concat('D', user_id), 'created_at', cast(ts as string), 'date', cast(cast(ts as date) as string),
         'unknown', 1)"""
-    log = table(spark, sf_dir, "events").selectExpr(
-        "cast(event_id div 200 + 1 as int) page", "200 status", f"to_json(named_struct('tasks', array({record}))) body"
+    log = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.expr("cast(event_id div 200 + 1 as int)").alias("page"))
+        .agg(F.collect_list(F.expr(record)).alias("tasks"))
+        .select("page", F.lit(200).alias("status"), F.to_json(F.struct("tasks")).alias("body"))
     )
-    # A limit of one record: no page that has any is short, so all pages are kept.
-    return bronze_tasks(source.paged_records(*source.split_page_log(log), "tasks", schemas.TASK_RECORD, limit=1))
+    return bronze_tasks(source.paged_records(*source.split_page_log(log), "tasks", schemas.TASK_RECORD))
 
 
 @query("""

@@ -2,7 +2,8 @@
 
 Two layouts hold the same thing, one response per page number:
 
-* page files: ``<collection>/page=<n>.json`` plus an optional ``<collection>_status.csv``;
+* page files: ``<collection>/page=<n>.json``, or files of any name in ``<collection>/page=<n>/``, as
+  Spark writes them, plus an optional ``<collection>_status.csv``;
 * a page log: a table ``page, status, body`` with many pages per file. This is the one
   to use at scale, because millions of small files cost more to list than to read. A
   page may be spread over several rows of the log. A fourth column ``records`` may give
@@ -34,12 +35,11 @@ NO_FIRST_PAGE = "page 1 is missing or did not answer 200"
 
 def read_page_files(spark: SparkSession, landing: str, collection: str) -> tuple[DataFrame, DataFrame]:
     """Pages (``page, body``) and answers (``page, status``) of one collection."""
+    number = F.regexp_extract("_metadata.file_path", r"/page=(\d+)(?:\.json|/[^/]+)$", 1)
     pages = (
-        spark.read.text(f"{landing}/{collection}", wholetext=True, pathGlobFilter="page=*.json")
-        .select(
-            F.regexp_extract("_metadata.file_name", r"page=(\d+)\.json", 1).cast("int").alias("page"),
-            F.col("value").alias("body"),
-        )
+        spark.read.option("recursiveFileLookup", "true").text(f"{landing}/{collection}", wholetext=True)
+        .select(F.nullif(number, F.lit("")).cast("int").alias("page"), F.col("value").alias("body"))
+        .where("page is not null")
     )
     schema = "page int, status int"
     try:

@@ -155,3 +155,25 @@ def test_semi_reduce_keeps_the_wanted_and_few_others(spark, options, most):
 def test_semi_reduce_of_nothing_wanted(spark):
     rows = spark.range(100).selectExpr("cast(id as string) k")
     assert joins.semi_reduce(rows, "k", rows.where("k = 'x'"), "k").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("hot", [5, 10**6])
+def test_merge_with_null_keys_that_meet(spark, tmp_path, seed, hot):
+    """Against a plain merge; NULL is hot on both sides in the sliced runs."""
+    import random
+
+    rng = random.Random(seed)
+    sides = [[(rng.choice([None, None, "a", "b", "", "-", "=a", f"k{rng.randrange(9)}"]), n) for n in range(size)] for size in (60, 40)]
+    frames = []
+    for name, rows in zip("xy", sides):
+        spark.createDataFrame(rows, "k string, v int").repartition(3).write.parquet(str(tmp_path / name))
+        frames.append(spark.read.parquet(str(tmp_path / name)))
+    got = joins.merge_left(*frames, "k", null_keys_meet=True, min_hot_rows=hot)
+    assert got.columns == ["k", "v_x", "v_y"]
+    expected = []
+    for k, v in sides[0]:
+        expected += [(k, v, w) for o, w in sides[1] if o == k] or [(k, v, None)]
+    assert collected(got, "k", "v_x", "v_y") == sorted(expected, key=str)
+    if hot == 5:
+        assert "_slice" in got._jdf.queryExecution().analyzed().toString()
