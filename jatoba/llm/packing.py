@@ -21,7 +21,7 @@ from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, held, re
 
 STEP_BYTES = 1 << 21
 KEPT_WORDS = 1 << 20
-"""Words whose ids a Python worker remembers; beyond it, it starts anew."""
+"""Words whose ids a worker remembers; beyond it, it starts anew."""
 PLAIN_BYTES = 64
 """Longer words are encoded anew each time they occur."""
 

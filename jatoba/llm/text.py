@@ -149,7 +149,7 @@ def run_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Memory:
-    """Values of words that a Python worker has met, by word hash; bounded, and begun anew when full.
+    """Values of words that a worker has met, by word hash; bounded, and begun anew when full.
 
     ``make(words, at)`` gives the values of the words at these ascending places, a row each. Words of
     more than ``longest`` bytes are made anew each time, so that no text crafted to collide
@@ -194,7 +194,7 @@ _held: dict[str, object] = {}
 
 
 def held(name: str, make):
-    """What a Python worker keeps from batch to batch: one thing at a time, so that stages that follow each other do not add up."""
+    """What a worker keeps from batch to batch: one thing at a time, so that stages that follow each other do not add up."""
     if name not in _held:
         _held.clear()
         _held[name] = make()
@@ -202,7 +202,7 @@ def held(name: str, make):
 
 
 def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """``run`` as a task that leaves its Python worker as small as it found it.
+    """``run`` as a task that leaves its worker as small as it found it.
 
     Workers are used again by the stages that follow. What one of them holds, and what its allocators keep
     of it, would otherwise add up over a pipeline.

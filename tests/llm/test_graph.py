@@ -34,7 +34,7 @@ def cases():
     yield "only loops", [(1, 1)]
 
 
-@pytest.mark.parametrize("name,links", cases(), ids=lambda c: c if isinstance(c, str) else "")
+@pytest.mark.parametrize("name,links", list(cases()), ids=lambda c: c if isinstance(c, str) else "")
 def test_components_equal_union_find(spark, name, links):
     found = components(spark.createDataFrame(links, "a long, b long"))
     assert sorted(tuple(r) for r in found.where("node <> component").collect()) == plain(links)

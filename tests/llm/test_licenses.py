@@ -74,7 +74,7 @@ def test_every_known_sentence_has_a_cue_and_every_rule_known_sentences():
 
 def test_plan_is_native(spark):
     plan = licenses.recognise(documents(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+    assert "Arrow" not in plan and "UDF" not in plan and "Exchange" not in plan
 
 
 def test_no_known_sentence_is_skipped(spark):
