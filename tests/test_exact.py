@@ -1,4 +1,4 @@
-"""Exact values of doubles, long integers and point bytes against Python's own."""
+"""Exact values of doubles, long integers and point bytes against the interpreter's own."""
 
 import math
 import random
