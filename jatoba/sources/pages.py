@@ -17,6 +17,9 @@ pages must be whole: a page without its envelope, a NULL body or count, a NULL s
 a page number that is missing stops the load instead of cutting the export short. Page 1
 must be there and have answered 200: an export that failed altogether is an error and not
 an empty one. An export whose first page holds no records is empty.
+
+A log whose page numbers leave some out by nature, as those worked out from keys do, is read
+with ``whole=False``: a number without a page is then no gap, and the first page may have any number.
 """
 
 from __future__ import annotations
@@ -61,10 +64,10 @@ def split_page_log(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log.drop("status"), log.select("page", "status")
 
 
-def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT) -> DataFrame:
+def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT, whole: bool = True) -> DataFrame:
     """One row, one column: the last page to keep, NULL when nothing bounds it.
 
-    Reading it raises if a page up to there is broken or missing. Pages are put together by
+    Reading it raises if a page up to there is broken or, unless ``whole`` is false, missing. Pages are put together by
     blocks of their numbers, so what is looked at in one place is a row per 1,024 pages.
     """
     if "records" in pages.columns:
@@ -86,8 +89,8 @@ def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int
         F.min(F.when(broken & ~failed, page)).alias("broken"),
         F.collect_list(F.when(~failed, page)).alias("there"),
     )
-    whole = Window.partitionBy()
-    bound = F.least(F.min("short").over(whole), F.min("bad").over(whole) - 1)
+    every = Window.partitionBy()
+    bound = F.least(F.min("short").over(every), F.min("bad").over(every) - 1)
     reached = blocks.select("broken", "there", bound.alias("bound"))
     accepted = F.size(F.filter("there", lambda p: F.col("bound").isNull() | (p <= F.col("bound"))))
     return (
@@ -100,13 +103,13 @@ def last_page(pages: DataFrame, answers: DataFrame, collection: str, limit: int
             F.max(F.array_max("there")).alias("top"),
         )
         .select(
-            F.when(~F.coalesce("begun", F.lit(False)), _stop(F.lit(f"{collection}: {NO_FIRST_PAGE}")))
+            F.when(F.lit(whole) & ~F.coalesce("begun", F.lit(False)), _stop(F.lit(f"{collection}: {NO_FIRST_PAGE}")))
             .when(
                 F.col("first_broken") <= F.coalesce("end", "first_broken"),
                 _stop(F.concat(F.lit(f"{collection}: no records, envelope or status on page "), F.col("first_broken").cast("string"))),
             )
             .when(
-                F.col("accepted") < F.coalesce("end", "top"),
+                F.lit(whole) & (F.col("accepted") < F.coalesce("end", "top")),
                 _stop(F.concat(F.lit(f"{collection}: pages are missing before page "), F.coalesce("end", "top").cast("string"))),
             )
             .otherwise(F.col("end"))
@@ -119,17 +122,17 @@ def _stop(message: Column) -> Column:
     return F.raise_error(message).cast("int")
 
 
-def accept_pages(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT) -> DataFrame:
-    bound = last_page(pages, answers, collection, limit).scalar()
+def accept_pages(pages: DataFrame, answers: DataFrame, collection: str, limit: int = PAGE_LIMIT, whole: bool = True) -> DataFrame:
+    bound = last_page(pages, answers, collection, limit, whole).scalar()
     return pages.where(F.coalesce(F.col("page") <= bound, F.lit(True)))
 
 
 def paged_records(
-    pages: DataFrame, answers: DataFrame, collection: str, record: str, limit: int = PAGE_LIMIT
+    pages: DataFrame, answers: DataFrame, collection: str, record: str, limit: int = PAGE_LIMIT, whole: bool = True
 ) -> DataFrame:
     """All records of the accepted pages, with their page number in front."""
-    bound = last_page(pages, answers, collection, limit).scalar()
-    accepted = _checked(accept_pages(pages, answers, collection, limit), bound)
+    bound = last_page(pages, answers, collection, limit, whole).scalar()
+    accepted = _checked(accept_pages(pages, answers, collection, limit, whole), bound)
     return _records(accepted, f"{collection} array<struct<{record}>>", collection)
 
 

@@ -117,6 +117,30 @@ def test_broken_exports_stop_the_load(spark, tmp_path, case):
             source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2).collect()
 
 
+NUMBERED_WITH_HOLES = {
+    "gap_unbounded": ([tasks("a", "b"), None, tasks("c", "d")], None, "abcd"),
+    "gap": ([tasks("a", "b"), None, tasks("c", "d"), tasks("e"), tasks("f", "g")], None, "abcde"),
+    "gap_at_the_start": ([None, tasks("a", "b"), tasks("e")], None, "abe"),
+    "gap_before_failure": ([tasks("a", "b"), None, tasks("c", "d")], {4: 500}, "abcd"),
+    "failed_alone": ([ERROR], {1: 500}, ""),
+}
+
+
+@pytest.mark.parametrize("case", NUMBERED_WITH_HOLES)
+def test_numbers_with_holes_are_read_if_asked_for(spark, tmp_path, case):
+    bodies, statuses, expected = NUMBERED_WITH_HOLES[case]
+    for pages in _three_layouts(spark, tmp_path, bodies, statuses):
+        records = source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2, whole=False)
+        assert sorted(r["id"] for r in records.collect()) == sorted(expected)
+
+
+@pytest.mark.parametrize("case", ["envelope", "first", "status", "first_without_status"])
+def test_broken_pages_stop_a_load_with_holes_too(spark, tmp_path, case):
+    for pages in _three_layouts(spark, tmp_path, *BROKEN[case]):
+        with pytest.raises(Exception, match="no records"):
+            source.paged_records(*pages, "tasks", schemas.TASK_RECORD, limit=2, whole=False).collect()
+
+
 def test_what_lies_beyond_the_stop_may_be_broken(spark, tmp_path):
     bodies = [tasks("a", "b"), tasks("c"), None, ERROR, tasks("d", "e")]
     for pages in _three_layouts(spark, tmp_path, bodies, {1: 200, 2: 200, 4: None}):
