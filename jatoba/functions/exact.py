@@ -198,8 +198,26 @@ def _doubled(digits: Column, times: Column) -> Column:
     )
 
 
+SHORT_DIGITS = 37
+"""Digits up to which a power is surely within a decimal."""
+
+
+def _short_power(size: Column, exponent: Column) -> Column:
+    """A power of at most SHORT_DIGITS digits, from three factors that doubles hold exactly; NULL if a factor is too large for that.
+
+    ``pow`` of two integers is exact wherever the result is a double.
+    """
+    thirds = [F.call_function("div", exponent + more, F.lit(3).cast("bigint")) for more in (2, 1, 0)]
+    first, second, third = (F.pow(size.cast("double"), n).cast("bigint").cast("decimal(16,0)") for n in thirds)
+    near = F.pow(size.cast("double"), thirds[0]) < F.lit(2.0**53)
+    return F.when(near, (first * second * third).cast("string"))
+
+
 def power_text(base: Column, exponent: Column) -> Column:
-    """The digits of an integer power, however many, by squaring; a negative exponent, or more than MOST_DIGITS digits, raises."""
+    """The digits of an integer power, however many; a negative exponent, or more than MOST_DIGITS digits, raises.
+
+    Powers within a decimal are a product of decimals, longer ones are squared in limbs.
+    """
     base, exponent = base.cast("bigint"), exponent.cast("bigint")
     size = limbs(F.abs(base.cast("decimal(20,0)")))
     bits = F.bin(exponent)
@@ -211,12 +229,13 @@ def power_text(base: Column, exponent: Column) -> Column:
     one = F.array(F.lit(1).cast("bigint"))
     raised = limbs_text(F.aggregate(digits, one, go))
     sign = F.when((base < 0) & (exponent % 2 == 1), F.lit("-")).otherwise(F.lit(""))
-    long = exponent.cast("double") * F.log10(F.greatest(F.abs(base.cast("double")), F.lit(1.0))) > MOST_DIGITS
+    length = exponent.cast("double") * F.log10(F.greatest(F.abs(base.cast("double")), F.lit(1.0)))
+    short = F.when(length < SHORT_DIGITS, _short_power(F.abs(base.cast("double")), exponent))
     failed = F.raise_error(F.lit("power out of range")).cast("string")
     result = (
-        F.when((exponent < 0) | long, failed)
+        F.when((exponent < 0) | (length > MOST_DIGITS), failed)
         .when(base.isin(0, 1, -1), F.when((base == 0) & (exponent > 0), F.lit("0")).otherwise(F.concat(sign, F.lit("1"))))
-        .otherwise(F.concat(sign, raised))
+        .otherwise(F.concat(sign, F.coalesce(short, raised)))
     )
     return F.when(base.isNotNull() & exponent.isNotNull(), result)
 

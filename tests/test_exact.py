@@ -69,6 +69,15 @@ def test_powers_of_integers(spark):
             spark.createDataFrame([(b, e)], "b bigint, e bigint").select(exact.power_text(F.col("b"), F.col("e"))).collect()
 
 
+def test_powers_within_a_decimal_need_no_limbs(spark, monkeypatch):
+    monkeypatch.setattr(exact, "multiplied", lambda a, b: F.raise_error(F.lit("limbs")).cast("array<bigint>"))
+    pairs = [(b, e) for b in (*range(-12, 13), 997, 46341, -999_999, 2**31, 94_906_265) for e in range(60) if len(str(abs(b) ** e)) < 37]
+    pairs = [(b, e) for b, e in pairs if abs(b) ** -(-e // 3) < 2**53]
+    frame = spark.createDataFrame(pairs, "b bigint, e bigint")
+    for b, e, text in frame.select("b", "e", exact.power_text(F.col("b"), F.col("e"))).collect():
+        assert text == str(b**e), (b, e)
+
+
 def test_point_bytes(spark):
     values = EDGES + doubles(3000, 9)
     pairs = list(zip(values, reversed(values))) + [(math.inf, -math.inf), (None, 1.0), (1.0, None)]
