@@ -242,49 +242,35 @@ def power_text(base: Column, exponent: Column) -> Column:
 
 def double_bits(x: Column) -> Column:
     """The 64 bits of a double as a bigint; any NaN has the usual one's."""
-    least = F.lit(-(2**63)).cast("bigint")
-    sign = F.when(_negative(x), least).otherwise(F.lit(0).cast("bigint"))
+    return F.when(x.isNotNull(), _of_java("Double", "doubleToLongBits", x.cast("double")).cast("bigint"))
+
+
+def _of_java(kind: str, method: str, value: Column) -> Column:
+    """The text of a number's static method; the value must not be NULL."""
+    return F.java_method(F.lit(f"java.lang.{kind}"), F.lit(method), value)
 
-    def made(s: Column) -> Column:
-        shift = F.when(s["m"] >= 2**54, 2).when(s["m"] >= 2**53, 1).otherwise(0)
-        return _let(
-            F.struct(F.call_function("shiftright", s["m"], shift).alias("m"), (s["e"] + shift + 52 + 1023).alias("e")),
-            lambda t: F.when(t["e"] >= 1, F.call_function("shiftleft", t["e"].cast("bigint"), F.lit(52)) + t["m"] - 2**52).otherwise(
-                F.call_function("shiftright", t["m"], F.lit(1) - t["e"])
-            ),
-        )
 
-    endless = F.lit(0x7FF << 52).cast("bigint")
-    bits = F.when(x == 0, sign).when(_finite(x), sign.bitwiseOR(_let(scaled(x), made))).otherwise(sign.bitwiseOR(endless))
-    return F.when(x.isNotNull(), F.when(F.isnan(x), F.lit(0x7FF8 << 48).cast("bigint")).otherwise(bits))
+def _swapped(bits: Column) -> Column:
+    """A bigint with its bytes in reverse."""
+    return _of_java("Long", "reverseBytes", bits).cast("bigint")
 
 
 def point_wkb(x: Column, y: Column) -> Column:
     """The 21 bytes of a point in well-known binary, little-endian; NULL if either is NULL."""
 
-    def reversed_hex(c: Column) -> Column:
-        text = F.lpad(F.hex(double_bits(c)), 16, "0")
-        return F.concat(*[F.substring(text, start, 2) for start in range(15, 0, -2)])
+    def little_endian(c: Column) -> Column:
+        return F.lpad(F.hex(_swapped(double_bits(c))), 16, "0")
 
-    whole = F.concat(F.lit("0101000000"), reversed_hex(x.cast("double")), reversed_hex(y.cast("double")))
-    return F.when(x.isNotNull() & y.isNotNull(), F.unhex(whole))
+    whole = F.when(x.isNotNull() & y.isNotNull(), F.concat(F.lit("0101000000"), little_endian(x), little_endian(y)))
+    return F.unhex(whole)
 
 
 def point_of_wkb(wkb: Column) -> Column:
     """``struct<x double, y double>`` of such bytes; other bytes raise."""
 
     def number(start: int) -> Column:
-        part = F.hex(F.substring(wkb, start, 8))
-        text = F.concat(*[F.substring(part, at, 2) for at in range(15, 0, -2)])
-        high = F.conv(F.substring(text, 1, 4), 16, 10).cast("bigint")
-        low = F.conv(F.substring(text, 4, 13), 16, 10).cast("bigint")
-        exponent, sign = high.bitwiseAND(F.lit(0x7FF0)) / 16, F.when(high >= 0x8000, F.lit(-1.0)).otherwise(F.lit(1.0))
-        plain = (low + F.when(exponent > 0, F.lit(2**52)).otherwise(F.lit(0))).cast("double")
-        power = F.greatest(exponent, F.lit(1)) - 1075
-        # In two steps: the power of the smallest numbers is below the least double there is.
-        finite = plain * F.pow(F.lit(2.0), F.greatest(power, F.lit(-1000))) * F.pow(F.lit(2.0), F.least(power + 1000, F.lit(0)))
-        endless = F.when(low == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))
-        return sign * F.when(exponent == 2047, endless).otherwise(finite)
+        bits = F.conv(F.hex(F.substring(wkb, start, 8)), 16, -10).cast("bigint")
+        return _of_java("Double", "longBitsToDouble", _swapped(bits)).cast("double")
 
     good = (F.octet_length(wkb) == 21) & (F.hex(F.substring(wkb, 1, 5)) == "0101000000")
     failed = F.raise_error(F.lit("not a point")).cast("struct<x: double, y: double>")

@@ -95,3 +95,9 @@ def test_point_bytes(spark):
     assert nan == 0x7FF8 << 48
     located = spark.sql("select decimal(-46.6) x, decimal(-23.5) y").select(geo.point(F.col("x"), F.col("y")).alias("p"))
     assert located.select(exact.point_wkb(F.col("p.x"), F.col("p.y"))).first()[0]
+
+
+def test_points_are_made_without_interpreted_lambdas(spark):
+    frame = spark.createDataFrame([(1.5, -2.0)], "x double, y double")
+    made = frame.select(exact.point_wkb(F.col("x"), F.col("y")).alias("wkb"), exact.double_bits(F.col("x")))
+    assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
