@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from jatoba.operators.publish import RUN, publish, write_member
 from jatoba.plans import gold, silver
 from jatoba.plans.jobs import run_bronze, run_gold, run_silver
-from jatoba.queries.registry import query, table
+from jatoba.queries.registry import query, spread, table
 from jatoba.queries.relational import AS_OF, LOW_MINIMUM, coordinate_ctes
 from jatoba.schemas import CAPTURE_FUNNEL, CUSTOM_FIELD_COLUMNS, GOLD, NEGOTIATION_FUNNEL
 from jatoba.session import shared_dir, together
@@ -45,7 +45,8 @@ def silver_organizations(spark: SparkSession, sf_dir: str) -> DataFrame:
         named_struct('label', 'COORDENADA', 'value', '-1.5,-2.5'),
         named_struct('label', 'Id', 'value', 'wrong case'),
         named_struct('label', cast(null as string), 'value', 'no label'))"""
-    bronze = table(spark, sf_dir, "customer").select(
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    bronze = spread(customer, "c_custkey").select(
         F.expr("cast(c_custkey as string)").alias("id"),
         F.col("c_name").alias("name"),
         F.expr("concat(date_add(date'2023-01-01', c_nationkey), 'T10:00:00.000-03:00')").alias("created_at_x"),

@@ -37,6 +37,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+PART_ROWS = 50_000
+"""Rows of a table that one task takes where it makes many rows of each."""
+
+
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` dealt by key to tasks of about PART_ROWS rows, for what makes many rows of each and sorts them: a file's split
+    holds millions of rows of a well-packed table. ``rows`` should be cheap to count."""
+    parts = -(-rows.count() // PART_ROWS)
+    return rows.repartition(parts, key) if parts > 1 else rows
+
+
 def plain_names(df: DataFrame) -> DataFrame:
     """Dotted column names with underscores, for readers that take a dot for a field access."""
     return df.toDF(*[c.replace(".", "_") for c in df.columns])

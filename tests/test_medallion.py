@@ -291,3 +291,15 @@ def test_json_layout_matches_the_log(spark, lake, tmp_path):
     jobs.run_bronze(spark, str(tmp_path), other, layout="log")
     jobs.run_silver(other, AS_OF)
     assert other.read("bronze", "tasks").count() == 1 and other.read("silver", "deals").count() == 0
+
+
+def test_organizations_are_pivoted_in_tasks_of_bounded_size(spark, monkeypatch):
+    from jatoba.queries import registry
+
+    monkeypatch.setattr(registry, "PART_ROWS", 40)
+    table = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select("c_custkey")
+    dealt = registry.spread(table, "c_custkey")
+    assert dealt.rdd.getNumPartitions() == -(-table.count() // 40) > 1
+    assert sorted(dealt.collect()) == sorted(table.collect())
+    plan = registry.QUERIES["silver_organizations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and plan.index("Generate inline") < plan.index("RepartitionByExpression")
