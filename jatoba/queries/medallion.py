@@ -283,6 +283,11 @@ def _pages(numbered: DataFrame, collection: str, record: str, envelope: bool = T
     )
 
 
+def _last_number(rows: DataFrame) -> DataFrame:
+    """The number of the last page of these records as ``end``, from their count; NULL of none."""
+    return rows.agg(F.when(F.count("*") > 0, F.ceil(F.count("*") / RECORDS).cast("int")).alias("end"))
+
+
 @query(f"""
 SELECT 'negotiations' AS gold, * FROM ({_gold_sql(NEGOTIATION_FUNNEL)})
 UNION ALL BY NAME SELECT 'captures' AS gold, * FROM ({_gold_sql(CAPTURE_FUNNEL)})
@@ -308,11 +313,12 @@ def medallion_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     task = "named_struct('id', concat(l_orderkey, '-', l_linenumber), 'deal_id', deal_id, 'done', l_linestatus = 'F')"
     funnel = "named_struct('name', funnel_name, 'deal_stages', array(named_struct('_id', stage, 'name', stage)))"
     stages = _deals(spark, sf_dir).select(F.col("stage_name").alias("stage"), "funnel_name").distinct().withColumn("nth", F.lit(0))
-    deals = _pages(_numbered(_deals(spark, sf_dir), "o_orderkey div 1000", "o_orderkey"), "deals", deal)
-    tasks = _pages(_numbered(_tasks(spark, sf_dir), "l_orderkey div 1000", "l_orderkey", "l_linenumber"), "tasks", task)
+    all_deals, all_tasks = _deals(spark, sf_dir), _tasks(spark, sf_dir)
+    deals = _pages(_numbered(all_deals, "o_orderkey div 1000", "o_orderkey"), "deals", deal)
+    tasks = _pages(_numbered(all_tasks, "l_orderkey div 1000", "l_orderkey", "l_linenumber"), "tasks", task)
     after = "inline(array(named_struct('by', 1, 'records', 0, 'body', '{\"deals\": []}'), named_struct('by', 2, 'records', 1, 'body', '{\"deals\": [{\"id\": \"late\"}]}')))"
-    late_deals = deals.agg(F.max("page").alias("end")).selectExpr("end", after).selectExpr("end + by page", "200 status", "records", "body")
-    late_failure = tasks.agg(F.max("page").alias("end")).select(
+    late_deals = _last_number(all_deals).selectExpr("end", after).selectExpr("end + by page", "200 status", "records", "body")
+    late_failure = _last_number(all_tasks).select(
         (F.col("end") + 1).alias("page"), F.lit(500).alias("status"), F.lit(None).cast("int").alias("records"), F.lit("busy").alias("body")
     )
     organizations = _numbered(_organizations(spark, sf_dir), "pmod(xxhash64(company_id), 64)", "company_id")

@@ -303,3 +303,15 @@ def test_organizations_are_pivoted_in_tasks_of_bounded_size(spark, monkeypatch):
     assert sorted(dealt.collect()) == sorted(table.collect())
     plan = registry.QUERIES["silver_organizations"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" in plan and plan.index("Generate inline") < plan.index("RepartitionByExpression")
+
+
+@pytest.mark.parametrize("n", [0, 1, 199, 200, 201, 1000])
+def test_last_page_number_needs_no_pages(spark, n):
+    from jatoba.queries import medallion
+
+    rows = spark.range(n)
+    pages = medallion._pages(medallion._numbered(rows, "id div 7", "id"), "all_of_them", "named_struct('id', id)")
+    last = medallion._last_number(rows)
+    assert last.first() == pages.agg(F.max("page").alias("end")).first()
+    assert last.schema["end"].dataType == pages.schema["page"].dataType
+    assert "Window" not in last._jdf.queryExecution().optimizedPlan().toString()
