@@ -7,10 +7,13 @@ are long enough for a passage are made, two for each passage length of text. Win
 texts with one signature tell where subsequences share it; where the intervals of enough hash
 functions overlap, the two passages are fetched and their shingles compared.
 
-The texts that share a signature are not paired with one another: each is held against the
-first of them, and against the one before it. Those read by one task are joined there, and
-what lies in a passage found there stays there, so that however many texts share a passage,
-a task sends on one window of each of its signatures.
+Windows of one signature with the same words around them are copies, and are linked to the first
+of them, already in the task that read them. Of windows that differ, each is linked to all others
+that share its signature if these are few. If they are many, as with a line that stands in many texts,
+it is linked to the nearest ones in the order and to the first, and what these do not explain is
+dealt with a second time: a near copy has an unbroken run of 24 words in common with its source,
+so there compact windows over 20-word shingles are made, and every one that no passage found so far holds
+is joined with all that have its signature.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, mix, pieces, run_ranges, slices, text_ends, text_of, whole_row
+from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, mix, pieces, run_hashes, run_ranges, slices, text_ends, text_of, whole_row
+from jatoba.operators.joins import semi_reduce
 
 SHINGLE = 5
 PASSAGE = 50
@@ -36,17 +40,32 @@ ENOUGH = 2
 STEP_BYTES = 1 << 21
 """Text whose shingles are made in one go."""
 TOGETHER_BYTES = 1 << 22
-"""Text whose windows are joined inside the task that read it."""
+"""Text whose copies are folded inside the task that read it."""
+NEAREST = 2
+"""Windows before it that a window is linked to; of a signature with more, the rest is joined by longer shingles."""
+CARRIED = 1 << 16
+"""Windows of a signature among which a copy is looked for."""
+RUN = 24
+"""Words of the unbroken run that passages have in common: of 46 shingles and more, at a similarity of 0.8, each break costs eight."""
+RUN_SHINGLE = 20
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 PAIR = "x_doc long, x_key long, a_doc long, a_key long"
-WINDOW = f"sign long, {PAIR}, k int, xc int, xl int, xr int, ac int, similarity double"
-"""A window, or with k = -1 a passage that is found already: xc is its start, xl its words, ac its start in the other text."""
-LINK = f"{PAIR}, k int, xc int, xl int, xr int, ac int, al int, ar int, similarity double"
-CANDIDATE = f"{PAIR}, xs int, xe int, as int, ae int, similarity double"
-"""Passages to compare, or with a similarity one that is found already: xe is its words."""
+COPY = 64
+"""Added to the hash function of a link between copies, which needs no other to agree."""
+REST = -1
+"""Stands for the hash function where a window is one of many, and not only the nearest have to be seen."""
+CONTEXT_BITS = 28
+"""Of a signature's 64 bits, those that tell the words around the window."""
+WINDOW = f"sign long, {PAIR}, k int, xc int, xl int, xr int, ac int"
+"""A window, or with an ``a_key`` a link to a copy of it in another text."""
+LINK = f"{PAIR}, k int, xc int, xl int, xr int, ac int, al int, ar int"
+CANDIDATE = f"{PAIR}, xs int, xe int, as int, ae int"
+"""Passages to compare, or without an ``a_key`` the place of a window that is one of many, with its signature as ``a_doc``."""
+SEED = "sign long, context long, doc long, key long, c int, open boolean"
+"""A longer shingle, and whether no passage found so far holds it."""
 PASSAGE_ROW = "doc_id long, text_key long, start int, length int, source_id long, source_key long, source_start int, similarity double"
 
 
@@ -122,6 +141,19 @@ def compact_windows(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.nd
     return row, at - begin, left - begin, right - begin, h[at]
 
 
+def thinned(row, c, left, right, value, step: int) -> tuple[np.ndarray, ...]:
+    """Of windows of one hash at places next to each other, as in a row of one word, the first, the last and every ``step``-th.
+
+    They have the smallest hash of a subsequence together, so each gets the bounds of the first one,
+    and no subsequence of ``step`` shingles is without one.
+    """
+    new = np.ones(len(c), bool)
+    new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1]) | (c[1:] != c[:-1] + 1)
+    begin = np.flatnonzero(new)[np.cumsum(new) - 1] if len(c) else np.zeros(0, np.int64)
+    kept = np.flatnonzero(((np.arange(len(c)) - begin) % step == 0) | np.append(new[1:], True)[: len(c)])
+    return row[kept], c[kept], left[begin[kept]], right[kept], value[kept]
+
+
 def _group(*keys: np.ndarray) -> np.ndarray:
     """Whether each row of sorted keys begins a new group."""
     new = np.zeros(len(keys[0]), bool)
@@ -257,43 +289,103 @@ class Finder:
         self.shift = max(1, self.width // 4)
 
     def windows(self, column: pa.Array) -> tuple[np.ndarray, ...]:
-        """``row, k, c, l, r, signature`` of all texts of a column, a run of rows at a time."""
+        """``row, k, c, l, r, signature`` of all texts of a column, a run of rows at a time; the signature's last bits are those of the context."""
         out = []
         for a, b in pieces(text_ends(column), STEP_BYTES):
             h, first, _ = shingle_hashes(column.slice(a, b - a), self.shingle)
             for k in range(self.hashes):
                 hk = np.where(h > 0, mix(h * np.uint64(2 * k + 3) + np.uint64(k)) | np.uint64(1), np.uint64(0))
-                row, c, left, right, value = compact_windows(hk, first, self.width)
-                out.append((row + a, np.full(len(row), k), c, left, right, mix(value + np.uint64(k))))
+                row, c, left, right, value = thinned(*compact_windows(hk, first, self.width), self.width // 2)
+                low, high = self.around(c, left, right)
+                same = run_hashes(h, first[row] + low, first[row] + high + 1) ^ mix((c - low).astype(np.uint64))
+                low_bits = np.uint64(CONTEXT_BITS)
+                sign = (mix(value + np.uint64(k)) >> low_bits << low_bits) | (same >> (np.uint64(64) - low_bits))
+                out.append((row + a, np.full(len(row), k), c, left, right, sign.view(np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else ()
 
-    def first_and_links(self, doc, key, k, c, left, right, sign):
-        """Which windows are the first of their signature, and what the others are linked to.
-
-        The order is by document (NULL last), text and place. Returns the places of the first
-        windows, and pairs of places: a window and the one it is linked to.
-        """
-        order = np.lexsort((c, key, doc, sign))
-        new = _group(sign[order])
-        lead = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        before = np.where(new, order, np.roll(order, 1))
-        x, a = linked_to(doc[order], key[order], c[order], left[order], right[order], *((v[lead] for v in (doc, key, c, left, right))), *((v[before] for v in (doc, key, c, left, right))))
-        return order[new], order[x], np.where(a, before[x], lead[x])
+    def around(self, c, left, right):
+        """The part of a window that the shortest passages reach."""
+        return np.maximum(left, c - self.width), np.minimum(right, c + self.width)
 
-
-def linked_to(doc, key, c, left, right, f_doc, f_key, f_c, f_left, f_right, p_doc, p_key, p_c, p_left, p_right):
-    """Links of windows to the first window of their signature, and to the one before them.
-
-    Texts that hold a passage may have different first windows for its signatures, but the
-    text before one of them in the order tends to be the same. The second link is left out
-    where the window before looks like the first one. Returns places, and whether the link is
-    a second one.
-    """
-    first = (doc != f_doc) | (key != f_key)
-    like = (p_c - p_left == f_c - f_left) & (p_right - p_c == f_right - f_c)
-    second = first & ((p_doc != f_doc) | (p_key != f_key)) & ((p_doc != doc) | (p_key != key)) & ~like
-    at = np.concatenate([np.flatnonzero(first), np.flatnonzero(second)])
-    return at, np.arange(len(at)) >= first.sum()
+    def seeds(self, column: pa.Array) -> tuple[np.ndarray, ...]:
+        """``row, c, signature, context`` of longer shingles, one at least in every run of ``RUN`` words."""
+        out = []
+        for a, b in pieces(text_ends(column), STEP_BYTES):
+            short, first, words = shingle_hashes(column.slice(a, b - a), 1)
+            h, _, _ = shingle_hashes(column.slice(a, b - a), RUN_SHINGLE)
+            row, c, _, _, value = thinned(*compact_windows(h, first, RUN - RUN_SHINGLE + 1), RUN - RUN_SHINGLE + 1)
+            low, high = np.maximum(c - 2 * self.width, 0), np.minimum(c + RUN_SHINGLE + 2 * self.width, words.counts[row])
+            same = run_hashes(short, first[row] + low, first[row] + high) ^ mix((c - low).astype(np.uint64))
+            out.append((row + a, c, value, same))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
+
+
+def parts_of(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bits of the window and those of its context."""
+    return sign >> CONTEXT_BITS, sign & ((1 << CONTEXT_BITS) - 1)
+
+
+def copies(sign, context, doc, key) -> tuple[np.ndarray, np.ndarray]:
+    """For rows in the order of their texts: the first row of the same signature and context, and whether it is of another text."""
+    order = np.lexsort((np.arange(len(sign)), context, sign))
+    new = _group(sign[order], context[order])
+    lead = np.empty(len(order), np.int64)
+    lead[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return lead, (doc != doc[lead]) | (key != key[lead])
+
+
+class Linker:
+    """Links the windows of each signature as they come, by signature, document and place; holds a bounded number of them."""
+
+    def __init__(self, finder: Finder) -> None:
+        self.finder = finder
+        self.carried: list[np.ndarray] | None = None
+
+    def links(self, sign, context, doc, key, k, c, left, right) -> Iterator[dict]:
+        number = np.zeros(len(sign), np.int64)
+        rows, old = [sign, context, doc, key, k, c, left, right, number], 0
+        if self.carried is not None and self.carried[0][-1] == sign[0]:
+            old = len(self.carried[0])
+            rows = [np.concatenate([v, w]) for v, w in zip(self.carried, rows, strict=True)]
+        sign, context, doc, key, k, c, left, right, number = rows
+        fresh = np.arange(len(sign)) >= old
+        lead, copy = copies(sign, context, doc, key)
+        x = np.flatnonzero(copy & fresh)
+        low, high = self.finder.around(c[x], left[x], right[x])
+        a = lead[x]
+        yield {"x": (doc[x], key[x]), "a": (doc[a], key[a]), "k": k[x] + COPY, "xc": c[x], "xl": low, "xr": high, "ac": c[a], "al": c[a] - (c[x] - low), "ar": c[a] + (high - c[x])}
+        # Copies are done with; the others are numbered within their signature, after those carried.
+        item = np.flatnonzero(~(copy & fresh))
+        sign, context, doc, key, k, c, left, right, number, fresh = (v[item] for v in (*rows, fresh))
+        new = _group(sign)
+        begin = np.flatnonzero(new)[np.cumsum(new) - 1]
+        kept = int((~fresh).sum())
+        place = np.arange(len(sign))
+        number = np.where(fresh, place - begin, number)
+        if kept:
+            ahead = fresh & (begin == 0)
+            number[ahead] = number[kept - 1] + 1 + place[ahead] - kept
+        at, to = [], []
+        for lag in range(1, NEAREST + 1):
+            i = np.flatnonzero(fresh & (place - begin >= lag))
+            j = i - lag
+            good = number[i] - number[j] == lag
+            at.append(i[good])
+            to.append(j[good])
+        many = fresh & (number > NEAREST)
+        at.append(np.flatnonzero(many))
+        to.append(begin[many])
+        x, a = np.concatenate(at), np.concatenate(to)
+        good = (doc[x] != doc[a]) | (key[x] != key[a])
+        x, a = x[good], a[good]
+        yield {"x": (doc[x], key[x]), "a": (doc[a], key[a]), "k": k[x], "xc": c[x], "xl": left[x], "xr": right[x], "ac": c[a], "al": left[a], "ar": right[a]}
+        # With the first window that is one too many, those before it are named, too.
+        turn = np.flatnonzero(many & (number == NEAREST + 1))
+        x = np.concatenate([np.flatnonzero(many), (turn[:, None] - np.arange(1, NEAREST + 2)).ravel()])
+        yield {"x": (doc[x], key[x]), "k": np.full(len(x), REST), "xc": c[x], "a_doc": sign[x]}
+        last = np.flatnonzero(sign == sign[-1])
+        last = np.append(last[:1], last[1:][-CARRIED:])
+        self.carried = [v[last] for v in (sign, context, doc, key, k, c, left, right, number)]
 
 
 _NONE = np.iinfo(np.int64).max
@@ -308,18 +400,6 @@ def _back(ids: np.ndarray) -> pa.Array:
     return pa.array(ids, mask=ids == _NONE)
 
 
-def _shingle_rows(column: pa.Array, rows: np.ndarray, shingle: int):
-    """Shingle hashes of some rows, as a function from row to array."""
-    wanted = np.unique(rows)
-    h, first, _ = shingle_hashes(column.take(pa.array(wanted)), shingle)
-
-    def of(row: int) -> np.ndarray:
-        i = int(np.searchsorted(wanted, row))
-        return h[first[i] : first[i + 1]]
-
-    return of
-
-
 def find_passages(docs: DataFrame, **parameters) -> DataFrame:
     """``doc_id, text_key, start, length, source_id, source_key, source_start, similarity``.
 
@@ -331,115 +411,178 @@ def find_passages(docs: DataFrame, **parameters) -> DataFrame:
     document are left. NULL texts and texts shorter than a passage give no rows, as do empty
     tables; other columns are not read.
 
-    Two shuffles carry windows and links, and one the texts.
+    Every window that differs from those of its signature in the words around it is linked to all of them, or if they are many and
+    no passage found with the nearest ones holds it, to all that have a run of words in common with it. A passage has at least one
+    source, the first of those that are copies of each other; further ones are given as far as they were compared.
+
+    Two shuffles carry windows and links, and one the texts; texts with windows of many others are read once more.
     """
     finder = Finder(**parameters)
     narrow = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string"))
 
-    # 1. Windows; passages between rows of one run of rows are found and compared at once.
+    # 1. Windows; copies within one run of rows are linked at once, and the first of them goes on.
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", TOGETHER_BYTES)):
-            text = batch.column("text")
             doc, key = _ids(batch.column("doc_id")), batch.column("text_key").to_numpy(zero_copy_only=False)
-            found = finder.windows(text)
+            found = finder.windows(batch.column("text"))
             if not found or not len(found[0]):
                 continue
-            row, k, c, left, right, sign = found
-            lead, x, a = finder.first_and_links(doc[row], key[row], k, c, left, right, sign)
-            good = []
+            order = np.lexsort((found[2], key[found[0]], doc[found[0]]))
+            row, k, c, left, right, sign = (v[order] for v in found)
+            doc, key = doc[row], key[row]
+            lead, copy = copies(*parts_of(sign), doc, key)
+            low, high = finder.around(c, left, right)
+            kept = np.flatnonzero(~copy)
+            yield _table(WINDOW, sign=sign[kept], x_doc=_back(doc[kept]), x_key=key[kept], k=k[kept], xc=c[kept], xl=left[kept], xr=right[kept])
+            x, a = np.flatnonzero(copy), lead[copy]
             if len(x):
-                pair, at = _number(row[a], row[x])
-                p, xs, xe, as_, ae = passages(pair, k[x], c[x], left[x], right[x], c[a], left[a], right[a], finder.width, finder.enough, finder.shift)
-                u, v = row[x[at]][p], row[a[at]][p]
-                shingles = _shingle_rows(text, np.concatenate([u, v]), finder.shingle)
-                good = [
-                    (i, xs[i] + s, e - s + finder.shingle - 1, as_[i] + b, score)
-                    for i in range(len(p))
-                    for s, e, b, score in verify(shingles(u[i])[xs[i] : xe[i]], shingles(v[i])[as_[i] : ae[i]], finder.width, finder.similarity)
-                ]
-            if good:
-                i, start, words, source, score = (np.array(z) for z in zip(*good, strict=True))
-                u, v = u[i], v[i]
-                yield _table(
-                    WINDOW, sign=mix(key[u].view(np.uint64)).view(np.int64), x_doc=_back(doc[u]), x_key=key[u], a_doc=_back(doc[v]), a_key=key[v],
-                    k=np.full(len(i), -1), xc=start, xl=words, ac=source, similarity=score,
-                )
-                done = _covered(row, c, right, u, start, words - finder.shingle + 1)
-            else:
-                done = np.zeros(len(row), bool)
-            # What lies in a passage found here has been dealt with; the rest is for others to meet.
-            x = np.unique(x)
-            sent = np.sort(np.concatenate([lead, x[~done[x]]]))
-            yield _table(WINDOW, sign=sign[sent].view(np.int64), x_doc=_back(doc[row[sent]]), x_key=key[row[sent]], k=k[sent], xc=c[sent], xl=left[sent], xr=right[sent])
-
-    # 2. One signature's windows from different tasks meet, and are linked to the first.
+                # Partitioned by the text instead, so that a signature of many copies does not fill one task.
+                yield _table(WINDOW, sign=key[x], x_doc=_back(doc[x]), x_key=key[x], a_doc=_back(doc[a]), a_key=key[a], k=k[x] + COPY, xc=c[x], xl=low[x], xr=high[x], ac=c[a])
+
+    # 2. One signature's windows from different tasks meet, and are linked.
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = None  # the signature of the batch before, its first window and its last one
+        linker = Linker(finder)
         for batch in batches:
-            done = pc.less(batch.column("k"), 0)
+            done = pc.is_valid(batch.column("a_key"))
             if pc.any(done).as_py():
                 part = batch.filter(done)
-                yield _table(LINK, **{n: part.column(n) for n in ("x_doc", "x_key", "a_doc", "a_key", "k", "xc", "xl", "ac", "similarity")})
+                xc, xl, xr, ac = (part.column(n).to_numpy() for n in ("xc", "xl", "xr", "ac"))
+                yield _table(LINK, **{n: part.column(n) for n in (*PAIR_KEYS, "k", "xc", "xl", "xr", "ac")}, al=ac - (xc - xl), ar=ac + (xr - xc))
                 batch = batch.filter(pc.invert(done))
             if not len(batch):
                 continue
-            sign = batch.column("sign").to_numpy(zero_copy_only=False)
             doc, key = _ids(batch.column("x_doc")), batch.column("x_key").to_numpy(zero_copy_only=False)
-            k, c, left, right = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("k", "xc", "xl", "xr"))
-            new = _group(sign)
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            own = (doc, key, c, left, right)
-            firsts, befores = [v[lead] for v in own], [np.where(new, v, np.roll(v, 1)) for v in own]
-            if carried is not None and carried[0] == sign[0]:
-                for v, w, first, last in zip(firsts, befores, *carried[1:], strict=True):
-                    v[lead == 0] = first
-                    w[0] = last
-            carried = (sign[-1], [v[-1] for v in firsts], [v[-1] for v in own])
-            x, second = linked_to(*own, *firsts, *befores)
-            if len(x):
-                adoc, akey, ac, al, ar = (np.where(second, w[x], v[x]) for v, w in zip(firsts, befores, strict=True))
-                yield _table(LINK, x_doc=_back(doc[x]), x_key=key[x], a_doc=_back(adoc), a_key=akey, k=k[x], xc=c[x], xl=left[x], xr=right[x], ac=ac, al=al, ar=ar)
+            sign, *rest = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("sign", "k", "xc", "xl", "xr"))
+            for found in linker.links(*parts_of(sign), doc, key, *rest):
+                (x_doc, x_key), (a_doc, a_key) = found.pop("x"), found.pop("a", (None, None))
+                if len(x_doc):
+                    sources = {} if a_key is None else {"a_doc": _back(a_doc), "a_key": a_key}
+                    yield _table(LINK, x_doc=_back(x_doc), x_key=x_key, **sources, **found)
 
     links = (
         narrow.mapInArrow(made, WINDOW)
-        .repartition("sign")
-        .sortWithinPartitions("sign", F.col("x_doc").asc_nulls_last(), "x_key", "xc")
+        .repartition(F.shiftright("sign", CONTEXT_BITS))
+        .sortWithinPartitions(F.shiftright("sign", CONTEXT_BITS), F.col("x_doc").asc_nulls_last(), "x_key", "xc")
         .mapInArrow(linked, LINK)
     )
+    found = _candidates(links, finder, finder.enough).checkpoint()
+    first = _compared(found.where("a_key is not null"), narrow, finder).distinct()
+    rest = found.where("a_key is null")
+    if not rest.take(1):
+        return first
+    first = first.checkpoint()
+    return first.union(_compared(_candidates(_rest_links(rest, first, narrow, finder), finder, 1).checkpoint(), narrow, finder)).distinct()
+
+
+def _candidates(links: DataFrame, finder: Finder, enough: int) -> DataFrame:
+    """The links of a pair of texts meet, and give the passages to compare; places of windows that are one of many pass through."""
 
-    # 3. The links of a pair of texts meet, and give the passages to compare.
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _whole_groups(batches, PAIR_KEYS):
-            done = pc.less(batch.column("k"), 0)
-            if pc.any(done).as_py():
-                part = batch.filter(done)
-                yield _table(CANDIDATE, **{n: part.column(n) for n in (*PAIR_KEYS, "similarity")}, xs=part.column("xc"), xe=part.column("xl"), **{"as": part.column("ac")})
-                batch = batch.filter(pc.invert(done))
+            rest = pc.is_null(batch.column("a_key"))
+            if pc.any(rest).as_py():
+                part = batch.filter(rest)
+                yield _table(CANDIDATE, x_doc=part.column("x_doc"), x_key=part.column("x_key"), a_doc=part.column("a_doc"), xs=part.column("xc"))
+                batch = batch.filter(pc.invert(rest))
             if not len(batch):
                 continue
             ids = [_ids(batch.column(n)) for n in PAIR_KEYS]
             pair, at = _number(*ids)
-            rest = [batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("k", "xc", "xl", "xr", "ac", "al", "ar")]
-            p, xs, xe, as_, ae = passages(pair, *rest, finder.width, finder.enough, finder.shift)
+            k, *rest = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("k", "xc", "xl", "xr", "ac", "al", "ar"))
+            # A link between copies counts as many times as is enough.
+            again = np.concatenate([np.arange(len(k)), *[np.flatnonzero(k >= COPY)] * (enough - 1)])
+            lane = np.concatenate([k, *(k[k >= COPY] + i * COPY for i in range(1, enough))])
+            p, xs, xe, as_, ae = passages(pair[again], lane, *(v[again] for v in rest), finder.width, enough, finder.shift)
             if len(p):
                 xd, xk, ad, ak = (v[at][p] for v in ids)
                 # Snapped outwards, the passages that many texts ask of one are few.
                 yield _table(CANDIDATE, x_doc=_back(xd), x_key=xk, a_doc=_back(ad), a_key=ak, xs=xs, xe=xe, **{"as": as_ // 64 * 64, "ae": -(-ae // 64) * 64})
 
-    found = links.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(grouped, CANDIDATE).checkpoint()
-    close = found.where("similarity is not null").select(
-        F.col("x_doc").alias("doc_id"), F.col("x_key").alias("text_key"), F.col("xs").alias("start"), F.col("xe").alias("length"),
-        F.col("a_doc").alias("source_id"), F.col("a_key").alias("source_key"), F.col("as").alias("source_start"), "similarity",
+    return links.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(grouped, CANDIDATE)
+
+
+def _rest_links(rest: DataFrame, first: DataFrame, narrow: DataFrame, finder: Finder) -> DataFrame:
+    """Links of what the passages found so far leave open, to all texts with a run of words in common.
+
+    Of seeds with the same words around them, all are linked to the first; that one is linked to the others of its signature.
+    """
+    reach = 2 * finder.width
+    spans = first.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("spans")).toDF("s_doc", "s_key", "spans")
+    # Only signatures of several texts matter, of which a place is not explained.
+    side = (RUN - finder.shingle) // 2
+    inside = F.exists("spans", lambda p: (p["start"] <= F.greatest(F.col("xs") - side, F.lit(0))) & (p["start"] + p["length"] >= F.col("xs") + finder.shingle + side))
+    order = F.struct(F.coalesce("x_doc", F.lit(_NONE)), "x_key")
+    placed = (
+        rest.join(spans, F.col("x_doc").eqNullSafe(F.col("s_doc")) & (F.col("x_key") == F.col("s_key")), "left")
+        .select("x_doc", "x_key", "xs", F.col("a_doc").alias("sign"), order.alias("order"), (~F.coalesce(inside, F.lit(False))).alias("open"))
     )
+    signs = placed.groupBy("sign").agg(F.max("open").alias("any"), F.min("order").alias("least"), F.max("order").alias("most"))
+    placed = placed.join(signs.where("any and least < most").select("sign"), "sign", "left_semi")
+    places = placed.groupBy("x_doc", "x_key").agg(F.collect_set("xs").alias("places")).checkpoint()
+    asked = places.join(spans, F.col("x_doc").eqNullSafe(F.col("s_doc")) & (F.col("x_key") == F.col("s_key")), "left").select("x_doc", "x_key", "places", "spans")
+    texts = semi_reduce(narrow, "text_key", places, "x_key").join(asked, F.col("doc_id").eqNullSafe(F.col("x_doc")) & (F.col("text_key") == F.col("x_key")))
+
+    def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", STEP_BYTES)):
+            row, c, sign, same = finder.seeds(batch.column("text"))
+            if not len(row):
+                continue
+            _, first, words = shingle_hashes(batch.column("text"), 1)
+            of, flat = _flat(batch.column("places"))
+            at = flat.to_numpy(zero_copy_only=False).astype(np.int64)
+            near = _marked(first, of, at - reach, at + finder.shingle + reach)
+            of, flat = _flat(batch.column("spans"))
+            start, length = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
+            held = np.append(0, np.cumsum(_marked(first, of, start, start + length)))
+            at = first[row] + c
+            wide = np.flatnonzero(near[at])
+            row, c, sign, same, at = (v[wide] for v in (row, c, sign, same, at))
+            yield _table(
+                SEED, sign=sign.view(np.int64), context=same.view(np.int64), doc=_back(_ids(batch.column("doc_id"))[row]), key=batch.column("text_key").take(pa.array(row)),
+                c=c, open=held[at + RUN_SHINGLE] - held[at] < RUN_SHINGLE,
+            )
+
+    order = F.struct(F.coalesce("doc", F.lit(_NONE)).alias("order"), "key")
+    seeds = texts.select("doc_id", "text_key", "text", "places", "spans").mapInArrow(seeded, SEED)
+    # A signature that only one text has, or in which nothing is open, links nothing. The seeds are made twice; to keep them would take more room than the texts.
+    signs = seeds.select("sign", "open", F.xxhash64("doc", "key").alias("text")).groupBy("sign").agg(F.max("open").alias("any"), F.min("text").alias("least"), F.max("text").alias("most"))
+    signs = signs.where("any and least < most").select("sign").checkpoint()
+    seeds = semi_reduce(seeds, "sign", signs, "sign").withColumn("text", order).checkpoint()
+    leads = seeds.groupBy("sign", "context").agg(F.min(F.struct("text", "c", "doc")).alias("a")).toDF("a_sign", "a_context", "a")
+    same = seeds.where("open").join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("context") == F.col("a_context")))
+    copy = same.where("a.text < text").select("text", "doc", "c", "a")
+    # The others are the first of their context, or in the same text as it.
+    other = same.where("a.text = text").select("sign", "text", "doc", "c").join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("a.text") < F.col("text")))
+    pairs = copy.union(other.select("text", "doc", "c", "a"))
+    reached = {"xl": F.greatest(F.col("c") - reach, F.lit(0)), "xr": F.col("c") + reach, "al": F.greatest(F.col("a.c") - reach, F.lit(0)), "ar": F.col("a.c") + reach}
+    return pairs.select(
+        F.col("doc").alias("x_doc"), F.col("text.key").alias("x_key"), F.col("a.doc").alias("a_doc"), F.col("a.text.key").alias("a_key"), F.lit(0).alias("k"),
+        F.col("c").alias("xc"), reached["xl"].alias("xl"), reached["xr"].alias("xr"), F.col("a.c").alias("ac"), reached["al"].alias("al"), reached["ar"].alias("ar"),
+    )
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of each element, and the elements."""
+    return pc.list_parent_indices(lists).to_numpy(zero_copy_only=False), lists.flatten()
+
 
-    # 4. The shingles of those passages are fetched from the texts, and compared.
+def _marked(first: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which words lie in one of the ranges of places within a row."""
+    size = (first[1:] - first[:-1])[row]
+    mark = np.zeros(int(first[-1]) + 1, np.int64)
+    np.add.at(mark, first[row] + np.clip(start, 0, size), 1)
+    np.add.at(mark, first[row] + np.clip(end, 0, size), -1)
+    return np.cumsum(mark)[:-1] > 0
+
+
+def _compared(pending: DataFrame, narrow: DataFrame, finder: Finder) -> DataFrame:
+    """The shingles of passages are fetched from the texts, and compared."""
     candidate = F.struct(*PAIR_KEYS, "xs", "as").alias("candidate")
-    pending = found.where("similarity is null")
     roles = pending.select("x_doc", "x_key", "xs", "xe", candidate, F.lit(True).alias("is_x")).toDF("doc", "key", "s", "e", "candidate", "is_x").union(
         pending.select("a_doc", "a_key", "as", "ae", candidate, F.lit(False))
     )
     wanted = roles.select("doc", "key", "s", "e").distinct().groupBy("doc", "key").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
-    texts = narrow.join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("key")))
+    texts = semi_reduce(narrow, "text_key", wanted, "key").join(wanted, F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("text_key") == F.col("key")))
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -490,27 +633,15 @@ def find_passages(docs: DataFrame, **parameters) -> DataFrame:
                     source_id=part.column("a_doc"), source_key=part.column("a_key"), source_start=source, similarity=score,
                 )
 
-    return close.union(both.mapInArrow(compared, PASSAGE_ROW)).distinct()
+    return both.mapInArrow(compared, PASSAGE_ROW)
 
 
 PAIR_KEYS = ["x_doc", "x_key", "a_doc", "a_key"]
 
 
-def _covered(row, c, right, rows, start, size) -> np.ndarray:
-    """Whether the place of each window lies in one of the passages (row, start, shingles)."""
-    ends = np.zeros(max(int(row.max()), int(rows.max())) + 2, np.int64)
-    np.maximum.at(ends, row + 1, right + 1)
-    np.maximum.at(ends, rows + 1, start + size)
-    base = np.cumsum(ends + 1)
-    mark = np.zeros(int(base[-1]) + 2, np.int64)
-    np.add.at(mark, base[rows] + start, 1)
-    np.add.at(mark, base[rows] + start + size, -1)
-    return np.cumsum(mark)[base[row] + c] > 0
-
-
 def _table(schema: str, **columns) -> pa.RecordBatch:
     """A batch with the columns of a schema string, NULL where none is given."""
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
     n = len(next(iter(columns.values())))
     names, arrays = [], []
     for part in schema.split(", "):

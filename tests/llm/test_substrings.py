@@ -142,3 +142,39 @@ def test_brute_force_on_whole_documents(spark):
         source = words[r.source_id]
         there = {tuple(source[i : i + 5]) for i in range(len(source) - 4)}
         assert len(x) == r.length >= 50 and len(shingles & there) >= 0.8 * len(shingles)
+
+
+def test_no_repeat_is_lost_among_common_lines(spark):
+    """Signatures that many texts share: neither the first holder nor the one before need hold the passage."""
+    rng = random.Random(20)
+    lines = [prose(rng, 8) for _ in range(20)]
+    rows = [[i, " ".join(rng.choice(lines) for _ in range(rng.randint(10, 60)))] for i in range(400)]
+    truth = {}
+    for _ in range(60):
+        x, a = rng.randrange(200, 400), rng.randrange(200)
+        source, words = rows[a][1].split(), rows[x][1].split()
+        at, to = rng.randrange(len(source) - 55), rng.randrange(len(words))
+        words[to:to] = source[at : at + rng.randint(52, 90)]
+        rows[x][1] = " ".join(words)
+    holders: dict[tuple, int] = {}
+    for i, text in rows:
+        words = text.split()
+        for k in range(len(words) - 49):
+            if holders.setdefault(tuple(words[k : k + 50]), i) != i:
+                truth.setdefault(i, set()).update(range(k, k + 50))
+    covered: dict[int, set] = {}
+    for r in find_passages(documents(spark, rows).repartition(5)).collect():
+        assert r.source_id < r.doc_id and r.length >= 50 and r.similarity >= 0.8
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    assert len(truth) > 30 and set(truth) <= set(covered)
+    lost = sum(len(words - covered[i]) for i, words in truth.items())
+    assert lost <= 0.01 * sum(map(len, truth.values()))
+
+
+def test_rows_of_one_word_keep_few_windows(spark):
+    column = pa.array(["a " * 500 + prose(random.Random(3), 100), "a " * 120])
+    row, k, c, left, right, _ = substrings.Finder().windows(column)
+    assert (row == 1).sum() <= 4 * 8 and (row == 0).sum() < 200
+    assert (right - left >= substrings.Finder().width - 1).all()
+    found = find_passages(documents(spark, [(1, "a " * 120), (2, "b c " + "a " * 500)])).collect()
+    assert {w for r in found for w in range(r.start, r.start + r.length)} >= set(range(2, 502))
