@@ -13,7 +13,8 @@ that share its signature if these are few. If they are many, as with a line that
 it is linked to the nearest ones in the order and to the first, and what these do not explain is
 dealt with a second time: a near copy has an unbroken run of 24 words in common with its source,
 so there compact windows over 20-word shingles are made, and every one that no passage found so far holds
-is joined with all that have its signature.
+is joined with all that have its signature. Shingles of one word repeated
+tell too little for that: they are linked to the first such row, and those at its ends take part with the word before and after.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, mix, pieces, run_hashes, run_ranges, slices, text_ends, text_of, whole_row
 from jatoba.operators.joins import semi_reduce
+from jatoba.session import checkpointed, shuffles_removed, staged
 
 SHINGLE = 5
 PASSAGE = 50
@@ -74,10 +76,20 @@ def shingle_hashes(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray
 
     The last ``shingle - 1`` places of a row begin none and hold 0.
     """
+    h, words = word_hashes(column)
+    return shingles_of(h, words, shingle), words.first, words
+
+
+def word_hashes(column: pa.Array) -> tuple[np.ndarray, Words]:
+    """The hash of each word without ASCII case, and the words."""
     data, offsets = batch_bytes(column)
     words = find_words(data, offsets)
     words = Words(_LOWER[data], words.starts, words.ends, words.first)
-    h = hash_words(words)
+    return hash_words(words), words
+
+
+def shingles_of(h: np.ndarray, words: Words, shingle: int) -> np.ndarray:
+    """The hashes of shingles from those of the words, as :func:`shingle_hashes` has them."""
     out = np.zeros(len(h), np.uint64)
     if len(h) >= shingle:
         total = np.zeros(len(h) - shingle + 1, np.uint64)
@@ -87,7 +99,7 @@ def shingle_hashes(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray
     ends = words.first[1:]
     for k in range(1, shingle):
         out[ends[words.counts >= k] - k] = 0
-    return out, words.first, words
+    return out
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -100,6 +112,16 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(out[: len(out) - rest], out[rest:]) if rest else out
 
 
+def smallest(h: np.ndarray, width: int) -> np.ndarray:
+    """The places that have the smallest hash of some run of ``width`` shingles of one row."""
+    if len(h) < width:
+        return np.zeros(0, np.int64)
+    least = _sliding(h, width, np.minimum)
+    # Runs that leave their row or its shingles hold a 0, which is no hash.
+    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
+    return np.flatnonzero((_sliding(padded, width, np.maximum) == h) & (h > 0))
+
+
 def compact_windows(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """``row, c, l, r, value`` of the windows of at least ``width`` shingles; positions within the row.
 
@@ -107,15 +129,9 @@ def compact_windows(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.nd
     shingles if and only if its window is that long, and the places that bound it are so too,
     so the tree is only built over those.
     """
-    empty = np.zeros(0, np.int64)
-    if len(h) < width:
-        return (empty,) * 4 + (np.zeros(0, np.uint64),)
-    least = _sliding(h, width, np.minimum)
-    # Runs that leave their row or its shingles hold a 0, which is no hash.
-    padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-    at = np.flatnonzero((_sliding(padded, width, np.maximum) == h) & (h > 0))
+    at = smallest(h, width)
     if not len(at):
-        return (empty,) * 4 + (np.zeros(0, np.uint64),)
+        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),)
     row = np.searchsorted(first, at, "right") - 1
     left, right = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
     value, place, rows = h[at].tolist(), at.tolist(), row.tolist()
@@ -215,18 +231,30 @@ def verify(x: np.ndarray, a: np.ndarray, width: int, similarity: float) -> list[
     too unlike as a whole, its dense stretches and its long unbroken ones are tried.
     """
     x, a = x[x != 0], a[a != 0]
-    hit = np.flatnonzero(np.isin(x, a))
+    if not len(a):
+        return []
+    # The shingles of ``a`` are numbered, and looked up once for all stretches.
+    order = np.argsort(a, kind="stable")
+    ordered = a[order]
+    new = _group(ordered)
+    number = np.empty(len(a), np.int64)
+    number[order] = np.cumsum(new) - 1
+    low = np.minimum(np.searchsorted(ordered, x), len(a) - 1)
+    known = ordered[low] == x
+    single = known & np.append(new[1:], True)[low]
+    there = (x, a, known, single, order[low], number)
+    hit = np.flatnonzero(known)
     if len(hit) < similarity * width:
         return []
-    found = _alike(x, a, int(hit[0]), int(hit[-1]) + 1, width, similarity)
+    found = _alike(there, int(hit[0]), int(hit[-1]) + 1, width, similarity)
     if not found:
         begin = np.flatnonzero(np.diff(hit, prepend=-2) > 1)
         runs = list(zip(hit[begin].tolist(), (hit[np.append(begin[1:], len(hit)) - 1] + 1).tolist(), strict=True))
         for s, e in _dense(runs, 2 * similarity / (1 - similarity)):
-            found += _alike(x, a, s, e, width, similarity)
+            found += _alike(there, s, e, width, similarity)
         for s, e in runs:
             if e - s >= width and not any(b <= s and e <= f for b, f, *_ in found):
-                found += _alike(x, a, s, e, width, similarity)
+                found += _alike(there, s, e, width, similarity)
     return found
 
 
@@ -246,28 +274,32 @@ def _dense(runs: list[tuple[int, int]], price: float) -> list[tuple[int, int]]:
     return [*out, (start, end)]
 
 
-def _alike(x, a, s, e, width, similarity):
+def _alike(there, s, e, width, similarity):
+    """``there``: both passages, and for each shingle of ``x`` whether ``a`` has it, has it once, and where first; the shingles of ``a`` by number."""
     if e - s < width:
         return []
+    x, a, known, single, first, number = there
+    x, known, first = x[s:e], known[s:e], first[s:e]
     # Where the other passage lies: by shingles that occur once in it, since others do not tell.
-    order = np.argsort(a, kind="stable")
-    low, high = (np.searchsorted(a[order], x[s:e], side) for side in ("left", "right"))
-    once = np.flatnonzero(high - low == 1)
+    once = np.flatnonzero(single[s:e])
     if not len(once):
-        once = np.flatnonzero(high > low)
-    shift = int(np.median(order[low[once]] - once))
-    place = order[low[once]]
+        once = np.flatnonzero(known)
+    place = first[once]
+    apart = np.sort(place - once)
+    shift = int((apart[(len(apart) - 1) // 2] + apart[len(apart) // 2]) / 2)
     near = np.abs(place - once - shift) <= width
     at = np.arange(e - s) + shift
     inside = (at >= 0) & (at < len(a))
-    straight = at[inside][a[at[inside]] == x[s:e][inside]]
-    there = np.concatenate([place[near], straight])
-    if not len(there):
+    straight = at[inside][a[at[inside]] == x[inside]]
+    found = np.concatenate([place[near], straight])
+    if not len(found):
         return []
-    b, f = int(there.min()), int(there.max()) + 1
-    part, other = np.unique(x[s:e]), np.unique(a[b:f])
-    both = len(np.intersect1d(part, other, assume_unique=True))
-    score = both / (len(part) + len(other) - both)
+    b, f = int(found.min()), int(found.max()) + 1
+    part, other = np.zeros(len(a), bool), np.zeros(len(a), bool)
+    part[number[first[known]]] = True
+    other[number[b:f]] = True
+    both = int((part & other).sum())
+    score = both / (int(part.sum()) + len(np.unique(x[~known])) + int(other.sum()) - both)
     return [(s, e, b, score)] if score >= similarity else []
 
 
@@ -308,16 +340,52 @@ class Finder:
         return np.maximum(left, c - self.width), np.minimum(right, c + self.width)
 
     def seeds(self, column: pa.Array) -> tuple[np.ndarray, ...]:
-        """``row, c, signature, context`` of longer shingles, one at least in every run of ``RUN`` words."""
-        out = []
+        """``row, c, signature, context, need`` of longer shingles, one at least in every run of ``RUN`` words, and where each row's words begin.
+
+        ``need``: a shingle of which passages hold as many words is explained; 0 if others are linked to it only.
+
+        Shingles within a row of one word have one context, so all are linked to the first: one such row is as alike to the next as to any.
+        Only a row as long as a passage has to be explained by itself. A shorter one is part of a passage with other words. If those are
+        more than ``RUN - RUN_SHINGLE`` on one side, there are shingles that hold them; if fewer on both, the passage is little more than the row (an
+        unlike word would cost more shingles than are left), and the shingles that reach one word beyond the row's ends are given, too.
+        """
+        out, firsts = [], [np.zeros(1, np.int64)]
+        passage, slack = self.width + self.shingle - 1, RUN - RUN_SHINGLE
         for a, b in pieces(text_ends(column), STEP_BYTES):
-            short, first, words = shingle_hashes(column.slice(a, b - a), 1)
-            h, _, _ = shingle_hashes(column.slice(a, b - a), RUN_SHINGLE)
-            row, c, _, _, value = thinned(*compact_windows(h, first, RUN - RUN_SHINGLE + 1), RUN - RUN_SHINGLE + 1)
-            low, high = np.maximum(c - 2 * self.width, 0), np.minimum(c + RUN_SHINGLE + 2 * self.width, words.counts[row])
-            same = run_hashes(short, first[row] + low, first[row] + high) ^ mix((c - low).astype(np.uint64))
-            out.append((row + a, c, value, same))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 4
+            words_h, words = word_hashes(column.slice(a, b - a))
+            first = words.first
+            firsts.append(first[1:] + firsts[-1][-1])
+            h = shingles_of(words_h, words, RUN_SHINGLE)
+            at = smallest(h, slack + 1)
+            # Rows of one word.
+            new = np.ones(len(words_h) + 1, bool)
+            new[1:-1] = words_h[1:] != words_h[:-1]
+            new[first] = True
+            begin = np.flatnonzero(new)
+            of = np.cumsum(new)[:-1] - 1
+            low, high = begin[:-1], begin[1:]
+            length = high - low
+            same = high[of[at]] - at >= RUN_SHINGLE
+            at = at[~same | ((at - low[of[at]]) % (slack + 1) == 0)]
+            long = np.flatnonzero(length >= RUN_SHINGLE)
+            row = np.searchsorted(first, low[long], "right") - 1
+            before, after = long[low[long] > first[row]], long[high[long] < first[row + 1]]
+            at = np.unique(np.concatenate([at, low[long], high[long] - RUN_SHINGLE]))
+            edge, of_edge = np.append(low[before] - 1, high[after] - RUN_SHINGLE + 1), np.append(before, after)
+            new = np.flatnonzero(~np.isin(edge, at))
+            edge, of_edge = edge[new], of_edge[new]
+            need = np.full(len(at), RUN_SHINGLE)
+            same = high[of[at]] - at >= RUN_SHINGLE
+            need[same & (length[of[at]] < passage)] = 0
+            at, same = np.append(at, edge), np.append(same, np.zeros(len(edge), bool))
+            need = np.append(need, np.where(length[of_edge] < passage - 2 * slack, 0, RUN_SHINGLE - 1))
+            row = np.searchsorted(first, at, "right") - 1
+            c = at - first[row]
+            left, right = np.maximum(c - 2 * self.width, 0), np.minimum(c + RUN_SHINGLE + 2 * self.width, words.counts[row])
+            around = run_hashes(words_h, first[row] + left, first[row] + right) ^ mix((c - left).astype(np.uint64))
+            around[same] = 0
+            out.append((row + a, c, h[at], around, need))
+        return (*(np.concatenate(x) for x in zip(*out, strict=True)), np.concatenate(firsts)) if out else ()
 
 
 def parts_of(sign: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -465,13 +533,13 @@ def find_passages(docs: DataFrame, **parameters) -> DataFrame:
         .sortWithinPartitions(F.shiftright("sign", CONTEXT_BITS), F.col("x_doc").asc_nulls_last(), "x_key", "xc")
         .mapInArrow(linked, LINK)
     )
-    found = _candidates(links, finder, finder.enough).checkpoint()
+    found = checkpointed(_candidates(links, finder, finder.enough))
     first = _compared(found.where("a_key is not null"), narrow, finder).distinct()
     rest = found.where("a_key is null")
     if not rest.take(1):
         return first
-    first = first.checkpoint()
-    return first.union(_compared(_candidates(_rest_links(rest, first, narrow, finder), finder, 1).checkpoint(), narrow, finder)).distinct()
+    first = checkpointed(first)
+    return first.union(_compared(checkpointed(_candidates(_rest_links(rest, first, narrow, finder), finder, 1)), narrow, finder)).distinct()
 
 
 def _candidates(links: DataFrame, finder: Finder, enough: int) -> DataFrame:
@@ -518,16 +586,16 @@ def _rest_links(rest: DataFrame, first: DataFrame, narrow: DataFrame, finder: Fi
     )
     signs = placed.groupBy("sign").agg(F.max("open").alias("any"), F.min("order").alias("least"), F.max("order").alias("most"))
     placed = placed.join(signs.where("any and least < most").select("sign"), "sign", "left_semi")
-    places = placed.groupBy("x_doc", "x_key").agg(F.collect_set("xs").alias("places")).checkpoint()
+    places = checkpointed(placed.groupBy("x_doc", "x_key").agg(F.collect_set("xs").alias("places")))
     asked = places.join(spans, F.col("x_doc").eqNullSafe(F.col("s_doc")) & (F.col("x_key") == F.col("s_key")), "left").select("x_doc", "x_key", "places", "spans")
     texts = semi_reduce(narrow, "text_key", places, "x_key").join(asked, F.col("doc_id").eqNullSafe(F.col("x_doc")) & (F.col("text_key") == F.col("x_key")))
 
     def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "text", STEP_BYTES)):
-            row, c, sign, same = finder.seeds(batch.column("text"))
-            if not len(row):
+            found = finder.seeds(batch.column("text"))
+            if not found or not len(found[0]):
                 continue
-            _, first, words = shingle_hashes(batch.column("text"), 1)
+            row, c, sign, same, need, first = found
             of, flat = _flat(batch.column("places"))
             at = flat.to_numpy(zero_copy_only=False).astype(np.int64)
             near = _marked(first, of, at - reach, at + finder.shingle + reach)
@@ -536,18 +604,19 @@ def _rest_links(rest: DataFrame, first: DataFrame, narrow: DataFrame, finder: Fi
             held = np.append(0, np.cumsum(_marked(first, of, start, start + length)))
             at = first[row] + c
             wide = np.flatnonzero(near[at])
-            row, c, sign, same, at = (v[wide] for v in (row, c, sign, same, at))
+            row, c, sign, same, need, at = (v[wide] for v in (row, c, sign, same, need, at))
             yield _table(
                 SEED, sign=sign.view(np.int64), context=same.view(np.int64), doc=_back(_ids(batch.column("doc_id"))[row]), key=batch.column("text_key").take(pa.array(row)),
-                c=c, open=held[at + RUN_SHINGLE] - held[at] < RUN_SHINGLE,
+                c=c, open=held[at + RUN_SHINGLE] - held[at] < need,
             )
 
     order = F.struct(F.coalesce("doc", F.lit(_NONE)).alias("order"), "key")
-    seeds = texts.select("doc_id", "text_key", "text", "places", "spans").mapInArrow(seeded, SEED)
-    # A signature that only one text has, or in which nothing is open, links nothing. The seeds are made twice; to keep them would take more room than the texts.
-    signs = seeds.select("sign", "open", F.xxhash64("doc", "key").alias("text")).groupBy("sign").agg(F.max("open").alias("any"), F.min("text").alias("least"), F.max("text").alias("most"))
-    signs = signs.where("any and least < most").select("sign").checkpoint()
-    seeds = semi_reduce(seeds, "sign", signs, "sign").withColumn("text", order).checkpoint()
+    made = texts.select("doc_id", "text_key", "text", "places", "spans").mapInArrow(seeded, SEED)
+    with shuffles_removed(made.sparkSession), staged(made, "seeds") as seeds:
+        # A signature that only one text has, or in which nothing is open, links nothing.
+        signs = seeds.select("sign", "open", F.xxhash64("doc", "key").alias("text")).groupBy("sign").agg(F.max("open").alias("any"), F.min("text").alias("least"), F.max("text").alias("most"))
+        signs = checkpointed(signs.where("any and least < most").select("sign"))
+        seeds = checkpointed(semi_reduce(seeds, "sign", signs, "sign").withColumn("text", order))
     leads = seeds.groupBy("sign", "context").agg(F.min(F.struct("text", "c", "doc")).alias("a")).toDF("a_sign", "a_context", "a")
     same = seeds.where("open").join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("context") == F.col("a_context")))
     copy = same.where("a.text < text").select("text", "doc", "c", "a")

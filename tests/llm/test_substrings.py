@@ -178,3 +178,26 @@ def test_rows_of_one_word_keep_few_windows(spark):
     assert (right - left >= substrings.Finder().width - 1).all()
     found = find_passages(documents(spark, [(1, "a " * 120), (2, "b c " + "a " * 500)])).collect()
     assert {w for r in found for w in range(r.start, r.start + r.length)} >= set(range(2, 502))
+
+
+def test_rows_of_one_word_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(21)
+    rows = [(i, "".join(f"{prose(rng, 40)} {f'{w} ' * rng.randint(26, 41)}" for w in "abcdefghij")) for i in range(60)]
+    made, real = [], substrings._rest_links
+    monkeypatch.setattr(substrings, "_rest_links", lambda *given: made.append(real(*given)) or made[-1])
+    assert find_passages(documents(spark, rows)).collect() == []
+    assert made and made[0].count() <= len(rows)
+
+
+def test_passages_that_are_little_more_than_a_row_of_one_word(spark):
+    rng = random.Random(22)
+    rows = [(i, f"{prose(rng, 60)} {'a ' * rng.randint(26, 41)}{prose(rng, 60)}") for i in range(60)]
+    before, after = prose(rng, 4), prose(rng, 4)
+    rows += [(100 + i, f"{prose(rng, 30 + i)} {before} {'a ' * 44}{after} {prose(rng, 50)}") for i in range(3)]
+    rows += [(200 + i, f"{prose(rng, 40 + i)} {'a ' * (60 + i)}{prose(rng, 50)}") for i in range(3)]
+    covered: dict[int, set] = {}
+    for r in find_passages(documents(spark, rows)).collect():
+        covered.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    assert set(covered) - {200} == {101, 102, 201, 202}  # the first long row has shorter ones before it only
+    assert all(set(range(30 + i, 82 + i)) <= covered[100 + i] for i in (1, 2))
+    assert all(set(range(40 + i, 100 + 2 * i)) <= covered[200 + i] for i in (1, 2))
