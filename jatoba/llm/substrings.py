@@ -13,8 +13,8 @@ that share its signature if these are few. If they are many, as with a line that
 it is linked to the nearest ones in the order and to the first, and what these do not explain is
 dealt with a second time: a near copy has an unbroken run of 24 words in common with its source,
 so there compact windows over 20-word shingles are made, and every one that no passage found so far holds
-is joined with all that have its signature. Shingles of one word repeated
-tell too little for that: they are linked to the first such row, and those at its ends take part with the word before and after.
+is joined with all that have its signature. Shingles within a row of one word,
+or of a few that repeat, tell too little for that: they are linked to the first such row, and those at its ends take part with the word before and after.
 """
 
 from __future__ import annotations
@@ -50,6 +50,8 @@ CARRIED = 1 << 16
 RUN = 24
 """Words of the unbroken run that passages have in common: of 46 shingles and more, at a similarity of 0.8, each break costs eight."""
 RUN_SHINGLE = 20
+PERIOD = 4
+"""Words that repeat in a row of them, at most: with the ``RUN - RUN_SHINGLE`` words on either side, such a row has too few shingles to be alike but for a word."""
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -122,6 +124,23 @@ def smallest(h: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero((_sliding(padded, width, np.maximum) == h) & (h > 0))
 
 
+def repeats(h: np.ndarray, first: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Begins and ends of the rows of at least ``least`` words in which every word is that of ``step`` words before, by ascending step; each row once."""
+    known = np.zeros(len(h), bool)
+    for step in range(1, PERIOD + 1):
+        again = np.zeros(len(h) + 1, np.int8)
+        again[step:-1] = h[step:] == h[:-step] if len(h) > step else 0
+        for k in range(step):  # the first words of a text have none before them
+            again[first[:-1][np.diff(first) > k] + k] = 0
+        edge = np.diff(again, prepend=0)
+        low, high = np.flatnonzero(edge == 1) - step, np.flatnonzero(edge == -1)
+        long = high - low >= least
+        low, high = low[long], high[long]
+        new = ~known[low]
+        known[low] = True
+        yield low[new], high[new], step
+
+
 def compact_windows(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """``row, c, l, r, value`` of the windows of at least ``width`` shingles; positions within the row.
 
@@ -344,7 +363,7 @@ class Finder:
 
         ``need``: a shingle of which passages hold as many words is explained; 0 if others are linked to it only.
 
-        Shingles within a row of one word have one context, so all are linked to the first: one such row is as alike to the next as to any.
+        Shingles within a row of up to ``PERIOD`` words that repeat have one context, so all are linked to the first: one such row is as alike to the next as to any.
         Only a row as long as a passage has to be explained by itself. A shorter one is part of a passage with other words. If those are
         more than ``RUN - RUN_SHINGLE`` on one side, there are shingles that hold them; if fewer on both, the passage is little more than the row (an
         unlike word would cost more shingles than are left), and the shingles that reach one word beyond the row's ends are given, too.
@@ -357,28 +376,32 @@ class Finder:
             firsts.append(first[1:] + firsts[-1][-1])
             h = shingles_of(words_h, words, RUN_SHINGLE)
             at = smallest(h, slack + 1)
-            # Rows of one word.
-            new = np.ones(len(words_h) + 1, bool)
-            new[1:-1] = words_h[1:] != words_h[:-1]
-            new[first] = True
-            begin = np.flatnonzero(new)
-            of = np.cumsum(new)[:-1] - 1
-            low, high = begin[:-1], begin[1:]
-            length = high - low
-            same = high[of[at]] - at >= RUN_SHINGLE
-            at = at[~same | ((at - low[of[at]]) % (slack + 1) == 0)]
-            long = np.flatnonzero(length >= RUN_SHINGLE)
-            row = np.searchsorted(first, low[long], "right") - 1
-            before, after = long[low[long] > first[row]], long[high[long] < first[row + 1]]
-            at = np.unique(np.concatenate([at, low[long], high[long] - RUN_SHINGLE]))
-            edge, of_edge = np.append(low[before] - 1, high[after] - RUN_SHINGLE + 1), np.append(before, after)
-            new = np.flatnonzero(~np.isin(edge, at))
-            edge, of_edge = edge[new], of_edge[new]
             need = np.full(len(at), RUN_SHINGLE)
-            same = high[of[at]] - at >= RUN_SHINGLE
-            need[same & (length[of[at]] < passage)] = 0
-            at, same = np.append(at, edge), np.append(same, np.zeros(len(edge), bool))
-            need = np.append(need, np.where(length[of_edge] < passage - 2 * slack, 0, RUN_SHINGLE - 1))
+            same, more, more_need = np.zeros(len(at), bool), [], []
+            for low, high, step in repeats(words_h, first, RUN_SHINGLE):
+                of = np.searchsorted(low, at, "right") - 1
+                inside = np.flatnonzero(of >= 0)
+                inside = inside[(at[inside] + RUN_SHINGLE <= high[of[inside]]) & ~same[inside]]
+                same[inside] = True
+                # Of the places within a row, the first, the last and some between; of a short one, for others to be linked to.
+                of = of[inside]
+                new = _group(of)
+                turn = np.arange(len(of)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(of) else of
+                stays = (turn % (slack // step + 1) == 0) | np.append(new[1:], True)[: len(of)]
+                need[inside] = np.where(~stays, -1, np.where(high[of] - low[of] < passage, 0, RUN_SHINGLE))
+                row = np.searchsorted(first, low, "right") - 1
+                before, after = np.flatnonzero(low > first[row]), np.flatnonzero(high < first[row + 1])
+                ends = np.append(before, after)
+                more.append(np.append(low[before] - 1, high[after] - RUN_SHINGLE + 1))
+                more_need.append(np.where((high - low)[ends] < passage - 2 * slack, 0, RUN_SHINGLE - 1))
+            stays = need >= 0
+            at, need, same = at[stays], need[stays], same[stays]
+            more, more_need = np.concatenate(more), np.concatenate(more_need)
+            order = np.lexsort((-more_need, more))
+            order = order[_group(more[order])]
+            order = order[~np.isin(more[order], at)]
+            at, need = np.append(at, more[order]), np.append(need, more_need[order])
+            same = np.append(same, np.zeros(len(order), bool))
             row = np.searchsorted(first, at, "right") - 1
             c = at - first[row]
             left, right = np.maximum(c - 2 * self.width, 0), np.minimum(c + RUN_SHINGLE + 2 * self.width, words.counts[row])
