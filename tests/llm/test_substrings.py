@@ -182,7 +182,7 @@ def test_rows_of_one_word_keep_few_windows(spark):
 
 def test_rows_of_one_word_are_not_all_paired(spark, monkeypatch):
     rng = random.Random(21)
-    rows = [(i, "".join(f"{prose(rng, 40)} {f'{w} ' * rng.randint(26, 41)}" for w in ("a", "b", "c", "d", "e", "f g", "h i", "j k l"))) for i in range(60)]
+    rows = [(i, "".join(f"{prose(rng, 40)} {f'{w} ' * (rng.randint(26, 41) // len(w.split()))}" for w in ("a", "b", "c", "d", "e", "f g", "h i", "j k l"))) for i in range(60)]
     made, real = [], substrings._rest_links
     monkeypatch.setattr(substrings, "_rest_links", lambda *given, **named: made.append(real(*given, **named)) or made[-1])
     assert find_passages(documents(spark, rows)).collect() == []
