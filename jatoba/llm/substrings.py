@@ -13,12 +13,14 @@ that share its signature if these are few. If they are many, as with a line that
 it is linked to the nearest ones in the order and to the first, and what these do not explain is
 dealt with a second time: a near copy has an unbroken run of 24 words in common with its source,
 so there compact windows over 20-word shingles are made, and every one that no passage found so far holds
-is joined with all that have its signature. Shingles within a row of one word,
+is compared with all that have its signature, in blocks inside the tasks: what leaves a task are the
+sources that reach furthest before and behind it, no pairs. Shingles within a row of one word,
 or of a few that repeat, tell too little for that: they are linked to the first such row, and those at its ends take part with the word before and after.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, mix, pieces, run_hashes, run_ranges, slices, text_ends, text_of, whole_row
+from jatoba.llm.text import Words, batch_bytes, find_words, hash_words, mix, pieces, released, run_hashes, run_ranges, slices, text_ends, text_of, whole_row
 from jatoba.operators.joins import semi_reduce
 from jatoba.session import checkpointed, shuffles_removed, staged
 
@@ -50,6 +52,14 @@ CARRIED = 1 << 16
 RUN = 24
 """Words of the unbroken run that passages have in common: of 46 shingles and more, at a similarity of 0.8, each break costs eight."""
 RUN_SHINGLE = 20
+MEMBERS = 4096
+"""Longer shingles of a signature that a task compares with as many at a time."""
+SLOTS = 2048
+"""Places of a table that tells which shingles stand around a longer one; some are told wrongly to be there, none not to be."""
+PAIRS = 1 << 14
+"""Pairs of longer shingles whose surroundings are compared in one go."""
+SLACK = 0.05
+"""How much less alike the stretches of the shortest length may be than a passage that is longer, before the passages are compared."""
 PERIOD = 4
 """Words that repeat in a row of them, at most: with the ``RUN - RUN_SHINGLE`` words on either side, such a row has too few shingles to be alike but for a word."""
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -70,6 +80,9 @@ CANDIDATE = f"{PAIR}, xs int, xe int, as int, ae int"
 """Passages to compare, or without an ``a_key`` the place of a window that is one of many, with its signature as ``a_doc``."""
 SEED = "sign long, context long, doc long, key long, c int, open boolean"
 """A longer shingle, and whether no passage found so far holds it."""
+SOURCE = f"{PAIR}, xc int, ac int"
+AROUND = "sign long, tile int, doc long, key long, c int, asks boolean, answers boolean, words binary"
+"""A longer shingle with the words around it; whether it asks for sources in its tile, and whether it is one for others."""
 PASSAGE_ROW = "doc_id long, text_key long, start int, length int, source_id long, source_key long, source_start int, similarity double"
 
 
@@ -265,12 +278,14 @@ def verify(x: np.ndarray, a: np.ndarray, width: int, similarity: float) -> list[
     hit = np.flatnonzero(known)
     if len(hit) < similarity * width:
         return []
-    found = _alike(there, int(hit[0]), int(hit[-1]) + 1, width, similarity)
+    whole = (int(hit[0]), int(hit[-1]) + 1)
+    found = _alike(there, *whole, width, similarity)
     if not found:
         begin = np.flatnonzero(np.diff(hit, prepend=-2) > 1)
         runs = list(zip(hit[begin].tolist(), (hit[np.append(begin[1:], len(hit)) - 1] + 1).tolist(), strict=True))
         for s, e in _dense(runs, 2 * similarity / (1 - similarity)):
-            found += _alike(there, s, e, width, similarity)
+            if (s, e) != whole:
+                found += _alike(there, s, e, width, similarity)
         for s, e in runs:
             if e - s >= width and not any(b <= s and e <= f for b, f, *_ in found):
                 found += _alike(there, s, e, width, similarity)
@@ -278,19 +293,19 @@ def verify(x: np.ndarray, a: np.ndarray, width: int, similarity: float) -> list[
 
 
 def _dense(runs: list[tuple[int, int]], price: float) -> list[tuple[int, int]]:
-    """Stretches from run to run in which a gap's length times ``price`` is always outweighed by the runs before it."""
-    out, (start, last), end = [], runs[0], runs[0][1]
-    score = best = last - start
-    for s, e in runs[1:]:
-        score -= price * (s - last)
-        if score <= 0:
-            out.append((start, end))
-            start, score, best = s, 0, 0
-        score += e - s
-        last = e
-        if score >= best:
-            best, end = score, e
-    return [*out, (start, end)]
+    """The longest stretches from run to run whose gaps, times ``price``, are outweighed by their runs; none lies in another."""
+    begin, end = np.array(runs).T
+    known = np.cumsum(end - begin)
+    up, down = (1 + price) * known - price * end, (1 + price) * (known - (end - begin)) - price * begin
+    # The last end that outweighs a begin, among the ends from it on: its own at least.
+    most = np.maximum.accumulate(up[::-1])[::-1]
+    last = len(runs) - 1 - np.searchsorted(most[::-1], down - 1e-6)
+    out, reached = [], -1
+    for i, j in enumerate(last.tolist()):
+        if j > reached:
+            out.append((int(begin[i]), int(end[j])))
+            reached = j
+    return out
 
 
 def _alike(there, s, e, width, similarity):
@@ -299,6 +314,9 @@ def _alike(there, s, e, width, similarity):
         return []
     x, a, known, single, first, number = there
     x, known, first = x[s:e], known[s:e], first[s:e]
+    unlike = len(set(x[~known].tolist()))
+    if np.count_nonzero(known) < similarity * (np.count_nonzero(known) + unlike):
+        return []
     # Where the other passage lies: by shingles that occur once in it, since others do not tell.
     once = np.flatnonzero(single[s:e])
     if not len(once):
@@ -318,7 +336,7 @@ def _alike(there, s, e, width, similarity):
     part[number[first[known]]] = True
     other[number[b:f]] = True
     both = int((part & other).sum())
-    score = both / (int(part.sum()) + len(np.unique(x[~known])) + int(other.sum()) - both)
+    score = both / (int(part.sum()) + unlike + int(other.sum()) - both)
     return [(s, e, b, score)] if score >= similarity else []
 
 
@@ -336,7 +354,7 @@ class Finder:
 
     def __init__(self, shingle=SHINGLE, passage=PASSAGE, similarity=SIMILARITY, hashes=HASHES, enough=ENOUGH):
         self.shingle, self.similarity, self.hashes, self.enough = shingle, similarity, hashes, enough
-        self.width = passage - shingle + 1
+        self.passage, self.width = passage, passage - shingle + 1
         self.shift = max(1, self.width // 4)
 
     def windows(self, column: pa.Array) -> tuple[np.ndarray, ...]:
@@ -551,10 +569,10 @@ def find_passages(docs: DataFrame, **parameters) -> DataFrame:
                     yield _table(LINK, x_doc=_back(x_doc), x_key=x_key, **sources, **found)
 
     links = (
-        narrow.mapInArrow(made, WINDOW)
+        narrow.mapInArrow(released(made), WINDOW)
         .repartition(F.shiftright("sign", CONTEXT_BITS))
         .sortWithinPartitions(F.shiftright("sign", CONTEXT_BITS), F.col("x_doc").asc_nulls_last(), "x_key", "xc")
-        .mapInArrow(linked, LINK)
+        .mapInArrow(released(linked), LINK)
     )
     found = checkpointed(_candidates(links, finder, finder.enough))
     first = _compared(found.where("a_key is not null"), narrow, finder).distinct()
@@ -589,13 +607,14 @@ def _candidates(links: DataFrame, finder: Finder, enough: int) -> DataFrame:
                 # Snapped outwards, the passages that many texts ask of one are few.
                 yield _table(CANDIDATE, x_doc=_back(xd), x_key=xk, a_doc=_back(ad), a_key=ak, xs=xs, xe=xe, **{"as": as_ // 64 * 64, "ae": -(-ae // 64) * 64})
 
-    return links.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(grouped, CANDIDATE)
+    return links.repartition(*PAIR_KEYS).sortWithinPartitions(*PAIR_KEYS).mapInArrow(released(grouped), CANDIDATE)
 
 
 def _rest_links(rest: DataFrame, first: DataFrame, narrow: DataFrame, finder: Finder) -> DataFrame:
-    """Links of what the passages found so far leave open, to all texts with a run of words in common.
+    """Links of what the passages found so far leave open, to texts with a run of words in common.
 
-    Of seeds with the same words around them, all are linked to the first; that one is linked to the others of its signature.
+    Of seeds with the same words around them, all are linked to the first; that one is compared with the others of its signature,
+    and linked to the sources whose passages reach furthest.
     """
     reach = 2 * finder.width
     spans = first.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("spans")).toDF("s_doc", "s_key", "spans")
@@ -634,23 +653,181 @@ def _rest_links(rest: DataFrame, first: DataFrame, narrow: DataFrame, finder: Fi
             )
 
     order = F.struct(F.coalesce("doc", F.lit(_NONE)).alias("order"), "key")
-    made = texts.select("doc_id", "text_key", "text", "places", "spans").mapInArrow(seeded, SEED)
+    made = texts.select("doc_id", "text_key", "text", "places", "spans").mapInArrow(released(seeded), SEED)
     with shuffles_removed(made.sparkSession), staged(made, "seeds") as seeds:
         # A signature that only one text has, or in which nothing is open, links nothing.
         signs = seeds.select("sign", "open", F.xxhash64("doc", "key").alias("text")).groupBy("sign").agg(F.max("open").alias("any"), F.min("text").alias("least"), F.max("text").alias("most"))
         signs = checkpointed(signs.where("any and least < most").select("sign"))
         seeds = checkpointed(semi_reduce(seeds, "sign", signs, "sign").withColumn("text", order))
     leads = seeds.groupBy("sign", "context").agg(F.min(F.struct("text", "c", "doc")).alias("a")).toDF("a_sign", "a_context", "a")
-    same = seeds.where("open").join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("context") == F.col("a_context")))
-    copy = same.where("a.text < text").select("text", "doc", "c", "a")
-    # The others are the first of their context, or in the same text as it.
-    other = same.where("a.text = text").select("sign", "text", "doc", "c").join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("a.text") < F.col("text")))
-    pairs = copy.union(other.select("text", "doc", "c", "a"))
-    reached = {"xl": F.greatest(F.col("c") - reach, F.lit(0)), "xr": F.col("c") + reach, "al": F.greatest(F.col("a.c") - reach, F.lit(0)), "ar": F.col("a.c") + reach}
-    return pairs.select(
-        F.col("doc").alias("x_doc"), F.col("text.key").alias("x_key"), F.col("a.doc").alias("a_doc"), F.col("a.text.key").alias("a_key"), F.lit(0).alias("k"),
-        F.col("c").alias("xc"), reached["xl"].alias("xl"), reached["xr"].alias("xr"), F.col("a.c").alias("ac"), reached["al"].alias("al"), reached["ar"].alias("ar"),
+    same = seeds.join(leads, (F.col("sign") == F.col("a_sign")) & (F.col("context") == F.col("a_context")))
+    copy = same.where("open and a.text < text").select(
+        F.col("doc").alias("x_doc"), F.col("text.key").alias("x_key"), F.col("a.doc").alias("a_doc"), F.col("a.text.key").alias("a_key"),
+        F.col("c").alias("xc"), F.col("a.c").alias("ac"),
     )
+    # The others are the first of their context, or in the same text as it.
+    other = same.where("a.text = text").groupBy("doc", "key").agg(F.collect_set(F.struct("sign", "c", "open")).alias("seeds"))
+    pairs = copy.union(_sources(checkpointed(other.toDF("s_doc", "s_key", "seeds")), narrow, finder).select(copy.columns))
+    reached = {"xl": F.greatest(F.col("xc") - reach, F.lit(0)), "xr": F.col("xc") + reach, "al": F.greatest(F.col("ac") - reach, F.lit(0)), "ar": F.col("ac") + reach}
+    return pairs.select(*PAIR_KEYS, F.lit(0).alias("k"), "xc", reached["xl"].alias("xl"), reached["xr"].alias("xr"), "ac", reached["al"].alias("al"), reached["ar"].alias("ar"))
+
+
+def _sources(asked: DataFrame, narrow: DataFrame, finder: Finder) -> DataFrame:
+    """``x_doc, x_key, a_doc, a_key, xc, ac``: for open seeds, those of earlier texts and the same signature whose surroundings hold the furthest-reaching passages.
+
+    The seeds of a signature meet in one task, more than ``MEMBERS`` of them in tiles of so many that ask and so many that answer.
+    """
+    sizes = asked.select(F.explode("seeds").alias("seed")).groupBy("seed.sign").agg(F.count("*").alias("all"), F.count_if("seed.open").alias("open"))
+    # At most one signature for every MEMBERS seeds.
+    tiles = {r.sign: (-(-r.open // MEMBERS), -(-r.all // MEMBERS)) for r in sizes.where(F.col("all") > MEMBERS).collect()}
+    texts = semi_reduce(narrow, "text_key", asked, "s_key").join(asked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("text_key") == F.col("s_key")))
+    before, size = finder.passage - RUN_SHINGLE, 2 * finder.passage - RUN_SHINGLE
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "text", STEP_BYTES)):
+            h, words = word_hashes(batch.column("text"))
+            of, flat = _flat(batch.column("seeds"))
+            sign, c, is_open = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            doc, key = _ids(batch.column("doc_id"))[of], batch.column("text_key").to_numpy(zero_copy_only=False)[of]
+            short = np.append((h >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0))
+            rows, tile, asks, answers = (np.concatenate(v) for v in zip(*_tiled(sign, doc, key, is_open, tiles), strict=True))
+            for low in range(0, len(rows), MEMBERS):
+                at = rows[low : low + MEMBERS]
+                place = (c[at].astype(np.int64) - before)[:, None] + np.arange(size)
+                inside = (place >= 0) & (place < words.counts[of[at]][:, None])
+                around = short[np.where(inside, place + words.first[of[at]][:, None], len(h))]
+                around = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.arange(0, 4 * size * len(at) + 1, 4 * size, dtype=np.int32)), pa.py_buffer(around)])
+                some = slice(low, low + MEMBERS)
+                yield _table(AROUND, sign=sign[at], tile=tile[some], doc=_back(doc[at]), key=key[at], c=c[at], asks=asks[some], answers=answers[some], words=around)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_groups(batches, ["sign", "tile"]):
+            group = np.cumsum(_group(_ids(whole.column("sign")), _ids(whole.column("tile"))))
+            # Whole groups, some thousand rows at a time.
+            ends = np.searchsorted(group, np.arange(1, group[-1] + 1), "right")
+            for low, high in pieces(ends, MEMBERS):
+                a, b = int(ends[low - 1]) if low else 0, int(ends[high - 1])
+                batch = whole.slice(a, b - a)
+                doc, key = _ids(batch.column("doc")), _ids(batch.column("key"))
+                asks, answers = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("asks", "answers"))
+                words = np.frombuffer(b"".join(batch.column("words").to_pylist()), np.uint32).reshape(len(batch), size)
+                x, y = furthest(finder, group[a:b], doc, key, asks, answers, words)
+                if len(x):
+                    c = batch.column("c").to_numpy(zero_copy_only=False)
+                    yield _table(SOURCE, x_doc=_back(doc[x]), x_key=key[x], a_doc=_back(doc[y]), a_key=key[y], xc=c[x], ac=c[y])
+
+    order = ["sign", "tile", F.col("doc").asc_nulls_last(), "key", "c"]
+    around = texts.select("doc_id", "text_key", "text", "seeds").mapInArrow(released(placed), AROUND)
+    return around.repartition("sign", "tile").sortWithinPartitions(*order).mapInArrow(released(compared), SOURCE)
+
+
+def _tiled(sign, doc, key, is_open, tiles: dict[int, tuple[int, int]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Seeds, the tile of their signature that they go to, and whether they ask and answer there."""
+    many = np.isin(sign, np.fromiter(tiles, np.int64, len(tiles)))
+    one = np.flatnonzero(~many)
+    yield one, np.zeros(len(one), np.int64), is_open[one].astype(bool), np.ones(len(one), bool)
+    lot = mix(doc.view(np.uint64) ^ mix(key.view(np.uint64)))
+    for i in np.flatnonzero(many).tolist():
+        across, down = tiles[int(sign[i])]
+        if is_open[i]:
+            to = int(lot[i] % np.uint64(across)) * down + np.arange(down)
+            yield np.full(down, i), to, np.ones(down, bool), np.zeros(down, bool)
+        to = np.arange(across) * down + int(mix(lot[i : i + 1])[0] % np.uint64(down))
+        yield np.full(across, i), to, np.zeros(across, bool), np.ones(across, bool)
+
+
+def furthest(finder: Finder, group, doc, key, asks, answers, words) -> tuple[np.ndarray, np.ndarray]:
+    """For rows by group and text: rows that ask, and the rows of earlier texts of their group they are linked to.
+
+    ``words`` are those around a seed that the shortest passages with it reach. Of all rows whose passage holds the seed,
+    those are given that reach furthest before and behind it, so that together they cover what any of them covers.
+    """
+    width = finder.width
+    total = np.zeros((len(words), words.shape[1] - finder.shingle + 1), np.uint64)
+    there = np.ones(total.shape, bool)
+    for k in range(finder.shingle):
+        part = words[:, k : k + total.shape[1]]
+        total = total * _ODD + part
+        there &= part > 0
+    shingles = np.where(there, (mix(total) >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0))
+    slot = np.where(there, shingles >> np.uint32(1) & np.uint32(SLOTS - 1), SLOTS).astype(np.int64)
+    table = np.zeros((len(words), SLOTS + 1), bool)
+    table[np.arange(len(words))[:, None], slot] = True
+    table[:, SLOTS] = False
+    # A shingle that a text repeats counts against it once: where each stood before.
+    order = np.argsort(shingles, axis=1, kind="stable")
+    ordered = np.take_along_axis(shingles, order, axis=1)
+    before = np.full(total.shape, -1, np.int16)
+    np.put_along_axis(before, order[:, 1:], np.where((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] > 0), order[:, :-1], -1).astype(np.int16), axis=1)
+    again = before >= 0
+    # The rows that may answer are those before the first of the same text.
+    answer = np.flatnonzero(answers)
+    held = np.append(0, np.cumsum(answers))
+    begin, text = (np.flatnonzero(new)[np.cumsum(new) - 1] for new in (_group(group), _group(group, doc, key)))
+    x = np.flatnonzero(asks & (held[begin] < held[text]))
+    count = held[text[x]] - held[begin[x]]
+    enough = math.ceil(finder.similarity * width - 1e-9)
+    flat, row = table.ravel(), np.arange(len(words)) * (SLOTS + 1)
+    found: tuple[list, list] = ([], [])
+    for a, b in pieces(np.cumsum(count), PAIRS):
+        i = np.repeat(x[a:b], count[a:b])
+        j = answer[run_ranges(held[begin[x[a:b]]], count[a:b])]
+        hit = flat[slot[i] + row[j][:, None]] | again[i]
+        sums = np.zeros((len(i), hit.shape[1] + 1), np.int16)
+        np.cumsum(hit, axis=1, dtype=np.int16, out=sums[:, 1:])
+        good = sums[:, width:] - sums[:, :-width] >= enough
+        some = np.flatnonzero(good.any(axis=1))
+        some = some[_likely(finder, shingles, before, i[some], j[some])]
+        i, j, good = i[some], j[some], good[some]
+        low, high = good.argmax(axis=1), good.shape[1] - 1 - good[:, ::-1].argmax(axis=1)
+        new = np.append(np.flatnonzero(_group(i)), len(i)) if len(i) else np.zeros(1, np.int64)
+        for s, e in zip(new[:-1].tolist(), new[1:].tolist(), strict=True):
+            _chosen(finder, shingles, int(i[s]), j[s:e], low[s:e], high[s:e], found)
+    return np.array(found[0], np.int64), np.array(found[1], np.int64)
+
+
+def _likely(finder: Finder, shingles, before, x, a) -> np.ndarray:
+    """Which pairs have a stretch of the shortest length with few different shingles unlike, also counting those of the other text between what stands in both."""
+    width, good, step = finder.width, np.zeros(len(x), bool), PAIRS // 16
+    for k in range(0, len(x), step):
+        i, j = x[k : k + step], a[k : k + step]
+        mine, other, earlier, earlier_there = shingles[i], shingles[j], before[i], before[j]
+        equal = mine[:, :, None] == other[:, None, :]
+        there, straight = mine > 0, (mine == other) & (mine > 0)
+        hit = equal.any(axis=2) & there
+        unlike, strange = ~hit & there, ~equal.any(axis=1) & (other > 0)
+        # From the first to the last that stands in both.
+        long = hit.shape[1] - hit[:, ::-1].argmax(axis=1) - hit.argmax(axis=1) >= width
+        # Without repeats, a passage ends with what stands in both, so all that lies in between counts.
+        single = ((earlier < 0).all(axis=1) & (earlier_there < 0).all(axis=1))[:, None]
+        for s in range(hit.shape[1] - width + 1):
+            part = slice(s, s + width)
+            new = earlier[:, part] < s
+            alike, gone = (np.count_nonzero(v[:, part] & new, axis=1) for v in (hit, unlike))
+            low = s + straight[:, part].argmax(axis=1)
+            inside = np.logical_or.accumulate(straight[:, part], axis=1) & np.logical_or.accumulate(straight[:, part][:, ::-1], axis=1)[:, ::-1]
+            added = np.count_nonzero(strange[:, part] & (inside | single) & (earlier_there[:, part] < low[:, None]), axis=1)
+            whole = there[:, s] & there[:, s + width - 1] & long
+            good[k : k + step] |= whole & (alike >= (finder.similarity - SLACK) * (alike + gone + added))
+    return good
+
+
+def _chosen(finder: Finder, shingles, x: int, rows, low, high, found) -> None:
+    """Of the rows that may hold a passage, the first that does in the order of either reach."""
+    seen: dict[int, bool] = {}
+    last = -1
+    for order in (np.lexsort((np.arange(len(rows)), low)), np.lexsort((np.arange(len(rows)), -high))):
+        if last >= 0 and high[last] == high[order[0]]:
+            break
+        for n in order.tolist():
+            if n not in seen:
+                seen[n] = bool(verify(shingles[x], shingles[rows[n]], finder.width, finder.similarity))
+                if seen[n]:
+                    found[0].append(x)
+                    found[1].append(int(rows[n]))
+            if seen[n]:
+                last = n
+                break
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -697,7 +874,7 @@ def _compared(pending: DataFrame, narrow: DataFrame, finder: Finder) -> DataFram
                     }
                 )
 
-    parts = texts.select("doc_id", "text_key", "text", "spans").mapInArrow(fetched, "f_doc long, f_key long, f_s int, f_e int, shingles array<int>")
+    parts = texts.select("doc_id", "text_key", "text", "spans").mapInArrow(released(fetched), "f_doc long, f_key long, f_s int, f_e int, shingles array<int>")
     both = (
         roles.join(parts, F.col("doc").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("s") == F.col("f_s")) & (F.col("e") == F.col("f_e")))
         .groupBy("candidate")
@@ -725,7 +902,7 @@ def _compared(pending: DataFrame, narrow: DataFrame, finder: Finder) -> DataFram
                     source_id=part.column("a_doc"), source_key=part.column("a_key"), source_start=source, similarity=score,
                 )
 
-    return both.mapInArrow(compared, PASSAGE_ROW)
+    return both.mapInArrow(released(compared), PASSAGE_ROW)
 
 
 PAIR_KEYS = ["x_doc", "x_key", "a_doc", "a_key"]
@@ -733,7 +910,7 @@ PAIR_KEYS = ["x_doc", "x_key", "a_doc", "a_key"]
 
 def _table(schema: str, **columns) -> pa.RecordBatch:
     """A batch with the columns of a schema string, NULL where none is given."""
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "binary": pa.binary()}
     n = len(next(iter(columns.values())))
     names, arrays = [], []
     for part in schema.split(", "):
@@ -802,7 +979,7 @@ def cut_passages(docs: DataFrame, **parameters) -> DataFrame:
             columns = [batch.column("row"), pa.array(text, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["row", "cut"]).take(pa.array(kept, pa.int64()))
 
-    cut = joined.select("row", "_spans").mapInArrow(run, StructType([StructField("row", docs.schema), StructField("cut", StringType())]))
+    cut = joined.select("row", "_spans").mapInArrow(released(run), StructType([StructField("row", docs.schema), StructField("cut", StringType())]))
     changed = ~F.col("cut").eqNullSafe(F.col("row.text").cast("string"))
     made = {"text": F.col("cut")}
     if "n_chars" in docs.columns:

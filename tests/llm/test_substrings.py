@@ -171,6 +171,54 @@ def test_no_repeat_is_lost_among_common_lines(spark):
     assert lost <= 0.01 * sum(map(len, truth.values()))
 
 
+def covered_words(found):
+    out: dict[int, set] = {}
+    for r in found:
+        out.setdefault(r.doc_id, set()).update(range(r.start, r.start + r.length))
+    return out
+
+
+def unlike_copies(rng, copies, every):
+    """Texts made of one by changing a word in ``every``, at random: they share runs of words, and next to no passage."""
+    words = prose(rng, 500).split()
+    return [[w if rng.randrange(every) else prose(rng, 1) for w in words] for _ in range(copies)]
+
+
+def test_texts_that_share_runs_but_no_passage_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(23)
+    rows = [(i, " ".join(words)) for i, words in enumerate(unlike_copies(rng, 120, 14))]
+    made, real = [], substrings._rest_links
+    monkeypatch.setattr(substrings, "_rest_links", lambda *given, **named: made.append(real(*given, **named)) or made[-1])
+    found = find_passages(documents(spark, rows)).collect()
+    assert made and sum(links.count() for links in made) <= 20 * len(rows)
+    assert all(r.similarity >= 0.8 and r.length >= 50 for r in found)
+
+
+@pytest.mark.parametrize("members", [4096, 8])
+def test_sources_among_many_are_found_in_one_block_and_in_many(spark, monkeypatch, members):
+    monkeypatch.setattr(substrings, "MEMBERS", members)
+    rng = random.Random(24)
+    texts = unlike_copies(rng, 60, 16)
+    truth = {}
+    for x, a in ((30, 3), (41, 17), (59, 28)):  # neither the first nor the ones before
+        texts[x][200:260] = texts[a][200:260]
+        truth[x] = set(range(200, 260))
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    covered = covered_words(find_passages(documents(spark, rows).repartition(3)).collect())
+    assert all(words <= covered[x] for x, words in truth.items())
+
+
+def test_a_passage_whose_changed_word_is_in_its_middle():
+    """Neither side of the change outweighs it alone, and what is around the passage is unlike."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(1, 1 << 30, 400)
+    a = rng.integers(1 << 30, 1 << 31, 400)
+    a[100:121], a[126:148] = x[100:121], x[126:148]
+    a[20:25] = x[20:25]
+    found = substrings.verify(x, a, 46, 0.8)
+    assert [(s, e, b) for s, e, b, _ in found] == [(100, 148, 100)] and found[0][3] >= 0.8
+
+
 def test_rows_of_one_word_keep_few_windows(spark):
     column = pa.array(["a " * 500 + prose(random.Random(3), 100), "a " * 120])
     row, k, c, left, right, _ = substrings.Finder().windows(column)
