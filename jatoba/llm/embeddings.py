@@ -7,6 +7,9 @@ hold one so near: those whose cell begins within r of it. There, table lookups g
 distance to each code; since a vector lies within its coding error of its code, no vector whose
 code is further than r plus that error can link. The others are compared by exact cosine. So
 the lists, the codes and the bounds only save work and lose no link.
+
+The lists of a label stand one after the other in blocks of bounded size. A vector is sent once to each
+block that holds a list it probes, not to each list; a pair of blocks is compared once, for both sides.
 """
 
 from __future__ import annotations
@@ -16,11 +19,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from jatoba.llm.graph import components
+from jatoba.llm.text import released
 from jatoba.llm.vectors import kmeans, matrix, sample, squared_distances, usable
+from jatoba.session import checkpointed
 
 LIST_SIZE = 4096
 """Vectors per coarse list that the number of lists aims at."""
@@ -28,8 +35,12 @@ MOST_LISTS = 1024
 SAMPLE = 16_384
 SUBSPACES = 8
 CODES = 64
-BLOCK = 4096
-"""Vectors of a list, or of those that probe it, that one group holds about."""
+BLOCK = 32_768
+"""Vectors of one label that a block holds about; a group is one block, and those of one other that probe it."""
+ROUTED = 2048
+"""Vectors whose lists are looked for in one go."""
+SENT = 1 << 14
+"""Rows of a batch that a task sends on."""
 STEP = 256
 TOLERANCE = 1e-9
 
@@ -121,6 +132,53 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
+@dataclass
+class Layout:
+    """Where the lists of one label and dimension begin if they stand one after the other, cut into blocks."""
+
+    starts: np.ndarray
+    size: int
+
+    @property
+    def blocks(self) -> int:
+        return max(1, -(-int(self.starts[-1]) // self.size))
+
+    def own(self, home: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """The block of each vector; those of a list that is cut are spread by a hash."""
+        share = (classes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.float64) / (1 << 24)
+        place = self.starts[home] + share * (self.starts[home + 1] - self.starts[home])
+        return np.minimum(place.astype(np.int64) // self.size, self.blocks - 1)
+
+    def holding(self) -> np.ndarray:
+        """Which blocks hold vectors of which list."""
+        at = np.arange(self.blocks)
+        low, high = self.starts[:-1, None] // self.size, (self.starts[1:, None] - 1) // self.size
+        return (low <= at) & (at <= high) & (self.starts[1:] > self.starts[:-1])[:, None]
+
+
+def placed(model: Quantiser, layout: Layout | None, x: np.ndarray, classes: np.ndarray, radius: float):
+    """List and block of some vectors, and the row and block of every block after its own that a vector probes."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    home = squared_distances(unit, model.centroids).argmin(axis=1)
+    if layout is None or layout.blocks == 1:
+        return home, np.zeros(len(x), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    own = layout.own(home, classes)
+    asked = model.probes(unit, radius).astype(np.float32) @ layout.holding().astype(np.float32) > 0
+    row, block = np.nonzero(asked & (np.arange(layout.blocks) > own[:, None]))
+    return home, own, row, block
+
+
+def sent(own: np.ndarray, row: np.ndarray, block: np.ndarray, asking: list[np.ndarray]):
+    """Pieces of the rows to send: row, block, the block it comes from, and whether it probes. ``asking``: from which blocks a block is probed."""
+    count = np.array([len(a) for a in asking])[own]
+    mine = np.repeat(np.arange(len(own)), count + 1)
+    parts = np.concatenate([np.append(asking[b], b) for b in own.tolist()]) if len(own) else mine
+    at, to = np.concatenate([mine, row]), np.concatenate([own[mine], block])
+    parts, probe = np.concatenate([parts, own[row]]), np.arange(len(at)) >= len(mine)
+    for k in range(0, len(at), SENT):
+        yield at[k : k + SENT], to[k : k + SENT], parts[k : k + SENT], probe[k : k + SENT]
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.93, list_size: int = LIST_SIZE, sample_size: int = SAMPLE) -> DataFrame:
     """``vec_id, n_links, component_id, kept``, one row per row of ``vectors (vec_id, embedding, label)``.
 
@@ -131,90 +189,125 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, list_size: int
     vec_id reachable and ``kept`` marks it; rows that repeat a vec_id count singly. Empty
     tables give no rows; other columns are not read.
 
-    A group compares about 4,096 vectors of a list with as many that probe it, however many
+    A group compares about 32,768 vectors with as many that probe their lists, however many
     either are, and sends on counts and a spanning star of what it found linked, no pairs.
     """
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), "label")
+    # What is single precision is sent as such; it is compared in double precision.
+    kind = "array<float>" if vectors.schema["embedding"].dataType == ArrayType(FloatType()) else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind), "label")
     fit = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    classes = (
+    classes = checkpointed(
         rows.where(fit)
         .groupBy(F.col("label").cast("string").alias("label"), "embedding")
         .agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("n"))
         .withColumn("class", F.monotonically_increasing_id())
-        .checkpoint()
     )
-    total = classes.count()
-    lists = max(1, min(MOST_LISTS, math.ceil(total / list_size)))
+    place = ["label", F.size("embedding").alias("dim")]
+    labels = classes.groupBy(*place).agg(F.count("*").alias("n"))
+    total, largest = (x or 0 for x in labels.agg(F.sum("n"), F.max("n")).first())
+    lists = max(1, min(MOST_LISTS, math.ceil(largest / list_size)))
     models = {d: quantiser(v, lists) for d, v in sample(classes, total, sample_size, "pq").items()}
+    size = BLOCK
 
     def model_of(dimension: int) -> Quantiser:
         return models.get(dimension) or _plain(dimension)
 
-    def routed(batches):
+    def runs(batches):
+        """Runs of rows of one label and dimension, with their vectors."""
         for batch in batches:
-            dims = np.array(batch.column("embedding").value_lengths())
-            for d in np.unique(dims):
-                part = batch.filter(pa.array(dims == d))
-                x = matrix(part.column("embedding"))
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                model = model_of(int(d))
-                home = squared_distances(unit, model.centroids).argmin(axis=1)
-                row, probed = np.nonzero(model.probes(unit, radius))
-                at = np.concatenate([np.arange(len(x)), row])
+            key = pc.dictionary_encode(batch.column("label")).indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            dims = np.array(batch.column("embedding").value_lengths()).astype(np.int64)
+            for code in np.unique(np.stack([key, dims]), axis=1).T:
+                at = np.flatnonzero((key == code[0]) & (dims == code[1]))
+                for k in range(0, len(at), ROUTED):
+                    part = batch.take(pa.array(at[k : k + ROUTED]))
+                    yield part, part.column("label")[0].as_py(), int(code[1]), matrix(part.column("embedding")), part.column("class").to_numpy()
+
+    # Of labels of more than a block, at most one for every BLOCK vectors: the size of the lists, then which blocks probe which.
+    large = F.broadcast(labels.where(F.col("n") > size).select(F.col("label").alias("_label"), F.col("dim").alias("_dim")))
+    cut = classes.join(large, (F.col("label") == F.col("_label")) & (F.size("embedding") == F.col("_dim"))).select("label", "class", "embedding")
+
+    def listed(batches):
+        for _, label, dim, x, c in runs(batches):
+            home, counts = np.unique(placed(model_of(dim), None, x, c, radius)[0], return_counts=True)
+            yield pa.record_batch({"label": pa.array([label] * len(home), pa.string()), "dim": pa.array([dim] * len(home), pa.int32()), "list": pa.array(home), "n": pa.array(counts)})
+
+    layouts: dict[tuple, Layout] = {}
+    asking: dict[tuple, list[np.ndarray]] = {}
+    if largest > size:
+        for r in cut.mapInArrow(listed, "label string, dim int, list long, n long").groupBy("label", "dim", "list").agg(F.sum("n").alias("n")).collect():
+            layout = layouts.setdefault((r.label, r.dim), Layout(np.zeros(len(model_of(r.dim).centroids) + 1, np.int64), size))
+            layout.starts[r.list + 1] = r.n
+        for layout in layouts.values():
+            layout.starts = np.cumsum(layout.starts)
+
+        def pairs(batches):
+            for _, label, dim, x, c in runs(batches):
+                _, own, row, block = placed(model_of(dim), layouts[label, dim], x, c, radius)
+                found = np.unique(np.stack([own[row], block]), axis=1)
+                n = found.shape[1]
+                yield pa.record_batch({"label": pa.array([label] * n, pa.string()), "dim": pa.array([dim] * n, pa.int32()), "part": pa.array(found[0]), "block": pa.array(found[1])})
+
+        probing = cut.mapInArrow(pairs, "label string, dim int, part long, block long").distinct().collect()
+        asking = {key: [np.array([r.part for r in probing if (r.label, r.dim, r.block) == (*key, b)], np.int64) for b in range(layout.blocks)] for key, layout in layouts.items()}
+
+    def routed(batches):
+        for part, label, dim, x, c in runs(batches):
+            home, own, row, block = placed(model_of(dim), layouts.get((label, dim)), x, c, radius)
+            for at, to, of, probe in sent(own, row, block, asking.get((label, dim), [np.zeros(0, np.int64)])):
+                some = pa.array(at)
                 yield pa.record_batch(
                     {
-                        "label": part.column("label").take(pa.array(at)),
-                        "dim": pa.array(np.full(len(at), d), pa.int32()),
-                        "list": pa.array(np.concatenate([home, probed]), pa.int32()),
-                        "probe": pa.array(np.arange(len(at)) >= len(x)),
-                        "class": part.column("class").take(pa.array(at)),
-                        "n": part.column("n").take(pa.array(at)),
-                        "embedding": part.column("embedding").take(pa.array(at)),
+                        "label": part.column("label").take(some), "dim": pa.array(np.full(len(at), dim), pa.int32()), "block": pa.array(to, pa.int32()), "part": pa.array(of, pa.int32()),
+                        "probe": pa.array(probe), "list": pa.array(home[at], pa.int32()), "class": part.column("class").take(some), "n": part.column("n").take(some),
+                        "embedding": part.column("embedding").take(some),
                     }
                 )
 
-    schema = "label string, dim int, list int, probe boolean, class long, n long, embedding array<double>"
-    members = classes.select("label", "class", "n", "embedding").mapInArrow(routed, schema)
-    place = ["label", "dim", "list"]
-    blocks = members.groupBy(*place).agg(
-        F.ceil(F.count_if(~F.col("probe")) / BLOCK).cast("int").alias("blocks"), F.ceil(F.count_if("probe") / BLOCK).cast("int").alias("slices")
-    ).where("blocks > 0 and slices > 0")
-    blocks = blocks.select(*[F.col(c).alias(f"_{c}") for c in place], "blocks", "slices")
-    on = [F.col(c) == F.col(f"_{c}") for c in place]
-    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    spread = (
-        members.join(blocks, on)
-        .withColumn("block", F.explode(F.when(F.col("probe"), every("blocks")).otherwise(F.array(own("blocks")))))
-        .withColumn("slice", F.explode(F.when(F.col("probe"), F.array(own("slices"))).otherwise(every("slices"))))
-        .select(*place, "block", "slice", "probe", "class", "n", "embedding")
+    spread = classes.select("label", "class", "n", "embedding").mapInArrow(
+        released(routed), f"label string, dim int, block int, part int, probe boolean, list int, class long, n long, embedding {kind}"
     )
 
     def compared(table: pa.Table) -> pa.Table:
-        probe = np.array(table.column("probe").to_pylist(), bool)
+        probe = table.column("probe").to_numpy()
+        both = table.column("block")[0] == table.column("part")[0]
         sides = [table.filter(pa.array(m)) for m in (probe, ~probe)]
+        if both:
+            sides[0] = sides[1]
         found = {"class": [], "links": [], "root": []}
         if all(len(s) for s in sides):
             x, y = (matrix(s.column("embedding")) for s in sides)
             cx, cy = (s.column("class").to_numpy() for s in sides)
-            weight = sides[1].column("n").to_numpy()
-            links = np.zeros(len(x), np.int64)
+            nx, ny = (s.column("n").to_numpy() for s in sides)
+            of_list = sides[1].column("list").to_numpy()
+            model = model_of(x.shape[1])
+            held = np.unique(of_list)
+            asked = np.concatenate([model.probes(v / np.linalg.norm(v, axis=1, keepdims=True), radius)[:, held] for v in (x[k : k + ROUTED] for k in range(0, len(x), ROUTED))])
+            to_x, to_y = np.zeros(len(x), np.int64), np.zeros(len(y), np.int64)
             star_a, star_b = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            for i, j in linked_pairs(model_of(x.shape[1]), table.column("list")[0].as_py(), x, y, threshold):
-                other = cx[i] != cy[j]
-                i, j = i[other], j[other]
-                links += np.bincount(i, weight[j], len(x)).astype(np.int64)
-                star_a, star_b = _stars(np.concatenate([star_a, cx[i]]), np.concatenate([star_b, cy[j]]))
-            hit = links > 0
+            for k, number in enumerate(held.tolist()):
+                at_x, at_y = np.flatnonzero(asked[:, k]), np.flatnonzero(of_list == number)
+                if not len(at_x):
+                    continue
+                for i, j in linked_pairs(model, number, x[at_x], y[at_y], threshold):
+                    i, j = at_x[i], at_y[j]
+                    other = cx[i] != cy[j]
+                    i, j = i[other], j[other]
+                    to_x += np.bincount(i, ny[j], len(x)).astype(np.int64)
+                    if not both:
+                        to_y += np.bincount(j, nx[i], len(y)).astype(np.int64)
+                    star_a, star_b = _stars(np.concatenate([star_a, cx[i]]), np.concatenate([star_b, cy[j]]))
+            hit_x, hit_y = to_x > 0, to_y > 0
+            none = np.zeros(len(star_a), np.int64)
             found = {
-                "class": np.concatenate([cx[hit], star_a]),
-                "links": np.concatenate([links[hit], np.zeros(len(star_a), np.int64)]),
-                "root": np.concatenate([cx[hit], star_b]),
+                "class": np.concatenate([cx[hit_x], cy[hit_y], star_a]),
+                "links": np.concatenate([to_x[hit_x], to_y[hit_y], none]),
+                "root": np.concatenate([cx[hit_x], cy[hit_y], star_b]),
             }
         return pa.table({k: pa.array(v, pa.int64()) for k, v in found.items()})
 
-    found = spread.groupBy(*place, "block", "slice").applyInArrow(compared, "class long, links long, root long").checkpoint()
+    found = checkpointed(spread.groupBy("label", "dim", "block", "part").applyInArrow(compared, "class long, links long, root long"))
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
     linked = components(found.where("class <> root").select(F.col("class").alias("a"), F.col("root").alias("b")))
     nodes = linked.select("node", "component").union(linked.select("component", "component").distinct())

@@ -80,6 +80,31 @@ def test_no_list_that_may_hold_a_link_is_left_out():
         assert pairs == set(zip(a.tolist(), y[b].tolist(), strict=True))
 
 
+@pytest.mark.parametrize("lists,size", [(1, 1000), (40, 1000), (40, 150), (3, 64)])
+def test_a_vector_is_sent_to_blocks_and_not_to_each_list(monkeypatch, lists, size):
+    monkeypatch.setattr(embeddings, "SENT", 100)
+    rng = np.random.default_rng(lists)
+    x = rng.normal(size=(600, 16))  # no structure: nearly all lists are probed
+    model = embeddings.quantiser(x, lists)
+    classes = np.arange(600) * 7
+    home = embeddings.placed(model, None, x, classes, 0.4)[0]
+    layout = embeddings.Layout(np.append(0, np.cumsum(np.bincount(home, minlength=len(model.centroids)))), size)
+    home, own, row, block = embeddings.placed(model, layout, x, classes, 0.4)
+    asking = [np.unique(own[row][block == b]) for b in range(layout.blocks)]
+    pieces = list(embeddings.sent(own, row, block, asking))
+    assert max(len(p[0]) for p in pieces) <= 100  # however many lists or blocks
+    at, to, part, probe = (np.concatenate(v) for v in zip(*pieces, strict=True))
+    assert len(at) <= (layout.blocks + 1) * len(x) and np.bincount(own).max() <= 1.5 * size
+    # Every pair of vectors that may link meets once, the one of the lower block asking.
+    meets = {(int(b), int(p)): (set(at[(to == b) & (part == p) & ~probe].tolist()), set(at[(to == b) & (part == p) & probe].tolist())) for b, p in zip(to, part, strict=True)}
+    probes = model.probes(x / np.linalg.norm(x, axis=1, keepdims=True), 0.4)
+    for i, j in rng.integers(0, 600, (2000, 2)).tolist():
+        if own[i] < own[j] and probes[i, home[j]]:
+            assert j in meets[own[j], own[i]][0] and i in meets[own[j], own[i]][1]
+        if own[i] == own[j]:
+            assert {i, j} <= meets[own[i], own[i]][0]
+
+
 def test_empty_tables(spark):
     assert embeddings.near_duplicates(vectors(spark, [])).collect() == []
     assert neighbours.search(vectors(spark, []), F.col("vec_id") % 20 == 0).collect() == []
