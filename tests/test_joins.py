@@ -1,5 +1,7 @@
 """Skew-safe joins against brute force, with one key holding a third of the rows."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +94,24 @@ def test_spread_is_the_same_on_every_run(spark, many):
     assert first == second
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_the_short_side_of_a_hot_key_is_hardly_cut(spark, how):
+    """A key with 60 rows to one of the other side: the long side is cut, and copied no more."""
+    long = spark.createDataFrame([(7 if i % 3 else i % 40, i) for i in range(6000)], "a int, x int")
+    short = spark.createDataFrame([(7 if i % 5 == 0 else 100 + i % 7, i) for i in range(300)], "b int, y int")
+    hot = (joins.find_hot_keys(long, "a", min_rows=50)["a"], joins.find_hot_keys(short, "b", min_rows=20)["b"])
+    before, after = ([h.counts().get(7, 1) for h in pair] for pair in (hot, joins.balanced(*hot)))
+    assert before[1] > 1 and math.prod(after) == math.prod(before)
+    rows = long.where("a = 7").count(), short.where("b = 7").count()
+    copied = [rows[0] * n[1] + rows[1] * n[0] for n in (before, after)]
+    assert after[1] == 1 and copied[1] < copied[0] / 2
+    plain = long.join(short, F.col("a") == F.col("b"), how)
+    sliced = joins.skew_safe_join(long, short, "a", "b", how, min_hot_rows=20)
+    assert collected(sliced, "a", "x", "b", "y") == collected(plain, "a", "x", "b", "y")
+    back = joins.skew_safe_join(short, long, "b", "a", how, min_hot_rows=20)
+    assert collected(back, "b", "y", "a", "x") == collected(short.join(long, F.col("a") == F.col("b"), how), "b", "y", "a", "x")
+
+
 def test_merge_left_suffixes(spark, many, few):
     left = many.select(F.col("k").alias("key"), F.col("v").alias("value"), "v")
     right = few.select(F.col("f").alias("key"), F.col("w").alias("value"), "w")
